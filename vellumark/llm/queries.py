@@ -8,11 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, conversations, mixing, packing, tokens
+from . import bpe, conversations, forms, mixing, packing, pii, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.places(table(spark, d, "text_block"))
+
+
+def p2_masked(spark: SparkSession, d: str) -> DataFrame:
+    return pii.masked_blocks(table(spark, d, "text_block"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return tokens.unusable_estimates(table(spark, d, "doc"), table(spark, d, "text_block"))
 
@@ -33,6 +41,14 @@ def p4_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p4_batches(spark, d), table(spark, d, "pack_capacity"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return forms.disguised_texts(table(spark, d, "text_block"), table(spark, d, "card"))
+
+
+def p6_forms(spark: SparkSession, d: str) -> DataFrame:
+    return forms.archive_forms(table(spark, d, "text_block"), table(spark, d, "card"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return conversations.broken_sessions(table(spark, d, "session_line"))
 
@@ -59,18 +75,32 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_report(mixing.mix_sources(docs, targets), docs, targets)
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.residue(table(spark, d, "documents"))
+
+
+def p10_kept(spark: SparkSession, d: str) -> DataFrame:
+    return residue.without_residue(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "p2_found": p2_found,
+        "p2_masked": p2_masked,
         "p3_found": p3_found,
         "p3_document_totals": p3_document_totals,
         "p3_block_totals": p3_block_totals,
         "p4_batches": p4_batches,
         "p4_fill": p4_fill,
+        "p6_found": p6_found,
+        "p6_forms": p6_forms,
         "p7_found": p7_found,
         "p7_conversations": p7_conversations,
         "p8_ids": p8_ids,
         "p9_mix": p9_mix,
         "p9_shares": p9_shares,
+        "p10_found": p10_found,
+        "p10_kept": p10_kept,
     }
 
 
