@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, conversations, forms, mixing, packing, pii, residue, tokens
+from . import bpe, conversations, forms, mixing, neighbours, packing, pii, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,10 @@ def p4_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p4_batches(spark, d), table(spark, d, "pack_capacity"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return neighbours.neighbour_pairs(table(spark, d, "vectors"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return forms.disguised_texts(table(spark, d, "text_block"), table(spark, d, "card"))
 
@@ -92,6 +96,7 @@ def queries() -> dict[str, Query]:
         "p3_block_totals": p3_block_totals,
         "p4_batches": p4_batches,
         "p4_fill": p4_fill,
+        "p5_found": p5_found,
         "p6_found": p6_found,
         "p6_forms": p6_forms,
         "p7_found": p7_found,
