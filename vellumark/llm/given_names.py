@@ -56,10 +56,10 @@ def one_edit_keys(word: str) -> set[str]:
 
 @lru_cache(maxsize=1)
 def near_keys() -> dict[str, frozenset[str]]:
-    """Full names of five letters or more by their keys."""
+    """Full names of four letters or more by their keys."""
     out: dict[str, set[str]] = {}
     for n in full_names():
-        if len(n) >= 5:
+        if len(n) >= 4:
             for k in one_edit_keys(n):
                 out.setdefault(k, set()).add(n)
     return {k: frozenset(v) for k, v in out.items()}

@@ -8,11 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, conversations, forms, mixing, neighbours, packing, pii, residue, tokens
+from . import bpe, conversations, forms, mixing, names, neighbours, packing, pii, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.same_entity_pairs(table(spark, d, "card"))
+
+
+def p1_entities(spark: SparkSession, d: str) -> DataFrame:
+    return names.entity_classes(table(spark, d, "card"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return pii.places(table(spark, d, "text_block"))
 
@@ -89,6 +97,8 @@ def p10_kept(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "p1_found": p1_found,
+        "p1_entities": p1_entities,
         "p2_found": p2_found,
         "p2_masked": p2_masked,
         "p3_found": p3_found,
