@@ -43,3 +43,12 @@ def cut(df: DataFrame) -> DataFrame:
     """
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files give fewer partitions than there are cores, else as it is.
+
+    For narrow stages whose work per row far outweighs moving the row.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
