@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ()
+MODULES = ("census", "texts")
 
 
 def load() -> None:

@@ -1,0 +1 @@
+"""Queries over the archive's own tables: censuses, joins, sampling, packing, spans, search and scoring."""
