@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import spread
+
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the split pattern the public byte-level vocabulary was built with.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -125,7 +127,7 @@ def encode_corpus(df: DataFrame, text: str = "text", ids: str = "ids", path: str
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(flat, np.int32) if flat else np.empty(0, np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], lists], names=[*keep, ids])
 
-    return narrow.mapInArrow(encode, schema)
+    return spread(narrow).mapInArrow(encode, schema)
 
 
 def decode_corpus(df: DataFrame, ids: str = "ids", text: str = "text", path: str = RANKS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import spread
+
 # Letters of other scripts that look like a Latin letter.
 CYRILLIC = "аАВсСеЕԍНіІјЈКМоОрРѕЅТԛԝхХуУԁһ"
 CYRILLIC_AS = "aABcCeEGHiIjJKMoOpPsSTqwxXyYdh"
@@ -334,7 +336,7 @@ def _with_forms(df: DataFrame, text: str, keep: tuple[str, ...], with_form: bool
                 columns.append(pc.if_else(texts.is_valid(), folded.strings().cast(pa.string()), pa.scalar(None, pa.string())))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(folded.disguised)], names=schema.names)
 
-    return narrow.mapInArrow(run, schema)
+    return spread(narrow).mapInArrow(run, schema)
 
 
 def consistent_forms(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id", "seq")) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import spread
 from .forms import Folded, fold, slices, tables
 from .given_names import full_names, near_given, plain, short_names
 
@@ -286,7 +287,7 @@ def with_spans(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
                 columns.append(pa.array([None if v is None else mask(v, s) for v, s in zip(texts.to_pylist(), spans, strict=True)], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return narrow.mapInArrow(run, schema)
+    return spread(narrow).mapInArrow(run, schema)
 
 
 def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
