@@ -5,9 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 
-
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,15 +90,21 @@ def base_hash(shingle: str) -> int:
     return int.from_bytes(hashlib.blake2b(shingle.encode("utf-8"), digest_size=8).digest(), "big")
 
 
-def minhash(shingle_set: Column, least: int = 30) -> Column:
-    """128 slots of a set of shingles; null where there are fewer than `least`."""
+def minhash(text: Column, least: int = 30) -> Column:
+    """128 slots of a text's distinct word shingles; null where there are fewer than `least`."""
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
-    def signed(sets: pd.Series) -> pd.Series:
-        family = hash_family()
-        return sets.map(lambda s: None if s is None or len(s) < least else signature([base_hash(x) for x in s], family).astype(np.int64))
+    def signed(texts: pd.Series) -> pd.Series:
+        family, word = hash_family(), regex.compile(r"[\p{L}\p{N}_]+")
+
+        def one(t: str | None) -> np.ndarray | None:
+            w = word.findall(t.lower()) if t else []
+            found = {" ".join(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
+            return signature([base_hash(x) for x in found], family).astype(np.int64) if len(found) >= least else None
+
+        return texts.map(one)
 
-    return signed(shingle_set)
+    return signed(text)
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -112,9 +118,9 @@ def flagged(docs: DataFrame, order: list[str], least: float = 0.6, most: int = 5
     Texts stand under their earliest document in `order`; copies are in exact_duplicates, not here. Candidates
     share one of 32 bands of four slots, so texts of an estimate far above `least` are hardly ever missed.
     """
-    keyed = docs.where(F.col("text").isNotNull()).select(F.sha2("text", 256).alias("sha"), F.struct(*order, "doc_id").alias("place"), "text")
-    reps = keyed.groupBy("sha").agg(F.min("place").alias("place"), F.min("text").alias("text"))
-    signed = cut(reps.select(F.col("place.doc_id").alias("doc_id"), "place", minhash(shingles(F.col("text"), SHINGLE)).alias("sig"))).where(F.col("sig").isNotNull())
+    keyed = docs.where(F.col("text").isNotNull()).select(F.sha2("text", 256).alias("sha"), F.struct(*order, "doc_id").alias("place"), minhash(F.col("text")).alias("sig"))
+    reps = keyed.groupBy("sha").agg(F.min("place").alias("place"), F.first("sig").alias("sig"))
+    signed = cut(reps.select(F.col("place.doc_id").alias("doc_id"), "place", "sig")).where(F.col("sig").isNotNull())
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.slice("sig", i * (SLOTS // BANDS) + 1, SLOTS // BANDS)))
     banded = signed.select("doc_id", "place", F.posexplode(bands).alias("band", "h"))
     earlier = banded.select("band", "h", F.col("doc_id").alias("other"), F.col("place").alias("other_place"))

@@ -96,7 +96,7 @@ def greedy_batches(rows: DataFrame, order: list[str], bucket: Column, most: int,
         group = group.sort_values("position", kind="stable")
         batch, filled, out = 0, 0, []
         for tokens in group["tokens"].fillna(0).astype(int):
-            if filled and filled + tokens > most:
+            if out and filled + tokens > most:
                 batch, filled = batch + 1, 0
             filled += tokens
             out.append(batch)
