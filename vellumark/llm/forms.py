@@ -287,7 +287,14 @@ def fold(texts: pa.Array) -> Folded:
     punctuation = t.wide[p]
     if punctuation.any():
         asian = (t.script[p] == OTHER) & (t.kind[p] != EXPAND) | (p >= 0x3000) & (p <= 0x303F) | (p >= 0xFF61) & (p <= 0xFF9F)
-        p = np.where((punctuation > 0) & ~_neighbour(asian, 1) & ~_neighbour(asian, -1), punctuation, p).astype(np.uint32)
+        # A run of such punctuation is judged by what stands at its two ends.
+        inside = punctuation > 0
+        first, last = np.flatnonzero(inside & ~_neighbour(inside, 1)), np.flatnonzero(inside & ~_neighbour(inside, -1))
+        beside = _neighbour(asian, 1)[first] | _neighbour(asian, -1)[last]
+        p = p.copy()
+        at = np.flatnonzero(inside)
+        at = at[~np.repeat(beside, last - first + 1)]
+        p[at] = punctuation[at]
         kind = t.kind[p]
     p = np.where(kind == SPACE, 0x20, p).astype(np.uint32)
     if (kind == EXPAND).any():

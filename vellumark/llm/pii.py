@@ -63,7 +63,7 @@ PHONE = regex.compile(
     rf"|0\d{{1,4}}[ /\-]\d{{3,8}}(?:[ \-]\d{{2,6}}){{0,3}}"  # national, trunk prefix
     rf"|0\d(?:[ .]\d\d){{4}}"
     rf"|0\d{{9,10}}"
-    rf"|[2-9]\d{{2}}[.\-]\d{{4}}"  # subscriber number
+    rf"|[2-9]\d{{2}}[.\-]?\d{{4}}"  # subscriber number
     rf"|(?:\d-){{6,10}}\d"
     rf"){_ext}{_after}",
     regex.IGNORECASE,
