@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import cut, table
 from . import bpe, conversations, forms, mixing, names, neighbours, packing, pii, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,7 +75,7 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 def _sized(spark: SparkSession, d: str) -> DataFrame:
     wanted = F.broadcast(table(spark, d, "mix_target").select("source").distinct())  # a fixed table of a few rows
-    return tokens.count_tokens(table(spark, d, "documents").join(wanted, "source", "left_semi"), keep=("doc_id", "source"))
+    return cut(tokens.count_tokens(table(spark, d, "documents").join(wanted, "source", "left_semi"), keep=("doc_id", "source")))  # sizes are read twice, texts once
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
