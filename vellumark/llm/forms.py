@@ -250,15 +250,23 @@ def _resolved(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np
     solid[as_latin] = LATIN
     solid[as_cyr] = CYR
     line = np.cumsum(p == 0x0A)[edge]
-    beside = []
-    for step in (1, -1):
-        near = _neighbour(solid, step)
-        near[_neighbour(line, step) != line] = 0
-        beside.append(near)
+
+    def beside() -> tuple[np.ndarray, np.ndarray]:
+        near = _neighbour(solid, 1), _neighbour(solid, -1)
+        for side, step in zip(near, (1, -1), strict=True):
+            side[_neighbour(line, step) != line] = 0
+        return near
+
     own = np.where(is_cyr > 0, CYR, GRK)
-    as_latin |= alike & ((beside[0] == LATIN) | (beside[1] == LATIN)) & (beside[0] != own) & (beside[1] != own)
+    while True:  # a word that was settled may settle the one beside it
+        left, right = beside()
+        more = alike & ~as_latin & ((left == LATIN) | (right == LATIN)) & (left != own) & (right != own)
+        if not more.any():
+            break
+        as_latin |= more
+        solid[more] = LATIN
     lone = (n == 1) & (is_latin == 1) & (to_cyr == 1) & (p[edge] >= 0x61)
-    as_cyr |= lone & (beside[0] == CYR) & (edge > 0) & (_neighbour(p, 1)[edge] == 0x20)
+    as_cyr |= lone & (left == CYR) & (edge > 0) & (_neighbour(p, 1)[edge] == 0x20)
     p, places = p.copy(), []
     for chosen, table, own_script in ((as_latin, t.latin, None), (as_cyr, t.cyrillic, LATIN), (as_grk, t.greek, LATIN)):
         if chosen.any():

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
