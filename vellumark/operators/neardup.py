@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import shingles
-from ..session import cut
+from ..session import cut, spread
 
 # Shingle length in words, least similarity, and the prime of the hash family.
 SHINGLE, LEAST = 5, 0.8
@@ -23,7 +23,7 @@ SLOTS, BANDS = 128, 32
 
 def text_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(rep, sha, shingles): one row per distinct text that has shingles, named by the smallest of its keys."""
-    d = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.sha2(text, 256).alias("sha"), F.col(text).alias("t"))
+    d = spread(docs.where(F.col(text).isNotNull()).select(key, text)).select(F.col(key).alias("k"), F.sha2(text, 256).alias("sha"), F.col(text).alias("t"))
     one = d.groupBy("sha").agg(F.min("k").alias("rep"), F.min("t").alias("t"))
     return one.select("rep", "sha", F.transform(shingles(F.col("t"), SHINGLE), lambda s: F.xxhash64(s)).alias("shingles")).where(F.col("shingles").isNotNull()).withColumn("shingles", F.array_distinct("shingles"))
 
@@ -118,7 +118,8 @@ def flagged(docs: DataFrame, order: list[str], least: float = 0.6, most: int = 5
     Texts stand under their earliest document in `order`; copies are in exact_duplicates, not here. Candidates
     share one of 32 bands of four slots, so texts of an estimate far above `least` are hardly ever missed.
     """
-    keyed = docs.where(F.col("text").isNotNull()).select(F.sha2("text", 256).alias("sha"), F.struct(*order, "doc_id").alias("place"), minhash(F.col("text")).alias("sig"))
+    texts = spread(docs.where(F.col("text").isNotNull()).select("doc_id", "text", *[o for o in order if o != "doc_id"]))
+    keyed = texts.select(F.sha2("text", 256).alias("sha"), F.struct(*order, "doc_id").alias("place"), minhash(F.col("text")).alias("sig"))
     reps = keyed.groupBy("sha").agg(F.min("place").alias("place"), F.first("sig").alias("sig"))
     signed = cut(reps.select(F.col("place.doc_id").alias("doc_id"), "place", "sig")).where(F.col("sig").isNotNull())
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.slice("sig", i * (SLOTS // BANDS) + 1, SLOTS // BANDS)))
