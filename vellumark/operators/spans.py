@@ -49,12 +49,11 @@ def located_spans(quotes: DataFrame) -> DataFrame:
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            hits = [locate(t, q) for t, q in zip(b["text"], b["quote_text"], strict=True)]
-            keep = [h is not None for h in hits]
-            out = b.loc[keep, ["doc_id", "seq", "run_id", "quote"]].copy()
-            for k, name in enumerate(("span_start", "span_end", "method")):
-                out[name] = [h[k] for h in hits if h is not None]
-            yield out
+            out = []
+            for doc_id, seq, run_id, quote, text, wanted in b.itertuples(index=False):
+                if (hit := locate(text, wanted)) is not None:
+                    out.append((doc_id, seq, run_id, quote, *hit))
+            yield pd.DataFrame(out, columns=["doc_id", "seq", "run_id", "quote", "span_start", "span_end", "method"])
 
     return easy.unionByName(hard.mapInPandas(search, "doc_id string, seq int, run_id string, quote int, span_start int, span_end int, method string"))
 
