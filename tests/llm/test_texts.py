@@ -103,3 +103,10 @@ def test_boilerplate_of_a_host_is_nothing(spark):
     rows = [(i, "h", nav + f"Content number {i} " * 12) for i in range(9)] + [(100, "h", nav + "Access denied."), (101, "other", nav + "Access denied.")]
     df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
     assert {r[0] for r in residue.residue(df).collect()} == {100}
+
+
+@pytest.mark.parametrize("unit", ["Abc ", "a@", "a at b dot ", "[{", "a.b-c+", "<p>", " ", "1", "+1", "12 Main ", "Robert ", "Tel: 555.0121 ", "Calle de ", "\n", "é"])
+def test_very_long_texts(unit):
+    text = (unit * 60_000)[:60_000]
+    list(pii.found_in(forms.fold(pa.array([text]))))
+    residue.examine(text)

@@ -8,6 +8,7 @@ mapped back to the stored text.
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -96,9 +97,9 @@ _no, _end = rf"(?<![{_L}])", rf"(?![{_L}])"
 # A short abbreviation keeps its full stop; after Blvd it may be the sentence's.
 _stop = r"(?:(?<=(?:Rd|St|Ave|Ln|Ct|Sq))\.|(?<=Blvd)\.(?=[.,]| \p{Ll}))?"
 ADDRESS = [
-    regex.compile(rf"{_no}(?:{_flat},? )?\d{{1,5}} ?[a-z]?(?:-\d+)?,? (?:(?:[NSEW]|North|South|East|West)\.? )?(?:{_cap} ){{1,3}}?(?:{_road})(?![\p{{Latin}}_]){_stop}(?:,? {_flat})?"),
-    regex.compile(rf"(?i){_no}\d{{1,4}}(?: ?(?:bis|ter|quater|[a-d]))?,? (?:{_rue}) (?:(?:du |des |de la |de l['’]|de |d['’]|la |le |les |l['’]))*(?-i:{_cap}(?: {_cap}(?=\n|$))?)"),
-    regex.compile(rf"{_no}(?:{_calle}) ?(?:(?:de la|de los|de las|del|de|la|el) )*{_cap}(?: (?:de |del |y )?{_cap})*,? (?:n\.?º ?)?\d{{1,4}}(?: ?(?:bis|[a-d]){_end})?(?:, \d{{1,2}}\.?[ºª°o]?(?: ?[A-Z]{_end}| (?:izda|dcha)\.?)?)?{_end}"),
+    regex.compile(rf"{_no}(?:{_flat},? )?\d{{1,5}} ?[a-z]?(?:-\d+)?,? (?:(?:[NSEW]|North|South|East|West)\.? )?(?:{_cap} ){{1,3}}?(?:{_road})(?![\p{{Ll}}_]){_stop}(?:,? {_flat})?"),
+    regex.compile(rf"(?i){_no}\d{{1,4}}(?: ?(?:bis|ter|quater|[a-d]))?,? (?:{_rue}) (?:(?:du |des |de la |de l['’]|de |d['’]|la |le |les |l['’])){{0,3}}(?-i:{_cap}(?: {_cap}(?=\n|$))?)"),
+    regex.compile(rf"{_no}(?:{_calle}) ?(?:(?:de la|de los|de las|del|de|la|el) ){{0,3}}{_cap}(?: (?:de |del |y )?{_cap}){{0,4}},? (?:n\.?º ?)?\d{{1,4}}(?: ?(?:bis|[a-d]){_end})?(?:, \d{{1,2}}\.?[ºª°o]?(?: ?[A-Z]{_end}| (?:izda|dcha)\.?)?)?{_end}"),
     regex.compile(rf"{_no}(?:(?:Am|An der|An den|Im|In der|Auf dem|Auf der|Zum|Zur|Unter den|Hinter der) (?:{_cap} ){{0,2}}{_cap}|{_große}{_cap}{_strasse}|{_große}{_cap}[ \-](?:Straße|Strasse|Str\.|Gasse|Weg|Platz|Allee|Ring|Damm|Ufer|Hof|Steig)) \d{{1,4}}(?: ?[a-h]{_end})?(?:[/\-]\d+)?{_end}"),
     regex.compile(rf"(?i){_no}(?:ул\.?|улица|пр-?т\.?|проспект|пер\.|переулок|наб\.) (?-i:{_cap}(?: {_cap})?),? (?:д\.? ?|дом )?\d{{1,4}}(?:,? ?(?:кв\.?|квартира) ?\d+)?"),
 ]
@@ -113,6 +114,7 @@ TURNED = regex.compile(rf"(?<![{_L}@/])({_particle}{_name}), ({_name})((?: \p{{L
 INITIALS = regex.compile(rf"(?<![{_L}@/])(?:((?:\p{{Lu}}\.? ){{1,3}}){_particle}{_name}|(?!(?:{TITLES})\b)({_name}),? (?:\p{{Lu}}\.){{1,2}})(?![{_L}@_])")
 LOWER = regex.compile(rf"(?<![{_L}@./\-])(\p{{Ll}}{{4,}}) (\p{{Ll}}{{4,}})(?![{_L}@])")
 HYPHENED = regex.compile(rf"(?<![{_L}@./\-])(\p{{Lu}}[{_letter}]+)-(\p{{Lu}}[{_letter}]{{3,}})(?![{_L}@\-])")
+NEXT_NAME = regex.compile(rf"\s({_name})")
 TITLE_BEFORE = regex.compile(rf"(?<![\p{{L}}])(?:{TITLES})\.?\s$")
 NAME_CUE = regex.compile(rf"(?:(?<![\p{{L}}])(?:{TITLES})\.?\s|(?i:\b(?:present|signed(?: by)?|signature|unterschrift|gezeichnet|firmado(?: por)?|firmó|signé(?: par)?|attendees?|from|author|contact|anwesend|presentes?|présents?|name|nombre|nom)\b):?\s|\bIt was\s|\bpromised\s)$")
 # Words that begin with a capital where they begin a sentence or name no person.
@@ -139,27 +141,37 @@ def _known(word: str) -> bool:
     return p in full_names() or p in short_names()
 
 
+#: How far before a find its cue may stand.
+CUE_CHARS = 64
+
+
+def before(cue: regex.Pattern, text: str, at: int) -> bool:
+    """Whether a cue stands right before a place; only the characters next to it are read."""
+    return bool(cue.search(text, max(0, at - CUE_CHARS), at))
+
+
 def _sentence_start(text: str, at: int) -> bool:
-    head = text[:at].rstrip()
-    return not head or head[-1] in ".!?。！？…»”\"" or "\n" in text[len(head) : at]
+    near = text[max(0, at - CUE_CHARS) : at]
+    head = near.rstrip()
+    return not head or head[-1] in ".!?。！？…»”\"" or "\n" in near[len(head) :]
 
 
 def names(text: str) -> Iterator[tuple[int, int]]:
     """Spans of people's names of two or more parts, without title."""
     for m in TURNED.finditer(text):
         last, first = m[1], m[2]
-        cued = bool(NAME_CUE.search(text, 0, m.start()))
+        cued = bool(before(NAME_CUE, text, m.start()))
         if not (_known(first) or _given(first) and (cued or len(first) > 4)) or not _surname(last) or _known(last):
             continue
-        if _sentence_start(text, m.start()) and not cued and (follow := regex.match(rf"\s({_name})", text[m.end() :])) and _surname(follow[1]):
+        if _sentence_start(text, m.start()) and not cued and (follow := NEXT_NAME.match(text, m.end())) and _surname(follow[1]):
             continue  # "However, Robert Miller said"
         yield m.start(), m.end()
     at = 0
     while m := PAIR.search(text, at):
         first, second = m[1], m[4]
         at = m.start() + len(first)
-        title = bool(TITLE_BEFORE.search(text, 0, m.start()))
-        cued = title or bool(NAME_CUE.search(text, 0, m.start()))
+        title = bool(before(TITLE_BEFORE, text, m.start()))
+        cued = title or bool(before(NAME_CUE, text, m.start()))
         if m[3].endswith("-") and not (_known(first) and _surname(second)):
             continue
         if first.isupper() and not second.isupper() and len(first) > 2:  # SURNAME Given
@@ -177,10 +189,10 @@ def names(text: str) -> Iterator[tuple[int, int]]:
         if not surname or not _surname(surname):
             continue
         lone = m[1] and (m[1][1] == "." or m[1][0] not in "AEIOUY") and _sentence_start(text, m.start()) and regex.match(r" \p{Ll}", text[m.end() : m.end() + 2])
-        if lone or NAME_CUE.search(text, 0, m.start()):
+        if lone or before(NAME_CUE, text, m.start()):
             yield m.start(), m.end()
     for m in LOWER.finditer(text, overlapped=True):
-        if plain(m[1]) in full_names() and plain(m[2]) not in NO_SURNAME and (_sentence_start(text, m.start()) or NAME_CUE.search(text, 0, m.start())):
+        if plain(m[1]) in full_names() and plain(m[2]) not in NO_SURNAME and (_sentence_start(text, m.start()) or before(NAME_CUE, text, m.start())):
             yield m.start(), m.end()
     for m in HYPHENED.finditer(text):
         if plain(m[1]) in full_names() and not _known(m[2]):
@@ -192,7 +204,7 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
         digits = sum(c.isdigit() for c in regex.split(r"(?i)ext|x|Durchwahl|App|poste", m[0])[0])
         if digits < 7 or digits > 15:
             continue
-        if digits == 7 and not (m[0].startswith("555") or _cue.search(text, 0, m.start())):
+        if digits == 7 and not (m[0].startswith("555") or before(_cue, text, m.start())):
             continue
         yield m.start(), m.end()
 
@@ -222,11 +234,12 @@ def find(text: str) -> list[tuple[str, int, int]]:
         found += [(a, b, "phone", 1) for a, b in phones(text)]
         found += [(a, b, "address", 3) for a, b in addresses(text)]
     found += [(a, b, "name", 4) for a, b in names(text)]
-    taken: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int, str]] = []  # in order of place, none overlapping another
     for a, b, kind, _ in sorted(found, key=lambda f: (f[3], f[0] - f[1], f[0])):
-        if all(b <= x or a >= y for x, y, _ in taken):
-            taken.append((a, b, kind))
-    return [(kind, a, b) for a, b, kind in sorted(taken)]
+        at = bisect(taken, (a, b, kind))
+        if (at == 0 or taken[at - 1][1] <= a) and (at == len(taken) or b <= taken[at][0]):
+            taken.insert(at, (a, b, kind))
+    return [(kind, a, b) for a, b, kind in taken]
 
 
 def undigit(text: str) -> tuple[str, list[int] | None, list[int] | None]:
