@@ -60,6 +60,28 @@ def test_circles_end(spark):
     assert {r[0] for r in conversations.broken_sessions(df).collect()} <= {"c"}
 
 
+# (id, parent, turn) in order of time, the order wanted (level by level, each level by time, what has no root last), whether to drop.
+TREES = {
+    "edited": ([("r", None, U), ("a", "r", A), ("u1", "a", U), ("a1", "u1", A), ("u2", "a", U), ("a2", "u2", A)], ["r", "a", "u1", "u2", "a1", "a2"], True),
+    "roots": ([("r1", None, U), ("b1", "r1", A), ("r2", None, U), ("b2", "r2", A)], ["r1", "r2", "b1", "b2"], True),
+    "link": ([("r", None, U), ("a", "r", A), ("t", "a", TOOL), ("u1", "t", U), ("u2", "a", A)], ["r", "a", "u2", "u1"], True),
+    "replies": ([("r", None, U), ("a1", "r", A), ("a2", "r", A), ("u", "a1", U), ("b", "u", A)], ["r", "a1", "a2", "u", "b"], False),
+    "circle": ([("x", "x", U), ("y", "x", A), ("r", None, U), ("a", "r", A)], ["r", "a", "x", "y"], False),
+}
+
+
+@pytest.mark.parametrize("one_task", [20_000, 2])
+def test_forks_and_roots(spark, monkeypatch, one_task):
+    monkeypatch.setattr(conversations, "ONE_TASK_ROWS", one_task)
+    rows = [(sid, i, *r[:2], *r[2], i) for sid, (tree, _, _) in TREES.items() for i, r in enumerate(tree)]
+    df = spark.createDataFrame(rows, LINE).withColumn("ts", F.timestamp_seconds("at"))
+    got = {}
+    for r in conversations.ordered_messages(conversations.message_rows(df, with_words=False)).collect():
+        got.setdefault(r["session_id"], {})[r["turn"]] = r["id"]
+    assert {sid: [t[i] for i in range(len(t))] for sid, t in got.items()} == {sid: order for sid, (_, order, _) in TREES.items()}
+    assert {r[0] for r in conversations.broken_sessions(df).collect()} == {sid for sid, (_, _, bad) in TREES.items() if bad}
+
+
 ENTITIES = "array<struct<name:string,kind:string,aliases:array<string>>>"
 PERSON = ["Prudence Diksifes", "Diksifes, Prue", "P. Diksifes", "Prudence Diksfes", "PRUDENCE DIKSIFES", "DIKSIFES Prudence", "Dr. Prudence Diksifes, PhD", "Prudence M. Diksifes", "Prudence  Diksifes", "Pruedence Diksifes", "Diksifes P."]
 ORG = ["Seknojafil Print Trade Association", "The Seknojafil Print Trade Association", "Seknojafil PTA", "Seknojafil Print Trade Assn.", "Association of Print Trade, Seknojafil", "Print Trade Association Seknojafil", "SEKNOJAFIL PRINT TRADE ASSOCIATION", "Seknojafil Prnit Trade Association"]

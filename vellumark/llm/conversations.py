@@ -1,7 +1,7 @@
 """Rebuilding conversations from message rows (problem 7).
 
-Rows are keyed by session and ordered by the chain of their parents, or by time where a session has no
-parents; a finite-state automaton then reads each session's roles. The automaton runs over blocks of
+Rows are keyed by session and ordered by their depth in the chain of parents and then by time, or by time
+alone where a session has no parents; a finite-state automaton then reads each session's roles. The automaton runs over blocks of
 turns whose transition tables are composed afterwards, so a session of any length is split over tasks.
 """
 
@@ -18,6 +18,8 @@ from ..operators.ranking import with_group_rank
 
 #: Sessions of up to so many rows are put in order in one task, longer ones by joins; both give the same order.
 ONE_TASK_ROWS = 20_000
+#: Order of the rows of a level, or of a session without parents; it tells all distinct rows apart.
+IN_TIME = ["ts", "line_no", "what", "id", "parent"]
 #: Turns that one run of the automaton reads.
 BLOCK_TURNS = 4_096
 
@@ -73,22 +75,25 @@ def message_rows(lines: DataFrame, with_words: bool) -> DataFrame:
 
 
 def _chain_places(ids: list, parents: list) -> list[int]:
-    """Positions along the chains of one session whose rows come in order of time: each root, then what follows it."""
+    """Positions of the rows of one session, which come in order of time, by depth below a row without parent.
+
+    Forks and several roots come level by level, each level in order of time. Rows without a root above them
+    (on or below a circle, or below a parent that isn't there) come after the rest, in order of time.
+    """
     at = {v: i for i, v in enumerate(ids) if v is not None}
     below: dict[int, list[int]] = {}
-    stack = []
+    level = []
     for i, p in enumerate(parents):
-        if p is None or (to := at.get(p, i)) == i:
-            stack.append(i)
-        else:
+        if p is None:
+            level.append(i)
+        elif (to := at.get(p, i)) != i:
             below.setdefault(to, []).append(i)
-    stack.reverse()
     place: dict[int, int] = {}
-    while stack:
-        i = stack.pop()
-        place[i] = len(place)
-        stack.extend(reversed(below.get(i, ())))
-    for i in range(len(ids)):  # rows on a circle of parents have no root: by time, after the rest
+    while level:
+        for i in level:
+            place[i] = len(place)
+        level = sorted(j for i in level for j in below.get(i, ()))
+    for i in range(len(ids)):
         place.setdefault(i, len(place))
     return [place[i] for i in range(len(ids))]
 
@@ -125,7 +130,7 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def ordered_messages(rows: DataFrame) -> DataFrame:
     """Messages with `turn`, 0-based and dense inside each session; the columns of message_rows else.
 
-    Short sessions are put in order in one task each. In long ones the position on the chain is found by
+    Short sessions are put in order in one task each. In long ones the depth in the chain is found by
     doubling pointers, which takes as many joins as the logarithm of the chain's length; long sessions
     without parents are ranked by time in buckets.
     """
@@ -136,14 +141,14 @@ def ordered_messages(rows: DataFrame) -> DataFrame:
     small = F.col("__rows") <= ONE_TASK_ROWS
 
     timed = rows.where(small & ~F.col("__chained") & F.col("is_message"))
-    by_time = Window.partitionBy("session_id").orderBy("ts", "line_no", "what")
+    by_time = Window.partitionBy("session_id").orderBy(*IN_TIME)
     short_timed = timed.withColumn("turn", (F.row_number().over(by_time) - 1).cast("bigint")).select(*columns)
 
     chained = rows.where(small & F.col("__chained"))
     kept = [c for c in rows.columns if not c.startswith("__")]
     fields = [f for f in rows.schema.fields if f.name in kept and f.name != "parent"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", at bigint"
-    sorted_rows = chained.select(*kept).repartition("session_id").sortWithinPartitions("session_id", "ts", "line_no", "what")
+    sorted_rows = chained.select(*kept).repartition("session_id").sortWithinPartitions("session_id", *IN_TIME)
     walked = sorted_rows.mapInPandas(_walk, schema).where("is_message")
     by_chain = Window.partitionBy("session_id").orderBy("at")
     short_chained = walked.withColumn("turn", (F.row_number().over(by_chain) - 1).cast("bigint")).select(*columns)
@@ -154,7 +159,7 @@ def ordered_messages(rows: DataFrame) -> DataFrame:
     if False in kinds:
         messages = long.where(~F.col("__chained") & F.col("is_message"))
         # Buckets of an hour keep time order; a hash slice must not cut across it, so there is one slice.
-        ranked = with_group_rank(messages, ["session_id"], ["ts", "line_no", "what"], "turn", F.coalesce(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000), F.lit(-1)), slices=1)
+        ranked = with_group_rank(messages, ["session_id"], IN_TIME, "turn", F.coalesce(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000), F.lit(-1)), slices=1)
         result = result.unionByName(ranked.select(*columns))
     if True in kinds:
         result = result.unionByName(_long_chains(long.where("__chained")).select(*columns))
@@ -162,24 +167,25 @@ def ordered_messages(rows: DataFrame) -> DataFrame:
 
 
 def _long_chains(rows: DataFrame) -> DataFrame:
-    """Turns of the messages of long sessions, by doubling pointers up the chain of parents."""
+    """Turns of the messages of long sessions, in the order of _chain_places, by doubling pointers up the chain of parents."""
     rows = cut(rows.withColumn("__n", F.monotonically_increasing_id()))
     known = rows.where(F.col("id").isNotNull()).select("session_id", F.col("id").alias("up")).distinct().withColumn("__known", F.lit(True))
-    up = F.when(F.col("__known") & (F.col("up") != F.coalesce("id", F.lit(""))), F.col("up"))
-    state = rows.select("session_id", "__n", "id", F.col("parent").alias("up"), F.col("is_message").cast("bigint").alias("above"), F.lit(1).cast("bigint").alias("depth"))
-    state = cut(state.join(known, ["session_id", "up"], "left").select("session_id", "__n", "id", up.alias("up"), "above", "depth"))
-    for _ in range(40):  # a chain of 2**40 rows; circles never end, their rows keep what was counted
+    state = rows.select("session_id", "__n", "id", F.col("parent").alias("up"), F.lit(1).cast("bigint").alias("depth"))
+    # Rows whose parent is missing or themselves, and in the end those on circles, have no root above them and get no depth.
+    rooted = F.col("up").isNull() | F.col("__known") & (F.col("up") != F.coalesce("id", F.lit("")))
+    state = cut(state.join(known, ["session_id", "up"], "left").where(rooted).select("session_id", "__n", "id", "up", "depth"))
+    for _ in range(40):  # a chain of 2**40 rows; circles never end
         if state.where(F.col("up").isNotNull()).limit(1).count() == 0:
             break
-        hop = state.where(F.col("id").isNotNull()).select("session_id", F.col("id").alias("up"), F.col("up").alias("__up"), F.col("above").alias("__above"), F.col("depth").alias("__depth"))
+        hop = state.where(F.col("id").isNotNull()).select("session_id", F.col("id").alias("up"), F.col("up").alias("__up"), F.col("depth").alias("__depth"))
         ended = state.where(F.col("up").isNull())
         moved = state.where(F.col("up").isNotNull()).join(hop, ["session_id", "up"]).select(
-            "session_id", "__n", "id", F.when(F.col("__up") != F.coalesce("id", F.lit("")), F.col("__up")).alias("up"), (F.col("above") + F.col("__above")).alias("above"), (F.col("depth") + F.col("__depth")).alias("depth")
+            "session_id", "__n", "id", F.col("__up").alias("up"), (F.col("depth") + F.col("__depth")).alias("depth")
         )
         state = cut(ended.unionByName(moved))
-    placed = rows.join(state.select("__n", "above", "depth"), "__n").where("is_message")
-    # Along one chain `above` already tells rows apart; forks come level by level, in order of time.
-    return with_group_rank(placed, ["session_id"], ["above", "depth", "ts", "line_no", "what"], "turn", F.floor(F.col("above") / 512), slices=1)
+    depths = state.where(F.col("up").isNull()).select("__n", "depth")
+    placed = rows.join(depths, "__n", "left").where("is_message").withColumn("depth", F.coalesce("depth", F.lit(2**62)))
+    return with_group_rank(placed, ["session_id"], ["depth", *IN_TIME], "turn", F.floor(F.col("depth") / 512), slices=1)
 
 
 def run_automaton(messages: DataFrame) -> DataFrame:
