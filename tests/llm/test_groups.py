@@ -82,6 +82,22 @@ def test_forks_and_roots(spark, monkeypatch, one_task):
     assert {r[0] for r in conversations.broken_sessions(df).collect()} == {sid for sid, (_, _, bad) in TREES.items() if bad}
 
 
+@pytest.mark.parametrize("one_task", [20_000, 2])
+def test_repeated_ids_double_nothing(spark, monkeypatch, one_task):
+    monkeypatch.setattr(conversations, "ONE_TASK_ROWS", one_task)
+    rows = rows_of("r", [U, A] * 6)
+    rows += [("r", i, *rows[i][2:6], "exported again", i) for i in (1, 3, 5)]  # rows of the assistant's
+    # The last row of an id is the one meant: x stands a level lower the second time, and y below that.
+    rows += [("m", 0, "a", None, *U, 0), ("m", 1, "b", "a", *A, 1), ("m", 2, "x", "a", *A, 2), ("m", 3, "x", "b", *A, 3), ("m", 4, "y", "x", *U, 4), ("m", 5, "z", "a", *A, 5), ("m", 6, "v", "y", *A, 6)]
+    df = spark.createDataFrame(rows, LINE).withColumn("ts", F.timestamp_seconds("at"))
+    got = {}
+    for r in conversations.ordered_messages(conversations.message_rows(df, with_words=False)).collect():
+        got.setdefault(r["session_id"], []).append((r["turn"], r["id"], r["line_no"]))
+    assert [t for t, _, _ in sorted(got["r"])] == list(range(15)) and [i for _, i, _ in sorted(got["r"])] == sorted([r[2] for r in rows if r[0] == "r"], key=lambda i: int(i[1:]))
+    assert [n for _, _, n in sorted(got["m"])] == [0, 1, 2, 5, 3, 4, 6]
+    assert conversations.broken_sessions(df).count() == 0
+
+
 ENTITIES = "array<struct<name:string,kind:string,aliases:array<string>>>"
 PERSON = ["Prudence Diksifes", "Diksifes, Prue", "P. Diksifes", "Prudence Diksfes", "PRUDENCE DIKSIFES", "DIKSIFES Prudence", "Dr. Prudence Diksifes, PhD", "Prudence M. Diksifes", "Prudence  Diksifes", "Pruedence Diksifes", "Diksifes P."]
 ORG = ["Seknojafil Print Trade Association", "The Seknojafil Print Trade Association", "Seknojafil PTA", "Seknojafil Print Trade Assn.", "Association of Print Trade, Seknojafil", "Print Trade Association Seknojafil", "SEKNOJAFIL PRINT TRADE ASSOCIATION", "Seknojafil Prnit Trade Association"]

@@ -169,19 +169,17 @@ def ordered_messages(rows: DataFrame) -> DataFrame:
 def _long_chains(rows: DataFrame) -> DataFrame:
     """Turns of the messages of long sessions, in the order of _chain_places, by doubling pointers up the chain of parents."""
     rows = cut(rows.withColumn("__n", F.monotonically_increasing_id()))
-    known = rows.where(F.col("id").isNotNull()).select("session_id", F.col("id").alias("up")).distinct().withColumn("__known", F.lit(True))
-    state = rows.select("session_id", "__n", "id", F.col("parent").alias("up"), F.lit(1).cast("bigint").alias("depth"))
+    # An id that several rows carry names the last of them, as in _chain_places; every row has one row above it at most.
+    named = rows.where(F.col("id").isNotNull()).groupBy("session_id", F.col("id").alias("parent")).agg(F.max_by("__n", F.struct(*IN_TIME)).alias("up"))
     # Rows whose parent is missing or themselves, and in the end those on circles, have no root above them and get no depth.
-    rooted = F.col("up").isNull() | F.col("__known") & (F.col("up") != F.coalesce("id", F.lit("")))
-    state = cut(state.join(known, ["session_id", "up"], "left").where(rooted).select("session_id", "__n", "id", "up", "depth"))
+    rooted = F.col("parent").isNull() | (F.col("up") != F.col("__n"))
+    state = cut(rows.select("session_id", "__n", "parent").join(named, ["session_id", "parent"], "left").where(rooted).select("__n", "up", F.lit(1).cast("bigint").alias("depth")))
     for _ in range(40):  # a chain of 2**40 rows; circles never end
         if state.where(F.col("up").isNotNull()).limit(1).count() == 0:
             break
-        hop = state.where(F.col("id").isNotNull()).select("session_id", F.col("id").alias("up"), F.col("up").alias("__up"), F.col("depth").alias("__depth"))
+        hop = state.select(F.col("__n").alias("up"), F.col("up").alias("__up"), F.col("depth").alias("__depth"))
         ended = state.where(F.col("up").isNull())
-        moved = state.where(F.col("up").isNotNull()).join(hop, ["session_id", "up"]).select(
-            "session_id", "__n", "id", F.col("__up").alias("up"), (F.col("depth") + F.col("__depth")).alias("depth")
-        )
+        moved = state.where(F.col("up").isNotNull()).join(hop, "up").select("__n", F.col("__up").alias("up"), (F.col("depth") + F.col("__depth")).alias("depth"))
         state = cut(ended.unionByName(moved))
     depths = state.where(F.col("up").isNull()).select("__n", "depth")
     placed = rows.join(depths, "__n", "left").where("is_message").withColumn("depth", F.coalesce("depth", F.lit(2**62)))
