@@ -105,6 +105,23 @@ def test_minhash_recall(near_docs):
     assert len(want & got) >= 0.95 * len(want)
 
 
+def test_texts_of_few_words_are_signed_by_characters(spark):
+    rng = random.Random(8)
+    letter = lambda: chr(rng.randrange(0x3042, 0x3090))
+    base = ["".join(letter() for _ in range(400)) + "。" for _ in range(12)]
+    near = [b[: 30 * i + 5] + letter() + b[30 * i + 6 :].replace("。", "\u3000\n。") for i, b in enumerate(base)]
+    rows = [(i, t) for i, t in enumerate(base)] + [(100 + i, t) for i, t in enumerate(near)]
+    rows += [(200, base[0][:199]), (201, base[0][:198] + "x"), (202, "ab \n" * 100), (300, None)]  # too short, and few distinct runs
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("taped_at", F.timestamp_seconds("doc_id"))
+    got = {r["doc_id"]: (r["other"], r["jaccard"]) for r in neardup.flagged(docs, ["taped_at"], least=0.8).collect()}
+    assert {d: o for d, (o, _) in got.items()} == {100 + i: i for i in range(12)}
+    # The shingles are those of the squashed, lower-case text.
+    text = "Ab" * 20 + " \t\n" + base[1]
+    squashed = "ab" * 20 + " " + base[1]
+    want = neardup.signature([neardup.base_hash(s) for s in {squashed[i : i + 8] for i in range(len(squashed) - 7)}]).tolist()
+    assert spark.createDataFrame([(text,)], "t string").select(neardup.minhash(F.col("t"))).first()[0] == want
+
+
 FTS = ["alpha", "alpha beta", "alpha OR gamma", "alpha NOT beta", '"alpha beta"', "bet*", "cafe", "NEAR(alpha gamma, 2)", "(alpha OR beta) AND gamma"]
 
 

@@ -1,9 +1,10 @@
-"""Near duplicates among documents by word shingles."""
+"""Near duplicates among documents by shingles: of words, and in the estimate of characters where words are few."""
 
 from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,8 @@ from ..session import cut, spread
 # Shingle length in words, least similarity, and the prime of the hash family.
 SHINGLE, LEAST = 5, 0.8
 PRIME = (1 << 61) - 1
+# Length of character shingles, and the least length of a text that has them.
+CHARS, LEAST_CHARS = 8, 200
 SLOTS, BANDS = 128, 32
 
 
@@ -91,15 +94,25 @@ def base_hash(shingle: str) -> int:
 
 
 def minhash(text: Column, least: int = 30) -> Column:
-    """128 slots of a text's distinct word shingles; null where there are fewer than `least`."""
+    """128 slots of a text's distinct shingles; null where there are fewer than `least`.
+
+    Shingles are runs of five words; in a text with too few words for `least` of them, as those without
+    spaces are, they are runs of eight characters if it has 200 or more. White space counts as one space.
+    """
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def signed(texts: pd.Series) -> pd.Series:
         family, word = hash_family(), regex.compile(r"[\p{L}\p{N}_]+")
 
+        def runs(t: str) -> set[str]:
+            w = word.findall(t.lower())
+            if len(w) >= least + SHINGLE - 1:
+                return {" ".join(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
+            c = re.sub(r"\s+", " ", t.lower())
+            return {c[i : i + CHARS] for i in range(len(c) - CHARS + 1)} if len(c) >= LEAST_CHARS else set()
+
         def one(t: str | None) -> np.ndarray | None:
-            w = word.findall(t.lower()) if t else []
-            found = {" ".join(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
+            found = runs(t or "")
             return signature([base_hash(x) for x in found], family).astype(np.int64) if len(found) >= least else None
 
         return texts.map(one)
