@@ -105,6 +105,21 @@ def test_boilerplate_of_a_host_is_nothing(spark):
     assert {r[0] for r in residue.residue(df).collect()} == {100}
 
 
+def test_copies_make_no_boilerplate(spark):
+    chat = "Did the ferry leave on time this morning\nYes and the harbour was full of grey geese\nAccess denied.\nBring the green lantern tonight"
+    df = spark.createDataFrame([(i, "h", chat) for i in range(12)] + [(100, "other", chat)], "doc_id bigint, source string, text string")
+    assert residue.residue(df).count() == 0
+
+
+@pytest.mark.parametrize(("hosts_texts", "share", "found"), [(30, 0.1, {100}), (90, 0.1, set())])
+def test_boilerplate_is_a_share_of_the_host(spark, monkeypatch, hosts_texts, share, found):
+    monkeypatch.setattr(residue, "RECURRENT_SHARE", share)
+    nav = "The gallery of maritime maps and postcards\nOpening hours of the harbour museum, all year round\n"
+    rows = [(i, "h", (nav if i < 6 else "") + f"Content number {i} " * 12) for i in range(hosts_texts)] + [(100, "h", nav + "Access denied.")]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    assert {r[0] for r in residue.residue(df).collect()} == found
+
+
 @pytest.mark.parametrize("unit", ["Abc ", "a@", "a at b dot ", "[{", "a.b-c+", "<p>", " ", "1", "+1", "12 Main ", "Robert ", "Tel: 555.0121 ", "Calle de ", "\n", "é"])
 def test_very_long_texts(unit):
     text = (unit * 60_000)[:60_000]

@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 from ..session import cut, spread
 from .forms import fold, slices
 
-#: A line is boilerplate of a host when so many of its documents hold it ...
+#: A line is boilerplate of a host when so many of its distinct texts hold it ...
 RECURRENT_DOCS = 5
+#: ... and such a share of them ...
+RECURRENT_SHARE = 0.001
 #: ... and is counted up to this length; longer lines are content.
 LINE_CHARS = 80
 #: A sentence of a message is no longer; longer ones talk about it.
@@ -151,9 +153,9 @@ def counted(line: str) -> str:
 
 
 def _judged(df: DataFrame, key: str, text: str, host: str) -> DataFrame:
-    narrow = df.select(F.col(key).alias("__key"), F.coalesce(F.col(host), F.lit("")).alias("__host"), F.col(text).alias("__text"))
+    narrow = df.select(F.col(key).alias("__key"), F.coalesce(F.col(host), F.lit("")).alias("__host"), F.col(text).alias("__text"), F.sha2(F.col(text), 256).alias("digest"))
     lines = T.ArrayType(T.StringType(), False)
-    schema = T.StructType([narrow.schema["__key"], narrow.schema["__host"], T.StructField("anywhere", T.BooleanType(), False), T.StructField("alone", T.BooleanType(), False), T.StructField("rest", lines, False), T.StructField("lines", lines, False)])
+    schema = T.StructType([narrow.schema["__key"], narrow.schema["__host"], narrow.schema["digest"], T.StructField("anywhere", T.BooleanType(), False), T.StructField("alone", T.BooleanType(), False), T.StructField("rest", lines, False), T.StructField("lines", lines, False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
@@ -162,7 +164,7 @@ def _judged(df: DataFrame, key: str, text: str, host: str) -> DataFrame:
                 found.append(examine(value))
                 repeated.append(sorted({counted(x) for x in normal_lines(value) if len(x) <= LINE_CHARS}))
             kind = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.bool_()), pa.array([f[1] for f in found], pa.bool_()), pa.array([[counted(x) for x in f[2]] for f in found], kind), pa.array(repeated, kind)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array([f[0] for f in found], pa.bool_()), pa.array([f[1] for f in found], pa.bool_()), pa.array([[counted(x) for x in f[2]] for f in found], kind), pa.array(repeated, kind)], names=schema.names)
 
     return spread(narrow).mapInArrow(run, schema)
 
@@ -171,11 +173,14 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", host: str =
     """The `key` of records that are, or still contain, placeholders, filler, an error page or a script notice.
 
     Null and empty texts are none of these. Keys are taken to be unique; repeated ones come out once. Only
-    short lines, in normal form, are shuffled, counted map-side first, so a host that holds a third of all
-    records costs no more than others.
+    short lines, in normal form, are shuffled, once for each distinct text and counted map-side first, so a
+    host that holds a third of all records costs no more than others.
     """
-    judged = cut(_judged(df, key, text, host))  # read three times below, and dear to make
-    recurrent = judged.select("__host", F.explode("lines").alias("line")).groupBy("__host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= RECURRENT_DOCS).select("__host", "line")
+    judged = cut(_judged(df, key, text, host))  # read several times below, and dear to make
+    texts = judged.select("__host", "digest", "lines").dropDuplicates(["__host", "digest"])  # copies of a text are one
+    hosts = judged.groupBy("__host").agg(F.count_distinct("digest").alias("texts"))
+    counts = texts.select("__host", F.explode("lines").alias("line")).groupBy("__host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= RECURRENT_DOCS)
+    recurrent = counts.join(hosts, "__host").where(F.col("n") >= F.lit(RECURRENT_SHARE) * F.col("texts")).select("__host", "line")
     surely = judged.where("anywhere").select("__key")
     beside = judged.where("alone").select("__key", "__host", F.explode_outer("rest").alias("line"))
     # Of lines a host repeats nothing is left; of the rest their letters and digits.
