@@ -129,6 +129,13 @@ def test_what_may_be_two_is_none(spark):
     assert "E. Narvik" not in {r["s"] for r in names.entity_classes(df).collect()}
 
 
+def test_slips_of_unlisted_given_names(spark):
+    same = ["Thandiwe Mokoena", "Thandive Mokoena", "Thandwie Mokoena"]
+    rows = [same[0]] * 3 + same[1:] + ["Nomvula Mokoena", "Thandive Brodersen", "Zuri Mokoena", "Zuli Mokoena"]
+    df = spark.createDataFrame([([(n, "person", [])],) for n in rows], f"entities {ENTITIES}")
+    assert {tuple(r) for r in names.same_entity_pairs(df).collect()} == {(a, b) for a in same for b in same if a < b}
+
+
 def test_alike_keys_miss_no_slip(spark):
     rng = random.Random(3)
     keys = {"".join(rng.choice("aeioukltnrs") for _ in range(rng.randint(3, 9))) for _ in range(250)}

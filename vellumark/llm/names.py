@@ -25,6 +25,8 @@ from .given_names import full_names, full_of, near_given, one_edit_apart, plain
 Q, PREFIX = 3, 5
 #: Soft weighted similarity from which two spellings are one entity.
 SAME = 0.8
+#: Least length of a given name outside the list that may have a slip: shorter ones are too often two names.
+SLIP_CHARS = 5
 #: Words of organisations that typing errors are mended to: the most frequent ones.
 ORG_WORDS = 5_000
 
@@ -163,6 +165,11 @@ def fits_abbreviation(short: list[str], full: list[str]) -> bool:
     return True
 
 
+def slip_apart(a: str, b: str) -> bool:
+    """Whether two given names are one but for a slip; two of the list are two."""
+    return not (a in full_names() and b in full_names()) and min(len(a), len(b)) >= SLIP_CHARS and one_edit_apart(a, b)
+
+
 def spellings(card: DataFrame) -> DataFrame:
     """(s, n, as_name, other): distinct spellings, how often they are written, and how often as a name of no person or organisation."""
     e = card.select(F.explode("entities").alias("e")).where(F.col("e").isNotNull()).select("e.name", F.lower("e.kind").alias("kind"), "e.aliases")
@@ -295,14 +302,27 @@ def entity_classes(card: DataFrame) -> DataFrame:
 
     def linked(nodes: DataFrame, near_keys: DataFrame, kind: str, rest_n: DataFrame) -> DataFrame:
         """(node, up): each node to its most frequent like node if that is more frequent, verified by weighted similarity."""
-        other = nodes.select(F.col("node").alias("up"), "full", F.col("key").alias("near"), F.col("n").alias("up_n"))
-        pairs = nodes.join(near_keys, "key").join(other, ["full", "near"]).where((F.col("up_n") > F.col("n")) | (F.col("up_n") == F.col("n")) & (F.col("up") > F.col("node")) | (F.col("up") == F.col("node")))
+        other = nodes.select(F.col("node").alias("up"), F.col("full").alias("up_full"), F.col("key").alias("near"), F.col("n").alias("up_n"))
+        beside = nodes.join(near_keys, "key")
+        # Given names one slip apart are equal once a letter, or none, is left out of each: few rows each, whatever a key's number of nodes.
+        without = lambda c: F.array_distinct(F.concat(F.array(c), F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))))
+        left_out = other.withColumn("part", F.explode(without(F.col("up_full"))))
+        maybe = beside.withColumn("part", F.explode(without(F.col("full")))).join(left_out, ["near", "part"]).where(F.col("full") != F.col("up_full")).drop("part").distinct()
+
+        def slipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield b[[slip_apart(x, y) for x, y in zip(b["full"], b["up_full"], strict=True)]]
+
+        equal = beside.join(other.withColumn("full", F.col("up_full")), ["full", "near"])
+        slips = equal.unionByName(maybe.mapInPandas(slipped, maybe.schema)) if kind == "person" else equal
+        pairs = slips.where((F.col("up_n") > F.col("n")) | (F.col("up_n") == F.col("n")) & (F.col("up") > F.col("node")) | (F.col("up") == F.col("node")))
         total = weight.where(F.col("kind") == kind).agg(F.sum("key_n").alias("total"))
         scored = pairs.join(weight.where(F.col("kind") == kind).select("key", "key_n"), "key").join(rest_n, "full").join(F.broadcast(total))
         # Weights are inverse frequencies: a rare surname tells more than a common given name.
         rare = lambda c: F.log(1 + F.col("total") / F.col(c))
         match = 1 - F.levenshtein("key", "near") / F.greatest(F.length("key"), F.length("near"))
-        score = (rare("key_n") * match + rare("rest_n")) / (rare("key_n") + rare("rest_n"))
+        match_rest = 1 - F.levenshtein("full", "up_full") / F.greatest(F.length("full"), F.length("up_full"), F.lit(1))
+        score = (rare("key_n") * match + rare("rest_n") * match_rest) / (rare("key_n") + rare("rest_n"))
         best = scored.where(score >= SAME).groupBy("node").agg(F.max(F.struct("up_n", "up")).alias("b"))
         return best.select("node", F.col("b.up").alias("up"))
 
