@@ -136,7 +136,10 @@ def reading_pass(chunks: DataFrame, cards: DataFrame | None, provider: Provider,
 
 
 def backfill_vectors(chunks: DataFrame, vectors: DataFrame, embed: Callable[[list[str]], list[list[float]]], model: str, group: int = 16, most_chars: int = 8_000) -> DataFrame:
-    """(doc_id, seq, dim, vec, model) for chunks that have none, embedded some at a time; null texts have no row."""
+    """(doc_id, seq, dim, vec, model) for chunks that have none, embedded some at a time; null texts have no row.
+
+    The embedder sees the first `most_chars` characters of a text, the reference's limit, and nothing after them.
+    """
     todo = still_to_do(chunks.where("text is not null"), vectors).select("doc_id", "seq", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
