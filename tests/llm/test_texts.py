@@ -105,6 +105,31 @@ def test_boilerplate_of_a_host_is_nothing(spark):
     assert {r[0] for r in residue.residue(df).collect()} == {100}
 
 
+def test_recurrent_placeholders_are_subtracted(spark):
+    rows = [(i, "h", f"A note on the harbour, number {i}: the tide was {'low' if i % 2 else 'high'} and {i} boats came in.\nGenerated by {{{{site_name}}}}") for i in range(40)]
+    rows += [(100, "h", "Dear {{name}},\nthe harbour is closed.\nGenerated by {{site_name}}"), (101, "other", "The tide was low.\nGenerated by {{site_name}}")]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    assert {r[0] for r in residue.residue(df).collect()} == {100, 101}
+
+
+def test_error_pages_a_host_repeats_are_error_pages(spark):
+    rows = [(i, "h", f"404 Not Found\nThe requested URL /{chr(97 + i)} was not found on this server.\nnginx/1.2") for i in range(20)] + [(50, "h", "The mill was closed when we came. " * 5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    assert {r[0] for r in residue.residue(df).collect()} == set(range(20))
+
+
+def test_what_isnt_searched_has_no_message(data):
+    import pyarrow.parquet as pq
+
+    for text in forms.fold(pq.read_table(f"{data}/documents.parquet", columns=["text"]).column(0).combine_chunks()).strings().to_pylist():
+        lines = [x.casefold() for x in residue.shown_lines(text)]
+        whole = "\n".join(lines)
+        if any(residue.ERROR.search(x) or residue.SCRIPT.search(x) for x in lines):
+            assert residue.STATUS.search(whole) or any(w in whole for w in (*residue.SCRIPT_NEEDS, *residue.ERROR_NEEDS))
+        if any(residue.FILLER.search(x) for x in lines if len(x) <= residue.FILLER_CHARS):
+            assert any(w in whole for w in residue.FILLER_NEEDS)
+
+
 def test_copies_make_no_boilerplate(spark):
     chat = "Did the ferry leave on time this morning\nYes and the harbour was full of grey geese\nAccess denied.\nBring the green lantern tonight"
     df = spark.createDataFrame([(i, "h", chat) for i in range(12)] + [(100, "other", chat)], "doc_id bigint, source string, text string")

@@ -1,14 +1,16 @@
 """Template residue, filler, error pages and script notices among documents (problem 10).
 
-Lines are normalised and counted by host; lines a host repeats are its boilerplate. What is left of a
-record after its boilerplate is examined for unfilled placeholders, filler, error messages and notices that
-scripts are required. Placeholders and running filler count wherever they stand; messages count where no
-content is left beside them, so that texts which talk about such things stay.
+Lines are normalised and counted by host over distinct texts; lines a host repeats are its boilerplate and
+are subtracted from each record. The residual is searched for evidence: unfilled placeholders and running
+filler count wherever they are left; error messages, short filler and notices that scripts are required count
+where the residual holds no content beside them, so that texts which talk about such things stay.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 import regex
@@ -19,13 +21,13 @@ from pyspark.sql import types as T
 from ..session import cut, spread
 from .forms import fold, slices
 
-#: A line is boilerplate of a host when so many of its distinct texts hold it ...
-RECURRENT_DOCS = 5
-#: ... and such a share of them ...
-RECURRENT_SHARE = 0.001
-#: ... and is counted up to this length; longer lines are content.
-LINE_CHARS = 80
-#: A sentence of a message is no longer; longer ones talk about it.
+#: A line is boilerplate of a host when such a share of its distinct texts hold it ...
+RECURRENT_SHARE = 0.02
+#: ... and at least so many, so that the few texts of a small host make none.
+RECURRENT_TEXTS = 5
+#: A line of short filler is no longer, ...
+FILLER_CHARS = 80
+#: ... and a sentence of a message no longer than this; longer ones talk about it.
 MESSAGE_CHARS = 100
 #: Letters and digits of content beside a message up to which the record is the message.
 LEFT_CHARS = 60
@@ -86,42 +88,55 @@ TAG = regex.compile(r"<(?:head|title|script|style)\b.*?</(?:head|title|script|st
 FOOTER = regex.compile(r"^(?:©|\(c\)|copyright).{0,60}$")
 
 
+# A message or a line of short filler has one of these, or a status code; texts without them aren't searched for it.
+ERROR_NEEDS = (
+    "not found|forbidden|bad gateway|internal server error|unavailable|gateway time|page isn|be found on|requested |denied|permission |expired|timed out|too many requests|something went wrong| database|be reached|took too long|checking |are you human|verify |no longer |moved or|under maintenance|unexpected |occurred"
+    "|seite |zugriff verweigert|serverfehler|sitzung ist|nicht verfügbar|vorübergehend nicht|datenbankverbindung|zu viele anfragen|ein fehler ist|accès |introuvable|momentanément|existe plus|expiré|erreur interne|trop de requêtes|une erreur|acceso denegado|no disponible|sesión ha|página no|error interno|demasiadas|ha ocurrido"
+    "|не найдена|доступ |временно недоступ|сессия истекла|внутренняя ошибка|слишком много|произошла ошибка|見つかりません|アクセスが集中|しばらくしてから|権限がありません|セッションの有効期限|エラーが発生|メンテナンス中|利用できません|traceback (|exception in thread|fatal error|error|segmentation fault"
+).split("|")
+SCRIPT_NEEDS = ("script", "скрипт")
+FILLER_NEEDS = (
+    "headline|blindtext|platzhaltertext|beispieltext|texto de |texte de |faux texte|dummy|sample|placeholder|filler|example|replace before| here|body copy|description |heading |title |paragraph |item |text |coming soon|under construction|loading|to be written"
+    "|testo segnaposto|texto simulado|заполнитель|рыбный|здесь |ダミー|ここに|サンプルテキスト|準備中|文章が入ります|скоро |bald verfügbar|próximamente|bientôt"
+).split("|")
+STATUS = re.compile(r"[45]\d\d")
+LINE_ENDS = re.compile("[\n\r\x0b\x0c\u2028\u2029]")
+DIGITS = re.compile(r"\d+")
+
+
 def is_code(text: str) -> bool:
     """Whether most of a text's lines are code."""
     lines = [x for x in text.split("\n") if x.strip()]
     return len(lines) >= 3 and sum(bool(CODE_LINE.search(x)) for x in lines) >= 0.4 * len(lines)
 
 
-def has_placeholder(text: str) -> bool:
-    """An unfilled field outside code and outside what is quoted as code."""
-    if not any(c in text for c in "{}[]<>%@#«*_【;("):
-        return False
-    bare = QUOTED.sub(" ", text)
-    return bool(PLACEHOLDER.search(bare)) and not is_code(text)
-
-
-def has_running_filler(text: str) -> bool:
+def has_running_filler(paragraph: str) -> bool:
     """Two sentences' worth of pseudo-Latin: a passage of words nearly all of which begin like the stock passage."""
-    for paragraph in text.split("\n"):
-        words = paragraph.lower().split()
-        if len(words) < 6 or (like := sum(w[:4] in STEMS for w in words)) < 4:
-            continue
-        if like >= 0.5 * len(words):
+    words = paragraph.lower().split()
+    if len(words) < 6 or (like := sum(w[:4] in STEMS for w in words)) < 4:
+        return False
+    if like >= 0.5 * len(words):
+        return True
+    for sentence in SENTENCE.findall(paragraph):
+        words = sentence.lower().split()
+        if len(words) >= 6 and sum(w[:4] in STEMS for w in words) >= 0.6 * len(words):
             return True
-        for sentence in SENTENCE.findall(paragraph):
-            words = sentence.lower().split()
-            if len(words) >= 6 and sum(w[:4] in STEMS for w in words) >= 0.6 * len(words):
-                return True
     return False
 
 
-def normal_lines(text: str) -> list[str]:
-    """The lines of a text without markup, in lower case, digits as 0 and white space as one space."""
-    shown = TAG.sub(lambda m: " <noscript>\n" if m[0].lower().startswith("<noscript") else "\n", text)
-    lines = (regex.sub(r"\s+", " ", x).strip().casefold() for x in regex.split(r"[\n\r\x0b\x0c  ]", shown))
+def shown_lines(text: str) -> list[str]:
+    """The lines of a text without markup, white space as one space; a tag that holds a placeholder stays."""
+    if "<" in text:
+        text = TAG.sub(lambda m: " <noscript>\n" if m[0].lower().startswith("<noscript") else f"\n{m[0]}\n" if PLACEHOLDER.search(m[0]) else "\n", text)
+    lines = (" ".join(x.split()) for x in LINE_ENDS.split(text))
     return [x for x in lines if x]
 
 
+def line_key(line: str) -> int:
+    """What lines are counted by: 64 bits of a line in lower case with its numbers as 0."""
+    return int.from_bytes(blake2b(DIGITS.sub("0", line.casefold()).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
 def is_message(line: str) -> bool:
     """A line that is an error message or script notice: short sentences only, the first of which says so."""
     if len(line) > 3 * MESSAGE_CHARS or not (ERROR.search(line) or SCRIPT.search(line)):
@@ -132,62 +147,77 @@ def is_message(line: str) -> bool:
     return max(map(len, sentences)) <= MESSAGE_CHARS and bool(ERROR.search(sentences[0]) or SCRIPT.search(sentences[0]))
 
 
-def examine(text: str) -> tuple[bool, bool, list[str]]:
-    """(evidence that counts anywhere, evidence that counts alone, the lines beside the latter)."""
-    if has_placeholder(text) or has_running_filler(text):
-        return True, False, []
-    lines = normal_lines(text)
+def examine(text: str) -> tuple[list[int], list[int], bool, list[tuple[int, int]]]:
+    """(keys of all lines, keys of lines with evidence that counts anywhere, whether there is a message, (key, size) of the content beside it).
+
+    Evidence is read line by line, as a line is what the boilerplate takes away; whether a record is code, and
+    what it quotes as code, is told from the whole of it.
+    """
+    lines = shown_lines(text)
+    keys = [line_key(x) for x in lines]
+    anywhere = [k for x, k in zip(lines, keys, strict=True) if has_running_filler(x)]
+    if any(c in text for c in "{}[]<>%@#«*_【;(") and PLACEHOLDER.search(text):
+        bare = shown_lines(QUOTED.sub(" ", text)) if "`" in text else lines
+        held = [line_key(x) for x in bare if PLACEHOLDER.search(x)]
+        anywhere += [] if held and is_code(text) else held
+    low = [x.casefold() for x in lines]
+    whole = "\n".join(low)
+    may_say = STATUS.search(whole) or any(w in whole for w in SCRIPT_NEEDS) or any(w in whole for w in ERROR_NEEDS)
+    may_fill = any(w in whole for w in FILLER_NEEDS)
     rest, message = [], False
-    for line in lines:
-        if is_message(line) or MASHED.search(line) or len(line) <= LINE_CHARS and FILLER.search(line):
+    for line, key in zip(low, keys, strict=True):
+        if may_say and is_message(line) or MASHED.search(line) or may_fill and len(line) <= FILLER_CHARS and FILLER.search(line):
             message = True
         else:
-            rest.append(line)
-    if message:
-        rest = [x for x in rest if not DETAIL.search(x) and not FOOTER.search(x)]
-    return False, message, rest if message else []
-
-
-def counted(line: str) -> str:
-    return regex.sub(r"\d+", "0", line)
+            rest.append((line, key))
+    beside = [(k, sum(map(str.isalnum, x))) for x, k in rest if not DETAIL.search(x) and not FOOTER.search(x)] if message else []
+    return keys, anywhere, message, beside
 
 
 def _judged(df: DataFrame, key: str, text: str, host: str) -> DataFrame:
     narrow = df.select(F.col(key).alias("__key"), F.coalesce(F.col(host), F.lit("")).alias("__host"), F.col(text).alias("__text"), F.sha2(F.col(text), 256).alias("digest"))
-    lines = T.ArrayType(T.StringType(), False)
-    schema = T.StructType([narrow.schema["__key"], narrow.schema["__host"], narrow.schema["digest"], T.StructField("anywhere", T.BooleanType(), False), T.StructField("alone", T.BooleanType(), False), T.StructField("rest", lines, False), T.StructField("lines", lines, False)])
+    keys = T.ArrayType(T.LongType(), False)
+    beside = T.ArrayType(T.StructType([T.StructField("line", T.LongType(), False), T.StructField("size", T.IntegerType(), False)]), False)
+    schema = T.StructType([*(narrow.schema[c] for c in ("__key", "__host", "digest")), T.StructField("lines", keys, False), T.StructField("anywhere", keys, False), T.StructField("message", T.BooleanType(), False), T.StructField("beside", beside, False)])
+    sized = pa.list_(pa.struct([("line", pa.int64()), ("size", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
-            found, repeated = [], []
-            for value in fold(batch.column(2)).strings().to_pylist():
-                found.append(examine(value))
-                repeated.append(sorted({counted(x) for x in normal_lines(value) if len(x) <= LINE_CHARS}))
-            kind = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array([f[0] for f in found], pa.bool_()), pa.array([f[1] for f in found], pa.bool_()), pa.array([[counted(x) for x in f[2]] for f in found], kind), pa.array(repeated, kind)], names=schema.names)
+            found = [examine(v) for v in fold(batch.column(2)).strings().to_pylist()]
+            columns = [
+                pa.array([sorted(set(f[0])) for f in found], pa.list_(pa.int64())),
+                pa.array([sorted(set(f[1])) for f in found], pa.list_(pa.int64())),
+                pa.array([f[2] for f in found], pa.bool_()),
+                pa.array([[{"line": k, "size": n} for k, n in f[3]] for f in found], sized),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), *columns], names=schema.names)
 
     return spread(narrow).mapInArrow(run, schema)
 
 
 def residue(df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """The `key` of records that are, or still contain, placeholders, filler, an error page or a script notice.
+    """The `key` of records whose residual is, or still contains, placeholders, filler, an error page or a script notice.
 
-    Null and empty texts are none of these. Keys are taken to be unique; repeated ones come out once. Only
-    short lines, in normal form, are shuffled, once for each distinct text and counted map-side first, so a
-    host that holds a third of all records costs no more than others.
+    The residual is a record without the lines that its host repeats. A message is told by what the residual
+    holds beside it, so a page of nothing but boilerplate and a message is one even if the host repeats the
+    message too. Null and empty texts are no residue. Keys are taken to be unique; repeated ones come out
+    once. A null host is one of its own. Of each line a key of 64 bits is shuffled, once for each distinct
+    text and counted map-side first, so a host that holds a third of all records costs no more than others.
     """
     judged = cut(_judged(df, key, text, host))  # read several times below, and dear to make
     texts = judged.select("__host", "digest", "lines").dropDuplicates(["__host", "digest"])  # copies of a text are one
-    hosts = judged.groupBy("__host").agg(F.count_distinct("digest").alias("texts"))
-    counts = texts.select("__host", F.explode("lines").alias("line")).groupBy("__host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= RECURRENT_DOCS)
-    recurrent = counts.join(hosts, "__host").where(F.col("n") >= F.lit(RECURRENT_SHARE) * F.col("texts")).select("__host", "line")
-    surely = judged.where("anywhere").select("__key")
-    beside = judged.where("alone").select("__key", "__host", F.explode_outer("rest").alias("line"))
-    # Of lines a host repeats nothing is left; of the rest their letters and digits.
-    left = beside.join(recurrent.withColumn("known", F.lit(True)), ["__host", "line"], "left")
-    size = F.when(F.col("known") | F.col("line").isNull(), 0).otherwise(F.char_length(F.regexp_replace("line", r"[^\p{L}\p{N}]", "")))
-    alone = left.groupBy("__key").agg(F.sum(size).alias("left")).where(F.col("left") <= LEFT_CHARS).select("__key")
-    return surely.unionByName(alone).distinct().select(F.col("__key").alias(key))
+    hosts = texts.groupBy("__host").agg(F.count(F.lit(1)).alias("texts"))
+    asked = judged.where(F.col("message") | (F.size("anywhere") > 0)).select("__key", "__host", "message", "anywhere", "beside")
+    # Only lines of records with some evidence need their counts.
+    wanted = asked.select("__host", F.explode(F.array_distinct(F.concat("anywhere", F.transform("beside", lambda x: x["line"])))).alias("line")).distinct()
+    counts = texts.select("__host", F.explode("lines").alias("line")).groupBy("__host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= RECURRENT_TEXTS)
+    recurrent = wanted.join(counts, ["__host", "line"]).join(hosts, "__host").where(F.col("n") >= F.lit(RECURRENT_SHARE) * F.col("texts"))
+    known = recurrent.select("__host", "line", F.lit(True).alias("known"))
+    left_over = asked.select("__key", "__host", F.explode("anywhere").alias("line")).join(known, ["__host", "line"], "left_anti").select("__key")
+    beside = asked.where("message").select("__key", "__host", F.explode_outer("beside").alias("b")).select("__key", "__host", "b.line", "b.size")
+    size = F.when(F.col("known") | F.col("line").isNull(), 0).otherwise(F.col("size"))
+    alone = beside.join(known, ["__host", "line"], "left").groupBy("__key").agg(F.sum(size).alias("left")).where(F.col("left") <= LEFT_CHARS).select("__key")
+    return left_over.unionByName(alone).distinct().select(F.col("__key").alias(key))
 
 
 def without_residue(df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
