@@ -12,6 +12,8 @@ FOLDS = [
     ("ｶﾀﾛｸﾞ", "カタログ", True), ("２００３年", "2003年", True), ("Keller", "Keller", True), ("There is а map", "There is a map", True), ("한", "한", True), ("ậ", "ậ", True),
     ("Привет из порта", "Привет из порта", False), ("stencilled ΑΡΧΕΙΟ here", "stencilled ΑΡΧΕΙΟ here", False), ("Plot Δt against β, μ-law", "Plot Δt against β, μ-law", False), ("👩‍💻 ❤️ 1️⃣", "👩‍💻 ❤️ 1️⃣", False),
     ("“Never” — that’s…", "“Never” — that’s…", False), ("½ a cup, 21 °C, ±3 µm, 24º", "½ a cup, 21 °C, ±3 µm, 24º", False), ("なぜ（16冊）！", "なぜ（16冊）！", False), ("напишу о Verick", "напишу о Verick", False), ("می‌خواهم", "می‌خواهم", False), ("", "", False), ("tab\tline\n", "tab\tline\n", False),
+    ("the соорег house", "the cooper house", True), ("оссоре near the gate", "occope near the gate", True), ("Ꮪchool bell", "School bell", True), ("հouse օwl", "house owl", True), ("pαlm tree", "palm tree", True), ("SALE АВС NOW", "SALE ABC NOW", True), ("to wynard＠corvid.invalid now", "to wynard@corvid.invalid now", True),
+    ("СССР in old maps", "СССР in old maps", False), ("сахар Verick вода", "сахар Verick вода", False), ("αmax of βs", "αmax of βs", False), ("Հայաստան, բարև", "Հայաստան, բարև", False), ("гора у Verick, вода", "гора у Verick, вода", False),
 ]
 
 

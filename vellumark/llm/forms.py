@@ -23,18 +23,26 @@ from pyspark.sql import types as T
 
 from ..session import spread
 
-# Letters of other scripts that look like a Latin letter.
-CYRILLIC = "аАВсСеЕԍНіІјЈКМоОрРѕЅТԛԝхХуУԁһ"
-CYRILLIC_AS = "aABcCeEGHiIjJKMoOpPsSTqwxXyYdh"
+# Letters of other scripts that look like a Latin letter, script by script.
+CYRILLIC = "аАВсСеЕԍНіІјЈКМоОрРѕЅТԛԝхХуУԁһгүҮѵӏӀ"
+CYRILLIC_AS = "aABcCeEGHiIjJKMoOpPsSTqwxXyYdhryYvlI"
 GREEK = "ΑΒΕΖΗΙΚΜΝΟοΡΤΥΧνϲϳ"
 GREEK_AS = "ABEZHIKMNOoPTYXvcj"
+#: Greek letters that also stand for quantities beside Latin ones: look-alikes inside longer words only.
+GREEK_SMALL, GREEK_SMALL_AS = "αικρυχγω", "aikpuxyw"
+ARMENIAN, ARMENIAN_AS = "աօոհսզցյՕՍՏՀԼ", "wonhuqgjOUSZL"
+CHEROKEE, CHEROKEE_AS = "ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃᎩ", "ABCDEGHJKLMPRSTVWZY"
+COPTIC, COPTIC_AS = "ⲞⲟⲢⲣⲤⲥⲘⲚⲦⲬⲎⲒⲔ", "OoPpCcMNTXHIK"
+LISU, LISU_AS = "ꓮꓐꓚꓓꓰꓝꓖꓧꓲꓙꓗꓡꓟꓠꓳꓑꓣꓢꓔꓴꓦꓪꓫꓬꓜ", "ABCDEFGHIJKLMNOPRSTUVWXYZ"
 # Marks that change nothing in sight besides the format characters (Cf).
 UNSEEN = "͏ᅟᅠ឴឵᠋᠌᠍᠏ㅤﾠ"
 
-LATIN, CYR, GRK, OTHER = 1, 2, 3, 4
+# OTHER are scripts whose words may stand beside Latin ones without a space; the rest are told apart word by word.
+LATIN, CYR, GRK, OTHER, ARM, CHR, COP, LIS = range(1, 9)
+SCRIPTS = {"LATIN": LATIN, "CYRILLIC": CYR, "GREEK": GRK, "ARMENIAN": ARM, "CHEROKEE": CHR, "COPTIC": COP, "LISU": LIS}
 DROP, SPACE, EXPAND = 1, 2, 3
-#: Words of look-alikes alone are resolved by their neighbours up to this length; longer ones are words of their own script.
-SHORT = 2
+#: Words of one or two look-alikes are settled by the words beside them; longer ones also by the other words of their line.
+PARTICLE = 2
 
 
 @dataclass(frozen=True)
@@ -46,7 +54,8 @@ class Tables:
     size: np.ndarray
     flat: np.ndarray
     told: np.ndarray  # the expansion counts as a disguise
-    script: np.ndarray  # LATIN, CYR, GRK, OTHER, 0 for what is no letter
+    script: np.ndarray  # LATIN and so on, OTHER, 0 for what is no letter
+    capital: np.ndarray
     mark: np.ndarray  # combining class
     symbol: np.ndarray  # emoji and other symbols
     joins: np.ndarray  # letters of scripts that use joiners and direction marks
@@ -63,7 +72,7 @@ def tables() -> Tables:
     n = sys.maxunicode + 1
     zero = lambda t: np.zeros(n, t)
     kind, start, size, told = zero(np.uint8), zero(np.uint32), np.ones(n, np.uint8), zero(bool)
-    script, mark, symbol, joins = zero(np.uint8), zero(np.uint8), zero(bool), zero(bool)
+    script, mark, symbol, joins, capital = zero(np.uint8), zero(np.uint8), zero(bool), zero(bool), zero(bool)
     latin, cyrillic, greek, wide = zero(np.uint32), zero(np.uint32), zero(np.uint32), zero(np.uint32)
     flat: list[int] = []
     pairs: list[tuple[int, int]] = []
@@ -86,7 +95,7 @@ def tables() -> Tables:
         plain = unicodedata.normalize("NFC", c)
         if decomposed and decomposed[0] in ("<wide>", "<narrow>", "<font>", "<compat>", "<initial>", "<medial>", "<final>", "<isolated>"):
             letter = category[0] == "L" or category == "Nd"
-            kept = o in (0xB5, 0x2113, 0xE33, 0xEB3) or 0x3130 <= o <= 0x318F or decomposed[0] == "<compat>" and 0x3200 <= o <= 0x33FF
+            kept = o in (0xB5, 0x587, 0x2113, 0xE33, 0xEB3) or 0x3130 <= o <= 0x318F or decomposed[0] == "<compat>" and 0x3200 <= o <= 0x33FF
             if letter and not kept:
                 plain = unicodedata.normalize("NFKC", c)
             elif decomposed[0] == "<wide>" and 0xFF00 < o < 0xFF5F:
@@ -96,24 +105,27 @@ def tables() -> Tables:
             flat.extend(map(ord, plain))
         if category[0] == "L":
             name = unicodedata.name(c, "")
-            script[o] = LATIN if name.startswith("LATIN") else CYR if name.startswith("CYRILLIC") else GRK if name.startswith("GREEK") else OTHER
+            script[o] = SCRIPTS.get(name.partition(" ")[0], OTHER)
+            capital[o] = category == "Lu"
             joins[o] = 0x590 <= o <= 0xDFF or 0x1000 <= o <= 0x109F or 0x1780 <= o <= 0x18AF
         elif category[0] == "M":
             joins[o] = 0x590 <= o <= 0xDFF or 0x1000 <= o <= 0x109F or 0x1780 <= o <= 0x18AF
     for o in [*range(0x41, 0x5B), *range(0x61, 0x7B)]:
         script[o] = LATIN
+        capital[o] = o < 0x61
     for o in range(0x20):
         if chr(o) not in "\t\n\r\f\v":
             kind[o] = DROP
     kind[0x7F] = DROP
-    for c, as_latin in zip(CYRILLIC + GREEK, CYRILLIC_AS + GREEK_AS, strict=True):
-        latin[ord(c)] = ord(as_latin)
+    for alike, as_latin in ((CYRILLIC, CYRILLIC_AS), (GREEK, GREEK_AS), (GREEK_SMALL, GREEK_SMALL_AS), (ARMENIAN, ARMENIAN_AS), (CHEROKEE, CHEROKEE_AS), (COPTIC, COPTIC_AS), (LISU, LISU_AS)):
+        for c, l in zip(alike, as_latin, strict=True):
+            latin[ord(c)] = ord(l)
     for other, back in ((CYRILLIC, CYRILLIC_AS), (GREEK, GREEK_AS)):
         for c, as_latin in zip(other, back, strict=True):
             (cyrillic if other is CYRILLIC else greek)[ord(as_latin)] = ord(c)
     pairs.sort()
     keys, results = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
-    return Tables(kind, start, size, np.array(flat or [0], np.uint32), told, script, mark, symbol, joins, keys, results.astype(np.uint32), latin, cyrillic, greek, wide)
+    return Tables(kind, start, size, np.array(flat or [0], np.uint32), told, script, capital, mark, symbol, joins, keys, results.astype(np.uint32), latin, cyrillic, greek, wide)
 
 
 @dataclass
@@ -223,29 +235,38 @@ def _composed(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np
     return p[~gone], src[~gone], places
 
 
+@lru_cache(maxsize=1)
+def _small_greek() -> np.ndarray:
+    return np.array([ord(c) for c in GREEK_SMALL], np.uint32)
+
+
 def _resolved(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray]:
     """Look-alikes of another script put right, word by word; also the places where."""
     script = t.script[p]
-    word = (script > 0) & (script < OTHER)
-    foreign = (script == CYR) | (script == GRK)
+    word = (script > 0) & (script != OTHER)
+    foreign = word & (script != LATIN)
     if not foreign.any():
         return p, np.empty(0, np.int64)
     edge = np.flatnonzero(word & ~_neighbour(word, 1))
     stop = np.flatnonzero(word & ~_neighbour(word, -1)) + 1
     add = lambda x: np.add.reduceat(np.append(x, 0).astype(np.int64), np.stack([edge, stop], 1).ravel())[::2]
-    n, is_latin, is_cyr, is_grk = stop - edge, add(script == LATIN), add(script == CYR), add(script == GRK)
+    n, is_latin, is_cyr, is_grk, is_foreign = stop - edge, add(script == LATIN), add(script == CYR), add(script == GRK), add(foreign)
     like_latin = add(foreign & (t.latin[p] > 0))
     to_cyr, to_grk = add((script == LATIN) & (t.cyrillic[p] > 0)), add((script == LATIN) & (t.greek[p] > 0))
-    mixed = (is_latin > 0) & (is_cyr + is_grk > 0)
-    can_latin = mixed & (like_latin == is_cyr + is_grk)
-    can_cyr, can_grk = mixed & (is_grk == 0) & (to_cyr == is_latin), mixed & (is_cyr == 0) & (to_grk == is_latin)
+    mixed = (is_latin > 0) & (is_foreign > 0)
+    # A small Greek letter beside few Latin ones, or before them, is a quantity.
+    small = add(np.isin(p, _small_greek()))
+    quantity = (small > 0) & ((is_latin < 3) | np.isin(p[edge], _small_greek()) & (n < 5))
+    can_latin = mixed & (like_latin == is_foreign) & ~quantity
+    can_cyr, can_grk = mixed & (is_foreign == is_cyr) & (to_cyr == is_latin), mixed & (is_foreign == is_grk) & (to_grk == is_latin)
     # Where both ways are open the script with more letters of its own decides, Latin in a tie.
     as_cyr = can_cyr & (~can_latin | (is_cyr > is_latin))
     as_grk = can_grk & (~can_latin | (is_grk > is_latin)) & ~as_cyr
     as_latin = can_latin & ~as_cyr & ~as_grk
-    # Whole words of look-alikes: short ones go by the words beside them, on the same line.
-    alike = (is_latin == 0) & (like_latin == n) & (n <= SHORT)
-    solid = np.where(is_cyr == n, CYR, np.where(is_grk == n, GRK, np.where(is_latin == n, LATIN, 0)))
+    # Whole words of look-alikes go by the words beside them, on the same line.
+    alike = (is_latin == 0) & (like_latin == n) & (small == 0)
+    own = np.maximum.reduceat(np.append(script, 0), np.stack([edge, stop], 1).ravel())[::2].astype(np.int64)
+    solid = np.where(add(script == np.repeat(own, n)[np.cumsum(word) - 1]) == n, own, 0) if len(edge) else own
     solid[alike] = 0
     solid[as_latin] = LATIN
     solid[as_cyr] = CYR
@@ -257,10 +278,17 @@ def _resolved(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np
             side[_neighbour(line, step) != line] = 0
         return near
 
-    own = np.where(is_cyr > 0, CYR, GRK)
+    # A longer word stays what it is on a line with surer words of its script, or as an inscription: in capitals among words that aren't.
+    held = np.zeros(len(edge), bool)
+    if (longer := alike & (n > PARTICLE)).any():
+        sure = np.unique(line[(solid > 0)] * 16 + solid[solid > 0])
+        shouted = add(t.capital[p]) == n
+        around = _neighbour(shouted, 1) & (_neighbour(line, 1) == line) | _neighbour(shouted, -1) & (_neighbour(line, -1) == line)
+        held = longer & (np.isin(line * 16 + own, sure) | shouted & ~around)
+        solid[held] = own[held]
     while True:  # a word that was settled may settle the one beside it
         left, right = beside()
-        more = alike & ~as_latin & ((left == LATIN) | (right == LATIN)) & (left != own) & (right != own)
+        more = alike & ~held & ~as_latin & ((left == LATIN) | (right == LATIN)) & (left != own) & (right != own)
         if not more.any():
             break
         as_latin |= more
@@ -303,6 +331,7 @@ def fold(texts: pa.Array) -> Folded:
         at = np.flatnonzero(inside)
         at = at[~np.repeat(beside, last - first + 1)]
         p[at] = punctuation[at]
+        disguise.append(src[at])
         kind = t.kind[p]
     p = np.where(kind == SPACE, 0x20, p).astype(np.uint32)
     if (kind == EXPAND).any():
@@ -360,9 +389,9 @@ def consistent_forms(df: DataFrame, text: str = "text", keep: tuple[str, ...] =
     One narrow pass. Disguised are invisible characters, spaces other than the plain one, letters standing
     in for a look-alike of another script, accents split from their letter, and compatibility forms of
     letters and digits. Left alone are words truly in another script, emoji sequences, typographic quotes
-    and dashes, fractions, units and full-width punctuation beside East Asian text; full-width punctuation
-    elsewhere becomes plain in the form but doesn't count. A null text has a null form, an empty one an
-    empty form; neither is disguised. Repeated rows stay repeated. Other columns are dropped.
+    and dashes, fractions, units and full-width punctuation beside East Asian text; elsewhere such punctuation
+    is a compatibility form like that of letters. A null text has a null form, an empty one an empty form;
+    neither is disguised. Repeated rows stay repeated. Other columns are dropped.
     """
     return _with_forms(df, text, keep, True)
 
