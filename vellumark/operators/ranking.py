@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 SLICES = 64
 
 
@@ -33,6 +35,32 @@ def with_group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], r
     return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("r.__start") + F.col("l.__inside")).cast("bigint").alias(rank))
 
 
+def with_sorted_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], rank: str = "rank") -> DataFrame:
+    """df with `rank`, 0-based and dense inside each group in `order`, as bigint; nulls come first.
+
+    Rows are cut into ranges of (group, order) of about equal size, so a group, or a single moment in which
+    a third of all rows lie, is spread over as many tasks as its share asks for. The ranges come from a
+    sample, so they are written down (`cut`) before they are counted. `order` must tell rows apart; among
+    rows equal in all of it the rank is arbitrary but still dense.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(df.repartitionByRange(ranges, *group, *order).withColumn("__range", F.spark_partition_id()))
+    ranked = _added_up(placed, group, ["__range"], F.lit(1), F.row_number().over(Window.partitionBy(*group, "__range").orderBy(*order)) - 1, rank)
+    return ranked.drop("__range")
+
+
+def _added_up(cells: DataFrame, group: Sequence[str], within: Sequence[str], each: Column, inside: Column, name: str) -> DataFrame:
+    """cells with `inside` plus what the cells of its group before its own hold of `each`."""
+    keys = [*group, *within]
+    sums = cells.groupBy(*keys).agg(F.sum(each).alias("__sum"))
+    earlier = Window.partitionBy(*group).orderBy(*within).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"))
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return cells.withColumn("__inside", inside).join(starts, on).select(*cells.columns, (F.col("__start") + F.col("__inside")).cast("bigint").alias(name))
+
+
 def with_group_prefix_sum(df: DataFrame, group: Sequence[str], bucket: Column, order: Sequence[str], value: str, before: str = "before") -> DataFrame:
     """df with `before`: the sum of `value` over the rows of its group that come earlier, as bigint.
 

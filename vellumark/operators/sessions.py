@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import with_group_rank
+from .ranking import with_sorted_rank
 
 #: Lines of one part of a transcript; a session of any length is a number of parts.
 PART_LINES = 500
@@ -23,15 +23,14 @@ def transcripts(lines: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
     """(session_id, part, lines, transcript): what was said in a session, tagged by speaker, in parts of `part_lines`.
 
     Summaries, user and assistant lines speak; lines without words, other kinds and repeated rows don't.
-    Order is by ts, then line_no; the place of a line in its session is found bucket by bucket.
+    Order is by ts, then line_no; the place of a line in its session is found range by range, however many lines a moment has.
     """
     distinct = lines.select("session_id", "line_no", "line_type", "role", "content", "ts").distinct()
     words = content_words(F.col("content"))
     bare = F.regexp_replace(words, r"^[ \t\n\r]+|[ \t\n\r]+$", "")
     said = F.when(F.col("line_type") == "summary", F.concat(F.lit("SUMMARY: "), words)).when(F.col("line_type") == "user", F.concat(F.lit("USER: "), bare)).when(F.col("line_type") == "assistant", F.concat(F.lit("ASSISTANT: "), bare))
     spoken = distinct.select("session_id", "ts", "line_no", F.md5(F.coalesce("content", F.lit(""))).alias("m"), said.alias("said"), bare.alias("bare")).where("said is not null and bare <> ''").drop("bare")
-    hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000)
-    placed = with_group_rank(spoken, ["session_id"], ["ts", "line_no", "m"], "place", hour, slices=1)
+    placed = with_sorted_rank(spoken, ["session_id"], ["ts", "line_no", "m"], "place")
     parts = placed.groupBy("session_id", F.floor(F.col("place") / part_lines).alias("part")).agg(F.count(F.lit(1)).alias("lines"), F.array_sort(F.collect_list(F.struct("place", "said"))).alias("s"))
     return parts.select("session_id", "part", "lines", F.array_join(F.col("s.said"), "\n\n").alias("transcript"))
 

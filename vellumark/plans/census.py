@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import estimate_tokens
 from ..operators import catalog, census, neardup
-from ..operators.ranking import with_group_rank
+from ..operators.ranking import with_sorted_rank
 from ..operators.sampling import path_matches, project_matches
 from ..session import table
 from .catalogue import query
@@ -259,6 +259,5 @@ def census_cross_check(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select session_id, line_no, row_number() over (partition by session_id order by ts, line_no, ingested_at) - 1 as place from session_line")
 def session_places(spark: SparkSession, d: str) -> DataFrame:
-    hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000)
     lines = table(spark, d, "session_line").select("session_id", "line_no", "ts", "ingested_at")
-    return with_group_rank(lines, ["session_id"], ["ts", "line_no", "ingested_at"], "place", hour, slices=1).select("session_id", "line_no", "place")
+    return with_sorted_rank(lines, ["session_id"], ["ts", "line_no", "ingested_at"], "place").select("session_id", "line_no", "place")
