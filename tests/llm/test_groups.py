@@ -57,7 +57,8 @@ def test_no_sessions(lines):
 def test_circles_end(spark):
     rows = [("c", 0, "a", "b", *U, 0), ("c", 1, "b", "a", *A, 1), ("s", 0, "x", "x", *U, 0), ("s", 1, "y", "x", *A, 1)]
     df = spark.createDataFrame(rows, LINE).withColumn("ts", F.timestamp_seconds("at"))
-    assert {r[0] for r in conversations.broken_sessions(df).collect()} <= {"c"}
+    got = [tuple(r) for r in conversations.conversations(df).orderBy("session_id", "turn").select("session_id", "turn", "speaker").collect()]
+    assert conversations.broken_sessions(df).count() == 0 and got == [("c", 0, "user"), ("c", 1, "assistant"), ("s", 0, "user"), ("s", 1, "assistant")]
 
 
 # (id, parent, turn) in order of time, the order wanted (level by level, each level by time, what has no root last), whether to drop.
@@ -70,6 +71,23 @@ TREES = {
 }
 
 
+def test_one_order_at_every_size(spark, monkeypatch):
+    """Forks, circles, self-parents, lost parents and standing clocks: the same turns row by row whatever a task holds."""
+    rng = random.Random(5)
+    rows = []
+    for s in range(24):
+        for i in range(rng.randint(1, 30)):
+            parent = rng.choice([None, f"m{i}", f"m{rng.randrange(40)}", f"m{max(0, i - 1)}", f"m{max(0, i - 1)}"]) if s % 4 else None
+            rows.append((f"s{s}", i, f"m{i}" if rng.random() > 0.05 else None, parent, *rng.choice([U, A, A, TOOL]), rng.randrange(4)))
+    df = spark.createDataFrame(rows, LINE).withColumn("ts", F.timestamp_seconds("at"))
+    got = []
+    for one_task in (1, 6, 20_000):
+        monkeypatch.setattr(conversations, "ONE_TASK_ROWS", one_task)
+        turns = conversations.ordered_messages(conversations.message_rows(df, with_words=False)).select("session_id", "turn", "line_no").collect()
+        got.append((sorted(map(tuple, turns)), sorted(r[0] for r in conversations.broken_sessions(df).collect())))
+    assert got[0] == got[1] == got[2] and len(got[0][0]) > 200 and got[0][1]
+
+
 @pytest.mark.parametrize("one_task", [20_000, 2])
 def test_forks_and_roots(spark, monkeypatch, one_task):
     monkeypatch.setattr(conversations, "ONE_TASK_ROWS", one_task)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
-from ..operators.ranking import with_group_rank
+from ..operators.ranking import with_sorted_rank
 
 #: Sessions of up to so many rows are put in order in one task, longer ones by joins; both give the same order.
 ONE_TASK_ROWS = 20_000
@@ -132,7 +132,7 @@ def ordered_messages(rows: DataFrame) -> DataFrame:
 
     Short sessions are put in order in one task each. In long ones the depth in the chain is found by
     doubling pointers, which takes as many joins as the logarithm of the chain's length; long sessions
-    without parents are ranked by time in buckets.
+    without parents are ranked by time, range by range.
     """
     has_words = ["words"] if "words" in rows.columns else []
     columns = ["session_id", "turn", "speaker", "line_no", "id", "ts", *has_words]
@@ -158,9 +158,7 @@ def ordered_messages(rows: DataFrame) -> DataFrame:
     kinds = {r[0] for r in shape.where(F.col("__rows") > ONE_TASK_ROWS).select("__chained").distinct().collect()}  # at most two rows
     if False in kinds:
         messages = long.where(~F.col("__chained") & F.col("is_message"))
-        # Buckets of an hour keep time order; a hash slice must not cut across it, so there is one slice.
-        ranked = with_group_rank(messages, ["session_id"], IN_TIME, "turn", F.coalesce(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000), F.lit(-1)), slices=1)
-        result = result.unionByName(ranked.select(*columns))
+        result = result.unionByName(with_sorted_rank(messages, ["session_id"], IN_TIME, "turn").select(*columns))
     if True in kinds:
         result = result.unionByName(_long_chains(long.where("__chained")).select(*columns))
     return result
@@ -174,7 +172,9 @@ def _long_chains(rows: DataFrame) -> DataFrame:
     # Rows whose parent is missing or themselves, and in the end those on circles, have no root above them and get no depth.
     rooted = F.col("parent").isNull() | (F.col("up") != F.col("__n"))
     state = cut(rows.select("session_id", "__n", "parent").join(named, ["session_id", "parent"], "left").where(rooted).select("__n", "up", F.lit(1).cast("bigint").alias("depth")))
-    for _ in range(40):  # a chain of 2**40 rows; circles never end
+    longest = rows.groupBy("session_id").count().agg(F.max("count")).first()[0] or 0
+    # No chain is longer than its session, so what hasn't ended after these rounds is on a circle or below one.
+    for _ in range(int(longest).bit_length()):
         if state.where(F.col("up").isNotNull()).limit(1).count() == 0:
             break
         hop = state.select(F.col("__n").alias("up"), F.col("up").alias("__up"), F.col("depth").alias("__depth"))
@@ -183,7 +183,7 @@ def _long_chains(rows: DataFrame) -> DataFrame:
         state = cut(ended.unionByName(moved))
     depths = state.where(F.col("up").isNull()).select("__n", "depth")
     placed = rows.join(depths, "__n", "left").where("is_message").withColumn("depth", F.coalesce("depth", F.lit(2**62)))
-    return with_group_rank(placed, ["session_id"], ["depth", *IN_TIME], "turn", F.floor(F.col("depth") / 512), slices=1)
+    return with_sorted_rank(placed, ["session_id"], ["depth", *IN_TIME], "turn")
 
 
 def run_automaton(messages: DataFrame) -> DataFrame:
@@ -224,7 +224,7 @@ def broken_sessions(lines: DataFrame) -> DataFrame:
 def conversations(lines: DataFrame) -> DataFrame:
     """(session_id, turn, speaker, words) of the sessions that are whole, one row per message in order."""
     rows = cut(message_rows(lines, with_words=True))
-    messages = ordered_messages(rows)
-    judged = judged_sessions(rows.drop("words"), ordered_messages(rows.drop("words")))
+    messages = cut(ordered_messages(rows))  # put in order once, read by the automaton and by the join
+    judged = judged_sessions(rows.drop("words"), messages)
     whole = judged.where(~(F.col("is_cut") | F.col("is_dangling") | F.col("is_broken"))).select("session_id")
     return messages.join(whole, "session_id", "left_semi").select("session_id", "turn", "speaker", "words")

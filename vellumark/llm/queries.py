@@ -119,6 +119,23 @@ def queries() -> dict[str, Query]:
     }
 
 
+# Rows once, their words, depth in the chain, order and the sessions to drop.
+_SESSIONS = """
+    with recursive l as (select distinct session_id, line_no, msg_uuid as id, parent_uuid as parent, line_type, role, content, ts from session_line where session_id is not null),
+     m as (select *, coalesce(regexp_matches(content, '(?s)^\\s*\\[\\s*(\\{\\s*("[A-Za-z_]*("\\s*(:.*)?)?)?)?$') and not json_valid(content), false) as is_cut,
+               case when coalesce(trim(role), '') <> '' then lower(trim(role)) else lower(line_type) end as who from l),
+     w as (select *, case who when 'human' then 'user' when 'ai' then 'assistant' when 'model' then 'assistant' else who end as speaker,
+               case when is_cut then '' when regexp_matches(content, '^\\s*\\[\\s*(\\{|\\]|$)') and json_valid(content)
+                    then array_to_string(list_transform(list_filter(from_json(content, '[{"type":"VARCHAR","text":"VARCHAR"}]'), lambda i: i.type = 'text' and i.text is not null), lambda i: i.text), chr(10)) else coalesce(content, '') end as words from m),
+     r as (select *, speaker in ('user', 'assistant') and regexp_matches(words, '[^\\s\\p{Z}\\p{Cc}\\p{Cf}\\x{34F}\\x{115F}\\x{1160}\\x{2800}\\x{3164}\\x{FE00}-\\x{FE0F}\\x{FFA0}]') as is_message, max(parent is not null) over (partition by session_id) as chained from w),
+     c as (select session_id, id, 1 as depth from r where chained and parent is null
+           union all select r.session_id, r.id, c.depth + 1 from c join r on r.session_id = c.session_id and r.parent = c.id),
+     o as (select r.session_id, r.speaker, r.words, row_number() over (partition by r.session_id order by c.depth, r.ts, r.line_no) as place from r left join c on c.session_id = r.session_id and c.id = r.id where is_message),
+     n as (select *, lead(speaker) over (partition by session_id order by place) as after from o),
+     b as (select session_id from r group by 1 having bool_or(is_cut) or not bool_or(is_message)
+           union select a.session_id from r a where a.parent is not null and not exists (select 1 from r b where b.session_id = a.session_id and b.id = a.parent)
+           union select session_id from n where place = 1 and speaker <> 'user' or speaker = 'user' and coalesce(after, 'user') = 'user')
+"""
 SQL = {
     "p3_found": """
         with d as (select * from doc qualify row_number() over (partition by doc_id order by taped_at desc) = 1),
@@ -132,23 +149,8 @@ SQL = {
              k as (select a, b from p qualify row_number() over (partition by a order by round(s, 12) desc, b) <= 10)
         select distinct least(a, b) as vec_id_a, greatest(a, b) as vec_id_b from k
     """,
-    "p7_found": """
-        with recursive l as (select distinct session_id, line_no, msg_uuid as id, parent_uuid as parent, line_type, role, content, ts from session_line where session_id is not null),
-             m as (select *, coalesce(regexp_matches(content, '(?s)^\\s*\\[\\s*(\\{\\s*("[A-Za-z_]*("\\s*(:.*)?)?)?)?$') and not json_valid(content), false) as is_cut,
-                       case when coalesce(trim(role), '') <> '' then lower(trim(role)) else lower(line_type) end as who from l),
-             w as (select *, case who when 'human' then 'user' when 'ai' then 'assistant' when 'model' then 'assistant' else who end as speaker,
-                       case when is_cut then '' when regexp_matches(content, '^\\s*\\[\\s*(\\{|\\]|$)') and json_valid(content)
-                            then array_to_string(list_transform(list_filter(from_json(content, '[{"type":"VARCHAR","text":"VARCHAR"}]'), lambda i: i.type = 'text'), lambda i: i.text), ' ') else coalesce(content, '') end as words from m),
-             r as (select *, speaker in ('user', 'assistant') and regexp_matches(words, '[^\\s\\p{Z}\\p{Cc}\\p{Cf}\\x{34F}\\x{115F}\\x{1160}\\x{2800}\\x{3164}\\x{FE00}-\\x{FE0F}\\x{FFA0}]') as is_message, max(parent is not null) over (partition by session_id) as chained from w),
-             c as (select session_id, id, 1 as depth from r where chained and parent is null
-                   union all select r.session_id, r.id, c.depth + 1 from c join r on r.session_id = c.session_id and r.parent = c.id),
-             o as (select r.session_id, r.speaker, row_number() over (partition by r.session_id order by c.depth, r.ts, r.line_no) as place from r left join c on c.session_id = r.session_id and c.id = r.id where is_message),
-             n as (select *, lead(speaker) over (partition by session_id order by place) as after from o),
-             b as (select session_id from r group by 1 having bool_or(is_cut) or not bool_or(is_message)
-                   union select a.session_id from r a where a.parent is not null and not exists (select 1 from r b where b.session_id = a.session_id and b.id = a.parent)
-                   union select session_id from n where place = 1 and speaker <> 'user' or speaker = 'user' and coalesce(after, 'user') = 'user')
-        select session_id from b
-    """,
+    "p7_found": f"{_SESSIONS} select session_id from b",
+    "p7_conversations": f"{_SESSIONS} select session_id, place - 1 as turn, speaker, words from o where session_id not in (select session_id from b)",
 }
 
 
