@@ -59,6 +59,9 @@ FOUND = [
     ("ISBN 978-0-00-71438-4 and 2021-03-04 at 09:15, 4471-757-9", []), ("call five five five, zero one two one", ["five five five, zero one two one"]), ("SSN 965-19-9877.", ["965-19-9877"]), ("QQ 70 66 64 C here", ["QQ 70 66 64 C"]), ("passport C08X05T08", ["C08X05T08"]), ("National ID: 1 99 34 99 224 772 08", ["1 99 34 99 224 772 08"]),
     ("to Flat 19, 180 Vasden Avenue in", ["Flat 19, 180 Vasden Avenue"]), ("to 205a Eldtha Rd. in", ["205a Eldtha Rd."]), ("Habite 80 bis, avenue Wyneth", ["80 bis, avenue Wyneth"]), ("Vive en Calle Rasden 113, 13º B", ["Calle Rasden 113, 13º B"]), ("ging an Selesker Straße 117.", ["Selesker Straße 117"]), ("Walked along Tallow Lane without", []),
     ("Dr. Marguerite Tesjahofot signed", ["Marguerite Tesjahofot"]), ("Frau Raméöfil, Sam bringt", ["Raméöfil, Sam"]), ("It was Wilhelmína Wutnokufon who", ["Wilhelmína Wutnokufon"]), ("Present: ZOË FISESIT", ["ZOË FISESIT"]), ("Project Vereth moved to Renell", []), ("", []),
+    ("anna dot smith at mail dot example dot org", ["anna dot smith at mail dot example dot org"]), ("x at mail[dot]example[dot]org now", ["x at mail[dot]example[dot]org"]), ("a_1@uni dot example dot net", ["a_1@uni dot example dot net"]), ("I stayed at home dot anna, meet me at example.org", []),
+    ("I met Kwame Mensah at the dock", ["Kwame Mensah"]), ("Oluwaseun Adeyemi called", ["Oluwaseun Adeyemi"]), ("We saw Zoltan Kovacs today", ["Zoltan Kovacs"]), ("then Bexley Tarnovic said so", ["Bexley Tarnovic"]), ("I asked Bexley Tarnovic twice", ["Bexley Tarnovic"]), ("The Bexley Tarnovic said so; I saw Bexley Bridge", []),
+    ("The serial is 555-0121 there", []),
 ]
 
 

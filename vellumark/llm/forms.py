@@ -56,6 +56,7 @@ class Tables:
     told: np.ndarray  # the expansion counts as a disguise
     script: np.ndarray  # LATIN and so on, OTHER, 0 for what is no letter
     capital: np.ndarray
+    quantity: np.ndarray  # Greek letters that also stand for quantities
     mark: np.ndarray  # combining class
     symbol: np.ndarray  # emoji and other symbols
     joins: np.ndarray  # letters of scripts that use joiners and direction marks
@@ -72,7 +73,7 @@ def tables() -> Tables:
     n = sys.maxunicode + 1
     zero = lambda t: np.zeros(n, t)
     kind, start, size, told = zero(np.uint8), zero(np.uint32), np.ones(n, np.uint8), zero(bool)
-    script, mark, symbol, joins, capital = zero(np.uint8), zero(np.uint8), zero(bool), zero(bool), zero(bool)
+    script, mark, symbol, joins, capital, quantity = zero(np.uint8), zero(np.uint8), zero(bool), zero(bool), zero(bool), zero(bool)
     latin, cyrillic, greek, wide = zero(np.uint32), zero(np.uint32), zero(np.uint32), zero(np.uint32)
     flat: list[int] = []
     pairs: list[tuple[int, int]] = []
@@ -117,6 +118,8 @@ def tables() -> Tables:
         if chr(o) not in "\t\n\r\f\v":
             kind[o] = DROP
     kind[0x7F] = DROP
+    for c in GREEK_SMALL:
+        quantity[ord(c)] = True
     for alike, as_latin in ((CYRILLIC, CYRILLIC_AS), (GREEK, GREEK_AS), (GREEK_SMALL, GREEK_SMALL_AS), (ARMENIAN, ARMENIAN_AS), (CHEROKEE, CHEROKEE_AS), (COPTIC, COPTIC_AS), (LISU, LISU_AS)):
         for c, l in zip(alike, as_latin, strict=True):
             latin[ord(c)] = ord(l)
@@ -125,7 +128,7 @@ def tables() -> Tables:
             (cyrillic if other is CYRILLIC else greek)[ord(as_latin)] = ord(c)
     pairs.sort()
     keys, results = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
-    return Tables(kind, start, size, np.array(flat or [0], np.uint32), told, script, capital, mark, symbol, joins, keys, results.astype(np.uint32), latin, cyrillic, greek, wide)
+    return Tables(kind, start, size, np.array(flat or [0], np.uint32), told, script, capital, quantity, mark, symbol, joins, keys, results.astype(np.uint32), latin, cyrillic, greek, wide)
 
 
 @dataclass
@@ -235,11 +238,6 @@ def _composed(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np
     return p[~gone], src[~gone], places
 
 
-@lru_cache(maxsize=1)
-def _small_greek() -> np.ndarray:
-    return np.array([ord(c) for c in GREEK_SMALL], np.uint32)
-
-
 def _resolved(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray]:
     """Look-alikes of another script put right, word by word; also the places where."""
     script = t.script[p]
@@ -255,8 +253,8 @@ def _resolved(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np
     to_cyr, to_grk = add((script == LATIN) & (t.cyrillic[p] > 0)), add((script == LATIN) & (t.greek[p] > 0))
     mixed = (is_latin > 0) & (is_foreign > 0)
     # A small Greek letter beside few Latin ones, or before them, is a quantity.
-    small = add(np.isin(p, _small_greek()))
-    quantity = (small > 0) & ((is_latin < 3) | np.isin(p[edge], _small_greek()) & (n < 5))
+    small = add(t.quantity[p])
+    quantity = (small > 0) & ((is_latin < 3) | t.quantity[p[edge]] & (n < 5))
     can_latin = mixed & (like_latin == is_foreign) & ~quantity
     can_cyr, can_grk = mixed & (is_foreign == is_cyr) & (to_cyr == is_latin), mixed & (is_foreign == is_grk) & (to_grk == is_latin)
     # Where both ways are open the script with more letters of its own decides, Latin in a tie.

@@ -5,7 +5,8 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
-# Common given names, each with its usual short forms.
+# Common given names of several languages, each with its usual short forms. A sample of them: names
+# outside the list are found by their shape and context, and linked by the similarity of their letters.
 SHORT_FORMS = {
     "Adam": "", "Adele": "", "Agnes": "Aggie", "Albert": "Al Bert Bertie", "Alejandro": "Jandro", "Alexander": "Alex Sasha Sandy Xander", "Alice": "", "Anaïs": "", "Anastasia": "Nastya Stacy", "Andrew": "Andy Drew", "Anna": "Annie", "Anthony": "Tony",
     "Arturo": "Turi", "Astrid": "Asta", "Augustin": "Gus Augie", "Barnaby": "Barney", "Beatriz": "Bea Triz", "Benjamin": "Ben Benji Benny", "Björn": "", "Carlos": "", "Catherine": "Cathy", "Cecilia": "Cece Cissy", "Charles": "Charlie Chuck", "Christopher": "Chris Kit Topher",
@@ -17,6 +18,10 @@ SHORT_FORMS = {
     "Paul": "", "Penelope": "Penny", "Peter": "Pete", "Philippa": "Pippa Pip", "Prudence": "Prue", "Quentin": "", "Rebecca": "Becky Becca", "Reginald": "Reg Reggie", "Renée": "", "Richard": "Dick Rich Rick", "Robert": "Bob Bobby Rob Robbie", "Rosalind": "Ros Roz", "Samuel": "Sam Sammy", "Seraphine": "Fina Sera", "Søren": "",
     "Sophie": "", "Stanislav": "Stas", "Susanne": "Susi Sanne", "Theodore": "Ted Theo", "Thomas": "Tom Tommy", "Timothy": "Tim Timmy", "Tobias": "Toby Tobi", "Ulrike": "Uli Rike", "Ursula": "Uschi Ulla", "Valentina": "Valya Tina Val", "Victoria": "Tori Vicky", "Vincent": "Vince Vinny", "Vladimir": "Vlad Volodya Vova",
     "Wilhelmina": "Mina Minnie", "William": "Bill Billy Will", "Winifred": "Winnie Freddie", "Wolfgang": "Wolf Wolfi", "Xavier": "Xavi", "Yolanda": "Yoli", "Yusuf": "", "Zacharias": "Zach Zack", "Zoë": "",
+    "Aisha": "", "Alberto": "Berto", "Amara": "", "Ananya": "", "Antonio": "Toni", "Bernard": "Bernie", "Caroline": "Caro Carrie", "Chiara": "", "Chidi": "", "Deborah": "Deb Debbie", "Diego": "", "Dominik": "Nik", "Eduardo": "Edu", "Elena": "Lena", "Emily": "Em", "Enrique": "Quique", "Esther": "Essie",
+    "Fatima": "", "Frederick": "Fred Freddy", "Gabriela": "Gabi", "Gertrude": "Gert Trudy", "Giovanni": "Gianni Vanni", "Guadalupe": "Lupe", "Gustav": "", "Heinrich": "Heinz", "Hiroshi": "", "Ibrahim": "", "Jennifer": "Jen Jenny", "Jessica": "Jess Jessie", "Joshua": "Josh", "Juan": "", "Kenneth": "Kenny",
+    "Kwame": "", "Laura": "", "Leopold": "Poldi", "Lucía": "Lucha", "Magdalena": "Magda Lena", "Manuel": "Manolo", "Martin": "", "Matthew": "Matt", "Mikhail": "Misha", "Natalia": "Natasha", "Ngozi": "", "Nikita": "", "Oluwaseun": "Seun", "Olga": "Olya", "Oscar": "", "Pablo": "", "Priya": "", "Rafael": "Rafa",
+    "Raymond": "Ray", "Roberto": "", "Ronald": "Ron Ronnie", "Rosario": "Charo", "Rudolf": "Rudi", "Salvador": "Chava", "Sarah": "Sally", "Sebastian": "Seb Basti", "Sergei": "Seryozha", "Stephen": "Steve Stevie", "Tatiana": "Tanya", "Thandiwe": "Thandi", "Ulrich": "Uli", "Veronica": "Ronnie", "Walter": "Walt", "Yuki": "", "Zoltan": "Zoli",
 }
 
 # Letters with their plain spelling where it isn't a letter with a mark.
@@ -24,6 +29,7 @@ PLAIN = str.maketrans({"ß": "ss", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "
 UMLAUT = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ø": "oe", "å": "aa"})
 
 
+@lru_cache(maxsize=1 << 16)
 def plain(word: str) -> str:
     """A word in lower case without marks."""
     return "".join(c for c in unicodedata.normalize("NFKD", word.translate(PLAIN)) if not unicodedata.combining(c)).lower()

@@ -1,13 +1,14 @@
 """Personal information inside free text (problem 2).
 
 Each batch of texts is brought into the consistent form of `forms`, which undoes look-alikes and invisible
-characters and remembers where each code point came from. A second transducer turns runs of spelled digits
-into digits. Detectors for disguised and plain identifiers run on the result, and the spans they find are
-mapped back to the stored text.
+characters and remembers where each code point came from. Two more transducers keep that memory: one turns
+runs of spelled digits into digits, one the at and dot of disguised addresses into their signs. Detectors of
+plain identifiers run on the result, and the spans they find are mapped back to the stored text.
 """
 
 from __future__ import annotations
 
+import re
 from bisect import bisect
 from collections.abc import Iterable, Iterator
 
@@ -34,7 +35,8 @@ DIGIT_WORDS = {
 }
 _word = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 SPELLED = regex.compile(rf"(?i)(?<!\w)(?:(?:{_word}|\d)[\s,.\-]{{1,2}}){{5,}}(?:{_word}|\d)(?!\w)")
-SPELLED_WORD = regex.compile(rf"(?i){_word}")
+SPELLED_WORD, SPELLED_DIGIT = regex.compile(rf"(?i){_word}"), regex.compile(rf"(?i){_word}|\d")
+APART = str.maketrans(",.-", "   ")
 
 # Words for the signs of an address, as they are used to disguise it.
 _at = r"at|arroba|arobase|ät|собака|アットマーク"
@@ -43,14 +45,15 @@ _dot = r"dot|punto|punkt|point|точка|ドット"
 _L = r"\p{Latin}\p{Cyrillic}\p{Greek}\p{Nd}_"
 _tld = r"(?-i:[a-z]{2,24}(?![a-z0-9])|[A-Z]{2,24}(?![A-Z0-9]))"
 _label = r"[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?"
-_local = r"(?<![A-Za-z0-9._%+\-@])[A-Za-z0-9](?:[A-Za-z0-9._%+\-']*[A-Za-z0-9_+\-])?"
-_boxed = rf"\s?(?:\[\s?(?:{_at})\s?\]|\(\s?(?:{_at})\s?\)|\{{\s?(?:{_at})\s?\}}|<\s?(?:{_at})\s?>|\[@\]|\(@\))\s?"
-_boxed_dot = rf"\s?(?:\[\s?(?:{_dot}|\.)\s?\]|\(\s?(?:{_dot}|\.)\s?\)|\{{\s?(?:{_dot})\s?\}}|<\s?(?:{_dot})\s?>)\s?"
-EMAIL = regex.compile(
-    rf"(?i)(?:{_local}\s?[@＠]\s?(?:{_label}\.)+{_tld}(?![A-Za-z0-9\-]*@)"
-    rf"|{_local}(?:{_boxed}|[@＠])(?:{_label}(?:\.|{_boxed_dot}|\s(?:{_dot})\s))+{_tld}"
-    rf"|{_local}\s(?:{_at})\s(?:{_label}(?:\s(?:{_dot})\s|{_boxed_dot}))+{_tld})"
-)
+_boxed = lambda words: rf"(?:\[\s?(?:{words})\s?\]|\(\s?(?:{words})\s?\)|\{{\s?(?:{words})\s?\}}|<\s?(?:{words})\s?>)"
+_boxed_at, _boxed_dot, _bare_dot = rf"\s?{_boxed(_at + '|@')}\s?", rf"\s?{_boxed(_dot + r'|[.]')}\s?", rf"\s(?:{_dot})\s"
+_part, _any_dot = r"[A-Za-z0-9](?:[A-Za-z0-9_%+\-]*[A-Za-z0-9])?", rf"(?:\.|{_bare_dot}|{_boxed_dot})"
+#: Parts chained to an address by signs, some of them disguised; a bare "at" needs a disguised dot and an ending in use.
+_ending = r"(?:com|org|net|edu|gov|mil|int|info|biz|name|example|invalid|test|[a-z]{2})(?-i:(?![a-z0-9]))"
+CHAINED = regex.compile(rf"(?i)(?<![A-Za-z0-9._%+\-@])(?:{_part}{_any_dot})*+{_part}(?:(?:@|{_boxed_at})(?:{_part}{_any_dot})+{_tld}|\s(?:{_at})\s(?:{_part}\.)*{_part}(?:{_bare_dot}|{_boxed_dot})(?:{_part}{_any_dot})*{_ending})")
+SIGN = regex.compile(rf"(?i)(?P<at>\s(?:{_at})\s|{_boxed_at})|{_bare_dot}|{_boxed_dot}")
+MAY_HIDE = regex.compile(rf"(?i)[\[({{<]\s?(?:{_at}|{_dot}|@|\.)\s?[\])}}>]|\s(?:{_dot})\s")
+EMAIL = regex.compile(rf"(?i)(?<![A-Za-z0-9._%+\-@])[A-Za-z0-9](?:[A-Za-z0-9._%+\-']*[A-Za-z0-9_+\-])?\s?@\s?(?:{_label}\.)+{_tld}(?![A-Za-z0-9\-]*@)")
 
 _ext = r"(?:,?\s?(?:ext|extn|extension|x|Durchwahl|Dw|App|poste|int|доб)\.?\s?\d{1,6})?"
 _before = rf"(?<![{_L}+@.,/\-:])(?<!\d[ \-])"
@@ -68,6 +71,8 @@ PHONE = regex.compile(
     rf"){_ext}{_after}",
     regex.IGNORECASE,
 )
+#: Enough digits close by for an identifier, for a telephone number.
+FIVE_DIGITS, SEVEN_DIGITS = re.compile(r"\d(?:\D{0,3}\d){4}"), re.compile(r"\d(?:\D{0,3}\d){6}")
 _cue = regex.compile(r"(?i)(?:tel|call|phone|fon|tél|mobile|handy|fax|message on|number|joindre|llamar|erreichbar|anruf|numéro|móvil|cell|ring|звон|тел|電話)[^\d]{0,24}$")
 
 ID_NUMBER = regex.compile(
@@ -85,6 +90,8 @@ CUED_ID = regex.compile(
     rf"(?:(?!ISBN)[\p{{L}} .:#/\-]){{0,22}}?(?-i:(?<![{_L}\-])((?:[A-Z]{{1,3}} ?)?\d[A-Z0-9]*(?:[ \-][A-Z]{{0,2}}\d[A-Z0-9]*){{0,6}}))(?![{_L}@])"
 )
 
+ID_CUES = ("ssn", "nin", "national id", "passport", "pasaporte", "passeport", "reisepass", "steuer", "ausweis", "dni", "nie", "sécurité sociale", "social security", "identity", "id number", "паспорт", "マイナンバー")
+
 # Words for streets in several languages.
 _road = r"Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Boulevard|Blvd|Court|Ct|Drive|Place|Square|Sq|Terrace|Way|Close|Crescent|Row|Gardens|Hill|Mews|Alley|Parade|Highway"
 _flat = r"(?:Flat|Apt\.?|Apartment|Unit|Suite) \d+(?:[A-Za-z](?![\p{Latin}\d]))?"
@@ -114,12 +121,22 @@ TURNED = regex.compile(rf"(?<![{_L}@/])({_particle}{_name}), ({_name})((?: \p{{L
 INITIALS = regex.compile(rf"(?<![{_L}@/])(?:((?:\p{{Lu}}\.? ){{1,3}}){_particle}{_name}|(?!(?:{TITLES})\b)({_name}),? (?:\p{{Lu}}\.){{1,2}})(?![{_L}@_])")
 LOWER = regex.compile(rf"(?<![{_L}@./\-])(\p{{Ll}}{{4,}}) (\p{{Ll}}{{4,}})(?![{_L}@])")
 HYPHENED = regex.compile(rf"(?<![{_L}@./\-])(\p{{Lu}}[{_letter}]+)-(\p{{Lu}}[{_letter}]{{3,}})(?![{_L}@\-])")
+PLACE_WORD = regex.compile(rf"(?i)\b(?:{_road}|park|bridge|house|station|island|river|lake|mount|north|south|east|west|new|old|saint|san|santa|project|projekt|proyecto|projet|team|group|club|band|radio|times|post|day|night|january|february|march|april|may|june|july|august|september|october|november|december|monday|tuesday|wednesday|thursday|friday|saturday|sunday|english|french|german|spanish|russian|japanese)\b")
 NEXT_NAME = regex.compile(rf"\s({_name})")
 TITLE_BEFORE = regex.compile(rf"(?<![\p{{L}}])(?:{TITLES})\.?\s$")
-NAME_CUE = regex.compile(rf"(?:(?<![\p{{L}}])(?:{TITLES})\.?\s|(?i:\b(?:present|signed(?: by)?|signature|unterschrift|gezeichnet|firmado(?: por)?|firmó|signé(?: par)?|attendees?|from|author|contact|anwesend|presentes?|présents?|name|nombre|nom)\b):?\s|\bIt was\s|\bpromised\s)$")
+# What people do to people, and what only people do, in several languages.
+_done_to = "met|saw|asked|told|thanked|phoned|called|promised|married|hired|knew|knows|know|introduced|interviewed|emailed|texted|paid|helped|believed|trusted|gave|showed|lent|sent|owed|invited|rencontré|rencontrai|appelé|vu|remercié|demandé à|traf|getroffen|fragte|gefragt|sah|kannte|dankte|conocí|vi a|llamé a|conoció a|encontré a"
+_done_by = (
+    "who|whose|said|says|told|asked|asks|called|calls|wrote|writes|signed|signs|promised|replied|answered|insisted|agreed|admitted|explained|thinks|thought|knew|knows|phoned|emailed|smiled|laughed|nodded|apologised|apologized|resigned|married|died|remembers|remembered|suggested|mentioned|wondered|complained"
+    "|qui a|a dit|a appelé|a écrit|a signé|a promis|a répondu|dit que|écrit que|pense que|sagte|sagt|schrieb|schreibt|rief|ruft|fragte|meinte|meint|unterschrieb|versprach|dijo|dice|llamó|escribió|escribe|firmó|prometió|respondió|preguntó|piensa|сказал|сказала|написал|написала|позвонил|позвонила|обещал|обещала|подписал|подписала"
+)
+NAME_CUE = regex.compile(rf"(?:(?<![\p{{L}}])(?:{TITLES})\.?\s|(?i:\b(?:present|signed(?: by)?|signature|unterschrift|gezeichnet|firmado(?: por)?|firmó|signé(?: par)?|attendees?|from|author|contact|anwesend|presentes?|présents?|name|nombre|nom)\b):?\s|\b(?:{_done_to})\s)$")
+PERSON_BEFORE = regex.compile(rf"\b(?:{_done_to})\s$")
+ARTICLE = regex.compile(r"(?i)(?<![\p{L}])(?:the|a|an|this|that|our|der|die|das|den|dem|des|ein|eine|einen|el|la|los|las|un|una|le|les|une|il|lo)\s$")
+PERSON_AFTER = regex.compile(rf"\s(?:{_done_by})(?![\p{{L}}])")
 # Words that begin with a capital where they begin a sentence or name no person.
 NO_SURNAME = frozenset(
-    "the a an in on at by to of for from and or but if it its he she we they you i my your his her our their this that these those there then than when where why who what which how no not nobody somebody everybody after before between during since until while two three four five each every some any all both out up down off over under again once tomorrow yesterday today slowly version project room score commit ratio part pinned posted walked call left reply write send forwarded address email tel isbn national passport version page pages "
+    "the a an in on at by to of for from and or but if it its he she we they you i my your his her our their this that these those there then than when where why who what which how no not nobody somebody everybody after before between during since until while two three four five each every some any all both out up down off over under again once tomorrow yesterday today slowly version project room score commit ratio part address email tel isbn national passport version page pages "
     "der die das ein eine auf aus bei für im mit nach seit und von vor warum wie wir zum zur zwei niemand morgen gestern später meine mein gegen wer und ich es sie er "
     "le la les un une des il elle on nous vous je tu mon mes ma sur sous dans pour par pourquoi demain hier plus personne sans enfin comme tél "
     "el los las una unos hay por para sobre sin con mañana ayer nadie todavía leí mis mi al del desde correo "
@@ -141,7 +158,7 @@ def _known(word: str) -> bool:
     return p in full_names() or p in short_names()
 
 
-#: How far before a find its cue may stand.
+#: How far before a find its cue may begin; no cue is longer.
 CUE_CHARS = 64
 
 
@@ -171,7 +188,8 @@ def names(text: str) -> Iterator[tuple[int, int]]:
         first, second = m[1], m[4]
         at = m.start() + len(first)
         title = bool(before(TITLE_BEFORE, text, m.start()))
-        cued = title or bool(before(NAME_CUE, text, m.start()))
+        done = bool(PERSON_AFTER.match(text, m.end()))
+        cued = title or done or bool(before(NAME_CUE, text, m.start()))
         if m[3].endswith("-") and not (_known(first) and _surname(second)):
             continue
         if first.isupper() and not second.isupper() and len(first) > 2:  # SURNAME Given
@@ -180,7 +198,9 @@ def names(text: str) -> Iterator[tuple[int, int]]:
             begins = _sentence_start(text, m.start()) and regex.match(r" \p{Ll}", text[m.end() : m.end() + 2])
             good = _surname(second) and (_known(first) or cued or len(first) >= 5 or begins)
         else:
-            good = (title or cued and _given(second)) and _surname(first) and _surname(second) and first.lower() not in NO_SURNAME
+            # A name of no list: a person does it, or it is done to one, and both words are shaped like names.
+            shaped = not first.isupper() and not second.isupper() and not before(ARTICLE, text, m.start()) and not PLACE_WORD.search(m[0]) and (before(PERSON_BEFORE, text, m.start()) or done)
+            good = (title or cued and _given(second) or shaped) and _surname(first) and _surname(second) and first.lower() not in NO_SURNAME
         if good:
             yield m.start(), m.end()
             at = m.end()
@@ -189,9 +209,10 @@ def names(text: str) -> Iterator[tuple[int, int]]:
         if not surname or not _surname(surname):
             continue
         lone = m[1] and (m[1][1] == "." or m[1][0] not in "AEIOUY") and _sentence_start(text, m.start()) and regex.match(r" \p{Ll}", text[m.end() : m.end() + 2])
-        if lone or before(NAME_CUE, text, m.start()):
+        if lone or before(NAME_CUE, text, m.start()) or PERSON_AFTER.match(text, m.end()):
             yield m.start(), m.end()
-    for m in LOWER.finditer(text, overlapped=True):
+    small = any(plain(w) in full_names() for w in set(text.split()) if len(w) >= 4 and w.islower())
+    for m in LOWER.finditer(text, overlapped=True) if small else ():
         if plain(m[1]) in full_names() and plain(m[2]) not in NO_SURNAME and (_sentence_start(text, m.start()) or before(NAME_CUE, text, m.start())):
             yield m.start(), m.end()
     for m in HYPHENED.finditer(text):
@@ -204,15 +225,16 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
         digits = sum(c.isdigit() for c in regex.split(r"(?i)ext|x|Durchwahl|App|poste", m[0])[0])
         if digits < 7 or digits > 15:
             continue
-        if digits == 7 and not (m[0].startswith("555") or before(_cue, text, m.start())):
-            continue
+        if digits == 7 and not before(_cue, text, m.start()):
+            continue  # so short a number may be anything else
         yield m.start(), m.end()
 
 
 def ids(text: str) -> Iterator[tuple[int, int, bool]]:
     for m in ID_NUMBER.finditer(text):
         yield m.start(), m.end(), False
-    for m in CUED_ID.finditer(text):
+    low = text.lower()
+    for m in CUED_ID.finditer(text) if any(w in low for w in ID_CUES) else ():
         if sum(c.isdigit() for c in m[1]) >= 6:
             yield m.start(1), m.end(1), True
 
@@ -227,11 +249,14 @@ def addresses(text: str) -> Iterator[tuple[int, int]]:
 def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in order of place; of spans that overlap the one of the surer kind, then the longer, stays."""
     found: list[tuple[int, int, str, int]] = []
-    if "@" in text or "＠" in text or regex.search(rf"(?i)(?<![\p{{L}}])(?:{_at})(?![\p{{L}}])", text):
+    # Each detector runs where what it needs is in the text at all.
+    if "@" in text:
         found += [(m.start(), m.end(), "email", 0) for m in EMAIL.finditer(text)]
-    if any(c.isdigit() for c in text):
-        found += [(a, b, "id_number", 1 + cued) for a, b, cued in ids(text)]
-        found += [(a, b, "phone", 1) for a, b in phones(text)]
+    if DIGIT.search(text):
+        if FIVE_DIGITS.search(text):
+            found += [(a, b, "id_number", 1 + cued) for a, b, cued in ids(text)]
+            if SEVEN_DIGITS.search(text):
+                found += [(a, b, "phone", 1) for a, b in phones(text)]
         found += [(a, b, "address", 3) for a, b in addresses(text)]
     found += [(a, b, "name", 4) for a, b in names(text)]
     taken: list[tuple[int, int, str]] = []  # in order of place, none overlapping another
@@ -242,22 +267,55 @@ def find(text: str) -> list[tuple[str, int, int]]:
     return [(kind, a, b) for a, b, kind in taken]
 
 
-def undigit(text: str) -> tuple[str, list[int] | None, list[int] | None]:
-    """Runs of spelled digits as digits, and of each character of the result its first and last place before."""
-    if not (hits := list(SPELLED.finditer(text))):
-        return text, None, None
-    out, first, last, at = [], [], [], 0
-    for hit in hits:
-        if not SPELLED_WORD.search(hit[0]):
-            continue
-        for i in range(at, hit.start()):
-            out.append(text[i]), first.append(i), last.append(i)
-        for m in regex.finditer(rf"(?i){_word}|\d", hit[0]):
-            out.append(DIGIT_WORDS.get(m[0].lower(), m[0])), first.append(hit.start() + m.start()), last.append(hit.start() + m.end() - 1)
-        at = hit.end()
-    for i in range(at, len(text)):
-        out.append(text[i]), first.append(i), last.append(i)
-    return "".join(out), first, last
+DIGIT = re.compile(r"\d")
+
+
+class Traced:
+    """A text with the first and last place of each of its characters in the text it was made from."""
+
+    def __init__(self, text: str):
+        self.text, self.first, self.last = text, None, None
+
+    def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
+        """Put other characters, or none, for the spans of `edits`, which come in order; they keep the span's place."""
+        if not edits:
+            return
+        first, last = self.first or list(range(len(self.text))), self.last or list(range(len(self.text)))
+        out, firsts, lasts, at = [], [], [], 0
+        for start, end, new in [*edits, (len(self.text), len(self.text), "")]:
+            out += [self.text[at:start], new]
+            firsts += [*first[at:start], *[first[start]] * len(new)] if new else first[at:start]
+            lasts += [*last[at:start], *[last[end - 1]] * len(new)] if new else last[at:start]
+            at = end
+        self.text, self.first, self.last = "".join(out), firsts, lasts
+
+    def place(self, start: int, end: int) -> tuple[int, int]:
+        return (start, end) if self.first is None else (self.first[start], self.last[end - 1] + 1)
+
+
+def undigit(t: Traced) -> None:
+    """Runs of spelled digits as digits."""
+    words = t.text.lower().translate(APART).split()
+    if sum(w in DIGIT_WORDS or len(w) == 1 and w.isdigit() for w in words) < 6:
+        return
+    edits = []
+    for hit in SPELLED.finditer(t.text):
+        if SPELLED_WORD.search(hit[0]):
+            at = hit.start()
+            for m in SPELLED_DIGIT.finditer(t.text, hit.start(), hit.end()):
+                edits += [(at, m.start(), ""), (m.start(), m.end(), DIGIT_WORDS.get(m[0].lower(), m[0]))]
+                at = m.end()
+    t.rewrite(edits)
+
+
+def unsign(t: Traced) -> None:
+    """The disguised signs between the parts of an address, as [at] or as bare words, as what they stand for."""
+    if not MAY_HIDE.search(t.text):
+        return
+    edits = []
+    for chain in CHAINED.finditer(t.text):
+        edits += [(m.start(), m.end(), "@" if m["at"] else ".") for m in SIGN.finditer(t.text, chain.start(), chain.end())]
+    t.rewrite(edits)
 
 
 def found_in(folded: Folded) -> Iterable[list[tuple[str, int, int]]]:
@@ -267,11 +325,12 @@ def found_in(folded: Folded) -> Iterable[list[tuple[str, int, int]]]:
     for k, end in enumerate(folded.ends.tolist()):
         text = folded.points[begin : end - 1].tobytes().decode("utf-32-le", "replace")
         source, origin = folded.source, int(folded.starts_before[k])
-        plainer, first, last = undigit(text)
+        traced = Traced(text)
+        undigit(traced)
+        unsign(traced)
         spans = []
-        for kind, a, b in find(plainer):
-            if first is not None:
-                a, b = first[a], last[b - 1] + 1
+        for kind, a, b in find(traced.text):
+            a, b = traced.place(a, b)
             start, stop = int(source[begin + a]) - origin, int(source[begin + b - 1]) + 1 - origin
             while t.mark[folded.before[origin + stop]]:  # marks composed into the last letter
                 stop += 1
