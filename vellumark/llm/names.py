@@ -1,15 +1,15 @@
 """Variant spellings of the names of people and organisations (problem 1).
 
-Every distinct spelling is parsed into a key token (surname, or an organisation's own name) and the rest.
-Key tokens are joined with one another by a prefix-filtered set-similarity join on their q-grams. Spellings
-whose key tokens are alike are then verified by soft weighted token similarity: tokens match as they are, as
-short forms, initials, abbreviations or slips of the pen, and rare tokens count more. Spellings that fit
-several entities stand for none of them.
+Every distinct spelling is parsed into its tokens: a key (surname, or an organisation's own name) and the
+rest. All tokens are joined with one another by a prefix-filtered set-similarity join on their q-grams. Spellings
+whose tokens are alike one by one, in either order, are then verified by soft weighted token similarity: tokens
+match as they are, as short forms, initials, abbreviations or slips of the pen, and rare tokens count more.
+Spellings that fit several entities stand for none of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 import regex
@@ -25,10 +25,12 @@ from .given_names import full_names, full_of, near_given, one_edit_apart, plain
 Q, PREFIX = 3, 5
 #: Soft weighted similarity from which two spellings are one entity.
 SAME = 0.8
-#: Least length of a given name outside the list that may have a slip: shorter ones are too often two names.
+#: Least length of a given name that may have a slip: shorter ones are too often two names.
 SLIP_CHARS = 5
-#: Words of organisations that typing errors are mended to: the most frequent ones.
-ORG_WORDS = 5_000
+#: Least length of a token that may have two slips, both of them swaps of neighbours.
+SWAPS_CHARS = 8
+#: A word of an organisation is mended to one that so many spellings hold, and so many times as many as hold the word itself.
+MEND_LEAST, MEND_TIMES = 10, 10
 
 # What stands before or after a name without being part of it.
 TITLES = frozenset("dr prof professor mr mrs ms miss mx herr frau hr mme mlle madame monsieur sr sra srta señor señora don doña sir lady dame rev ing".split())
@@ -64,7 +66,7 @@ def is_org_word(w: str) -> bool:
     return p in ORG_TYPES or p in _short_types and (w.endswith(".") or p in ("ltd", "inc", "corp", "bros", "dept", "univ", "assn", "assoc", "co", "inst", "lab", "labs", "fdn", "coll", "acad"))
 
 
-def parse_org(s: str, rarity: dict[str, int], mend: Callable[[str], str] = str) -> tuple[str, str, list[str]] | None:
+def parse_org(s: str, rarity: Mapping[str, int], mend: Callable[[str], str] = str) -> tuple[str, str, list[str]] | None:
     """(key, form, rest) of an organisation's name; `rarity` counts words over all spellings, `mend` corrects one."""
     words = words_of(s)
     if len(words) < 2:
@@ -165,9 +167,29 @@ def fits_abbreviation(short: list[str], full: list[str]) -> bool:
     return True
 
 
-def slip_apart(a: str, b: str) -> bool:
-    """Whether two given names are one but for a slip; two of the list are two."""
-    return not (a in full_names() and b in full_names()) and min(len(a), len(b)) >= SLIP_CHARS and one_edit_apart(a, b)
+def slips(a: str, b: str) -> int | None:
+    """How many slips of the pen two tokens are apart: 0, 1, or 2 where both are swaps of neighbours; None if more."""
+    if a == b:
+        return 0
+    if max(len(a), len(b)) > 1 and one_edit_apart(a, b):
+        return 1
+    if len(a) != len(b) or len(a) < SWAPS_CHARS:
+        return None
+    swaps, i = 0, 0
+    while i < len(a):
+        if a[i] == b[i]:
+            i += 1
+        elif a[i : i + 2] == b[i : i + 2][::-1]:
+            swaps, i = swaps + 1, i + 2
+        else:
+            return None
+    return 2 if swaps == 2 else None
+
+
+def _word_slip(a: list[str], b: list[str]) -> bool:
+    """Whether two sequences of words differ in one slip of one longer word."""
+    differing = [(x, y) for x, y in zip(a, b) if x != y]  # noqa: B905
+    return len(a) == len(b) and len(differing) == 1 and min(map(len, differing[0])) >= SLIP_CHARS and one_edit_apart(*differing[0])
 
 
 def spellings(card: DataFrame) -> DataFrame:
@@ -180,32 +202,58 @@ def spellings(card: DataFrame) -> DataFrame:
     return seen.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.sum("as_name").alias("as_name"), F.sum("other").alias("other"))
 
 
-def alike_keys(keys: DataFrame) -> DataFrame:
-    """(kind, key, near): key tokens of a kind that are equal or one slip apart, by a prefix-filtered q-gram join.
+def alike_tokens(tokens: DataFrame) -> DataFrame:
+    """(kind, token, near, slips): tokens of a kind that are equal, or some slips apart, by a prefix-filtered q-gram join.
 
-    The grams of a token, with their places, are ordered by how rare they are; two tokens one slip apart
-    have one of their PREFIX rarest grams in common, its place shifted by one at most.
+    The grams of a token are ordered by how rare they are; two tokens one slip apart have one of their PREFIX
+    rarest grams in common, but for swaps of two letters; those, and tokens two swaps apart, have the same
+    letters. Umlauts written out are no slips.
     """
-    padded = F.concat(F.lit("^" * (Q - 1)), F.col("key"), F.lit("$" * (Q - 1)))
-    grams = keys.select("kind", "key", F.posexplode(F.transform(F.sequence(F.lit(1), F.length(padded) - Q + 1), lambda i: F.substring(padded, i, F.lit(Q)))).alias("place", "gram"))
+    padded = F.concat(F.lit("^" * (Q - 1)), F.col("token"), F.lit("$" * (Q - 1)))
+    grams = tokens.select("kind", "token", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - Q + 1), lambda i: F.substring(padded, i, F.lit(Q))))).alias("gram"))
     rarity = grams.groupBy("kind", "gram").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("kind", "key").orderBy("df", "gram", "place")
     # A token has as many grams as letters, so the window's groups are short.
-    prefix = cut(grams.join(rarity, ["kind", "gram"]).withColumn("r", F.row_number().over(order)).where(F.col("r") <= PREFIX).select("kind", "key", "gram", "place"))
-    other = prefix.select("kind", "gram", F.col("key").alias("near"), F.col("place").alias("at"))
-    close = (F.col("key") != F.col("near")) & (F.abs(F.col("place") - F.col("at")) <= 1) & (F.abs(F.length("key") - F.length("near")) <= 1)
-    pairs = prefix.join(other, ["kind", "gram"]).where(close).select("kind", "key", "near").distinct()
+    order = Window.partitionBy("kind", "token").orderBy("df", "gram")
+    prefix = cut(grams.join(rarity, ["kind", "gram"]).withColumn("r", F.row_number().over(order)).where(F.col("r") <= PREFIX).select("kind", "token", "gram"))
+    other = prefix.select("kind", "gram", F.col("token").alias("near"))
+    close = (F.col("token") < F.col("near")) & (F.abs(F.length("token") - F.length("near")) <= 1)
+    # Cheap bound first: a swap of neighbours is two edits.
+    few = prefix.join(other, ["kind", "gram"]).where(close & (F.levenshtein("token", "near", 2) >= 0)).select("kind", "token", "near")
+    lettered = tokens.where((F.length("token") >= SWAPS_CHARS) | (F.length("token") == 2)).select("kind", "token", F.array_join(F.array_sort(F.split("token", "")), "").alias("letters"))
+    swapped = lettered.join(lettered.withColumnRenamed("token", "near"), ["kind", "letters"]).where("token < near").select("kind", "token", "near")
+    pairs = few.unionByName(swapped).distinct()
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b[[one_edit_apart(x, y) for x, y in zip(b["key"], b["near"], strict=True)]]
+            b["slips"] = [slips(x, y) for x, y in zip(b["token"], b["near"], strict=True)]
+            b = b[b["slips"].notna()]
+            yield b.assign(slips=b["slips"].astype("int32"))
 
-    # Cheap bound first: a swap of neighbours is two edits.
-    few = pairs.where(F.levenshtein("key", "near", 2) >= 0)
-    # Umlauts written out differ by a letter each: keys that are equal without those letters are alike too.
-    folded = keys.select("kind", "key", F.regexp_replace("key", "([aou])e", "$1").alias("folded"))
-    written_out = folded.join(folded.withColumnRenamed("key", "near"), ["kind", "folded"]).select("kind", "key", "near")
-    return written_out.unionByName(few.mapInPandas(verified, few.schema)).distinct()
+    slipped = pairs.mapInPandas(verified, "kind string, token string, near string, slips int")
+    both = slipped.unionByName(slipped.select("kind", F.col("near").alias("token"), F.col("token").alias("near"), "slips"))
+    folded = tokens.select("kind", "token", F.regexp_replace("token", "([aou])e", "$1").alias("folded"))
+    written_out = folded.join(folded.withColumnRenamed("token", "near"), ["kind", "folded"]).select("kind", "token", "near", F.lit(0).alias("slips"))
+    return written_out.unionByName(both).groupBy("kind", "token", "near").agg(F.min("slips").alias("slips"))
+
+
+def _word_info(seen: DataFrame) -> DataFrame:
+    """(s, info): of each word of a spelling how many names of organisations hold it, and the far more frequent word it may be a slip of."""
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            words = [[(w, plain(w.rstrip("."))) for w in words_of(s)] for s in b["s"]]
+            typed = [any(p in ORG_TYPES or p in _short_types for _, p in ws) for ws in words]
+            yield pd.DataFrame({"s": b["s"], "typed": typed, "w": [sorted({p for _, p in ws}) if len(ws) > 1 else [] for ws in words]})
+
+    words = cut(seen.select("s").mapInPandas(split, "s string, typed boolean, w array<string>").where(F.size("w") > 0).select("s", "typed", F.explode("w").alias("w")))
+    counts = words.where("typed").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    # A word that is no organisation's may still be the slip of one that is.
+    near = alike_tokens(words.select(F.lit("word").alias("kind"), F.col("w").alias("token")).distinct()).where("slips = 1 and length(token) >= 3")
+    known = counts.withColumnRenamed("n", "known_n")
+    target = near.join(known.where(F.col("known_n") >= MEND_LEAST).withColumnRenamed("w", "near"), "near").join(counts.withColumnRenamed("w", "token"), "token", "left")
+    better = target.where(F.col("known_n") >= MEND_TIMES * F.greatest(F.coalesce("n", F.lit(0)), F.lit(1))).groupBy(F.col("token").alias("w")).agg(F.max(F.struct(F.col("known_n").alias("n"), F.col("near").alias("w"))).alias("better"))
+    each = words.join(counts, "w", "left").join(better, "w", "left").select("s", F.struct("w", F.coalesce("n", F.lit(0)).alias("n"), "better").alias("i"))
+    return each.groupBy("s").agg(F.collect_list("i").alias("info"))  # as many as a name has words
 
 
 def _roots(links: DataFrame) -> DataFrame:
@@ -217,8 +265,8 @@ def _roots(links: DataFrame) -> DataFrame:
         moved = after.join(state.withColumnRenamed("up", "was"), "node").where(F.col("up") != F.col("was")).limit(1).count()
         state = after
         if not moved:
-            break
-    return state.withColumnRenamed("up", "root")
+            return state.withColumnRenamed("up", "root")
+    raise RuntimeError("a chain of more than 2**30 links, or a circle")
 
 
 def entity_classes(card: DataFrame) -> DataFrame:
@@ -232,34 +280,20 @@ def entity_classes(card: DataFrame) -> DataFrame:
     spark = card.sparkSession
     all_seen = cut(spellings(card))
     seen = all_seen.where((F.col("other") * 2 <= F.col("as_name")) | (F.col("as_name") == 0)).select("s", "n")
-    # Words of spellings that name a kind of organisation, the most frequent ones: a table of bounded size.
-    types = F.array(*[F.lit(t) for t in [*ORG_TYPES, *_short_types]])
-    tokens = seen.select("s", F.transform(F.filter(F.split(F.lower("s"), r"[^\p{L}\p{M}'’\-]+"), lambda w: w != ""), lambda w: w).alias("w")).where(F.arrays_overlap("w", types))
-    rows = tokens.select(F.explode(F.array_distinct("w")).alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(ORG_WORDS).collect()
-    rarity = {plain(r[0]): r[1] for r in rows}
-    frequent = {w: c for w, c in rarity.items() if c >= 10}
-
-    def mended(w: str) -> str:
-        """A word of an organisation as the far more frequent word it is one slip away from."""
-        if w.endswith(".") or w.startswith("*") or len(w) < 3:
-            return w
-        better = [(c, v) for v, c in frequent.items() if abs(len(v) - len(w)) <= 1 and c >= 10 * max(1, rarity.get(w, 0)) and v != w and one_edit_apart(w, v)]
-        return max(better)[1] if better else w
-
-    known_words: dict[str, str] = {}
-
-    def mend(w: str) -> str:
-        if (v := known_words.get(w)) is None:
-            if len(known_words) > 100_000:
-                known_words.clear()
-            v = known_words[w] = mended(w)
-        return v
+    informed = seen.join(_word_info(seen), "s", "left")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for s, n in zip(b["s"], b["n"], strict=True):
-                if org := parse_org(s, rarity, mend) or _mistyped_org(s):
+            for s, n, info in zip(b["s"], b["n"], b["info"], strict=True):
+                known = [] if info is None else list(info)
+                better = {i["w"]: i["better"]["w"] for i in known if i["better"] is not None}
+                rarity = {i["w"]: i["n"] for i in known} | {i["better"]["w"]: i["better"]["n"] for i in known if i["better"] is not None}
+
+                def mend(w: str, better=better) -> str:
+                    return better.get(w, w)
+
+                if org := parse_org(s, rarity, mend) or _mistyped_org(s, rarity, mend):
                     key, form, rest = org
                     out.append((s, n, "org", key, form, [], rest))
                 elif person := parse_person(s):
@@ -267,7 +301,7 @@ def entity_classes(card: DataFrame) -> DataFrame:
                     out.append((s, n, "person", key, form, given, []))
             yield pd.DataFrame(out, columns=PARSED.names)
 
-    def _mistyped_org(s: str) -> tuple[str, str, list[str]] | None:
+    def _mistyped_org(s: str, rarity: Mapping[str, int], mend: Callable[[str], str]) -> tuple[str, str, list[str]] | None:
         """An organisation whose word for its kind is mistyped."""
         words = words_of(s)
         if len(words) < 3 or "," in s or any(plain(w) in full_names() for w in words):
@@ -275,13 +309,14 @@ def entity_classes(card: DataFrame) -> DataFrame:
         better = [mend(plain(w)) for w in words]
         return parse_org(" ".join(v.capitalize() if plain(w) != v else w for w, v in zip(words, better, strict=True)), rarity, mend) if any(v in ORG_TYPES for v in better) else None
 
-    parsed = cut(seen.mapInPandas(parse, PARSED))
-    alike = cut(alike_keys(parsed.select("kind", "key").distinct()))
+    parsed = cut(informed.mapInPandas(parse, PARSED))
+    given_tokens = parsed.where("kind = 'person' and form = 'full'").select("kind", F.col("given")[0].alias("token"))
+    alike = cut(alike_tokens(parsed.select("kind", F.col("key").alias("token")).unionByName(given_tokens).distinct())).withColumnRenamed("token", "key")
     weight = parsed.groupBy("kind", "key").agg(F.sum("n").alias("key_n"))
 
     # People. Nodes are (full given name, surname); variants take the given name an attested node offers.
     people = parsed.where("kind = 'person'")
-    near_keys = alike.where("kind = 'person'").select("key", "near")
+    near_keys = alike.where("kind = 'person'").select("key", "near", "slips")
     attested = people.where("form = 'full'").select(F.col("given")[0].alias("full"), "key").distinct()
     variants = people.where("form = 'variant'").select("s", "n", "key", F.explode("given").alias("full"))
     offers = variants.join(near_keys, "key").join(attested.withColumnRenamed("key", "near"), ["full", "near"]).groupBy("s").agg(
@@ -296,38 +331,58 @@ def entity_classes(card: DataFrame) -> DataFrame:
 
     # Organisations. Nodes are (own name, other words); abbreviated ones are placed afterwards.
     orgs = parsed.where("kind = 'org'")
-    org_keys = alike.where("kind = 'org'").select("key", "near")
+    org_keys = alike.where("kind = 'org'").select("key", "near", "slips")
     full_orgs = orgs.where("form = 'full'").withColumn("full", F.array_join("rest", " ")).withColumn("node", F.concat_ws("|", F.lit("o"), "full", "key"))
     org_nodes = full_orgs.groupBy("node", "full", "key").agg(F.sum("n").alias("n"))
 
-    def linked(nodes: DataFrame, near_keys: DataFrame, kind: str, rest_n: DataFrame) -> DataFrame:
-        """(node, up): each node to its most frequent like node if that is more frequent, verified by weighted similarity."""
-        other = nodes.select(F.col("node").alias("up"), F.col("full").alias("up_full"), F.col("key").alias("near"), F.col("n").alias("up_n"))
-        beside = nodes.join(near_keys, "key")
-        # Given names one slip apart are equal once a letter, or none, is left out of each: few rows each, whatever a key's number of nodes.
-        without = lambda c: F.array_distinct(F.concat(F.array(c), F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))))
-        left_out = other.withColumn("part", F.explode(without(F.col("up_full"))))
-        maybe = beside.withColumn("part", F.explode(without(F.col("full")))).join(left_out, ["near", "part"]).where(F.col("full") != F.col("up_full")).drop("part").distinct()
+    listed = lambda c: F.col(c).isin(*full_names())
+    left_out = lambda c: F.array_distinct(F.concat(F.array(c), F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))))
+
+    def people_pairs() -> DataFrame:
+        """(node, up, key, full, near, up_full, slips, rest_slips): nodes whose tokens are alike one by one, in either order.
+
+        Each side brings what one of its tokens is like, so the join is on both tokens and no pair of nodes
+        that share a surname alone is ever made. Two given names of the list are two.
+        """
+        likes = near_keys.select(F.col("key").alias("full"), F.col("near").alias("up_full"), F.col("slips").alias("rest_slips"))
+        apart = (F.col("full") != F.col("up_full")) & (F.least(F.length("full"), F.length("up_full")) < SLIP_CHARS) | (F.col("rest_slips") > 0) & listed("full") & listed("up_full")
+        asks = nodes.join(likes, "full").where(~apart)
+        straight = nodes.select(F.col("node").alias("up"), F.col("n").alias("up_n"), F.col("full").alias("up_full"), F.col("key").alias("near"))
+        turned = nodes.where(~(listed("full") & listed("key"))).select(F.col("node").alias("up"), F.col("n").alias("up_n"), F.col("key").alias("up_full"), F.col("full").alias("near"))
+        offers = straight.unionByName(turned).join(near_keys, "near")
+        return asks.join(offers, ["key", "up_full"])
+
+    def org_pairs() -> DataFrame:
+        """The same for organisations: own names alike, and the other words equal or one slip apart.
+
+        Word sequences one slip apart are equal once a letter, or none, is left out of each: few rows each,
+        however many organisations share a name.
+        """
+        other = org_nodes.select(F.col("node").alias("up"), F.col("full").alias("up_full"), F.col("key").alias("near"), F.col("n").alias("up_n"))
+        beside = org_nodes.join(org_keys, "key")
+        equal = beside.join(other.withColumn("full", F.col("up_full")), ["full", "near"]).withColumn("rest_slips", F.lit(0))
+        maybe = beside.withColumn("part", F.explode(left_out("full"))).join(other.withColumn("part", F.explode(left_out("up_full"))), ["near", "part"]).where("full != up_full").drop("part").distinct()
 
         def slipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                yield b[[slip_apart(x, y) for x, y in zip(b["full"], b["up_full"], strict=True)]]
+                yield b[[_word_slip(x.split(" "), y.split(" ")) for x, y in zip(b["full"], b["up_full"], strict=True)]]
 
-        equal = beside.join(other.withColumn("full", F.col("up_full")), ["full", "near"])
-        slips = equal.unionByName(maybe.mapInPandas(slipped, maybe.schema)) if kind == "person" else equal
-        pairs = slips.where((F.col("up_n") > F.col("n")) | (F.col("up_n") == F.col("n")) & (F.col("up") > F.col("node")) | (F.col("up") == F.col("node")))
+        return equal.unionByName(maybe.mapInPandas(slipped, maybe.schema).withColumn("rest_slips", F.lit(1)))
+
+    def linked(pairs: DataFrame, kind: str, rest_n: DataFrame) -> DataFrame:
+        """(node, up): each node to its most frequent like node if that is more frequent, verified by weighted similarity."""
+        upward = pairs.where((F.col("up_n") > F.col("n")) | (F.col("up_n") == F.col("n")) & (F.col("up") > F.col("node")) | (F.col("up") == F.col("node")))
         total = weight.where(F.col("kind") == kind).agg(F.sum("key_n").alias("total"))
-        scored = pairs.join(weight.where(F.col("kind") == kind).select("key", "key_n"), "key").join(rest_n, "full").join(F.broadcast(total))
+        scored = upward.join(weight.where(F.col("kind") == kind).select("key", "key_n"), "key").join(rest_n, "full").join(F.broadcast(total))
         # Weights are inverse frequencies: a rare surname tells more than a common given name.
         rare = lambda c: F.log(1 + F.col("total") / F.col(c))
-        match = 1 - F.levenshtein("key", "near") / F.greatest(F.length("key"), F.length("near"))
-        match_rest = 1 - F.levenshtein("full", "up_full") / F.greatest(F.length("full"), F.length("up_full"), F.lit(1))
-        score = (rare("key_n") * match + rare("rest_n") * match_rest) / (rare("key_n") + rare("rest_n"))
+        like = lambda n, a, b: 1 - F.col(n) / F.greatest(F.length(a), F.length(b), F.lit(1))
+        score = (rare("key_n") * like("slips", "key", "near") + rare("rest_n") * like("rest_slips", "full", "up_full")) / (rare("key_n") + rare("rest_n"))
         best = scored.where(score >= SAME).groupBy("node").agg(F.max(F.struct("up_n", "up")).alias("b"))
         return best.select("node", F.col("b.up").alias("up"))
 
-    up = linked(nodes, near_keys, "person", given_n.select("full", F.col("given_n").alias("rest_n"))).unionByName(
-        linked(org_nodes, org_keys, "org", org_nodes.groupBy("full").agg(F.sum("n").alias("rest_n")))
+    up = linked(people_pairs(), "person", given_n.select("full", F.col("given_n").alias("rest_n"))).unionByName(
+        linked(org_pairs(), "org", org_nodes.groupBy("full").agg(F.sum("n").alias("rest_n")))
     )
     roots = cut(_roots(up))
     whole = placed.select("s", "node").unionByName(full_orgs.select("s", "node")).join(roots, "node").select("s", F.col("root").alias("entity"))
