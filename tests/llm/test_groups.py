@@ -205,6 +205,23 @@ def test_neighbours(spark, monkeypatch):
     assert neighbours.neighbour_pairs(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [300, 1_200])
+def test_exact_setting_misses_nothing(spark, monkeypatch, n):
+    """Without clusters, where cells prune worst; the usual setting stays above nine tenths at both sizes."""
+    monkeypatch.setattr(neighbours, "CELL", 30)
+    x = np.random.default_rng(n).standard_normal((n, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), "a") for i, v in enumerate(x)], "vec_id bigint, vec array<float>, model string")
+    want = brute(x.astype(float), range(n), 10)
+    assert {tuple(r) for r in neighbours.neighbour_pairs(df, reach=1.0, deviations=float("inf")).collect()} == want
+    got = {tuple(r) for r in neighbours.neighbour_pairs(df).collect()}
+    assert len(want & got) >= 0.9 * len(want)
+
+
+def test_centres_grow_with_the_vectors():
+    sizes = [1, 10_000, 4_000_000, 40_000_000]
+    assert [neighbours.centres_of(n) for n in sizes] == [1, 9, 3_906, 25_296]
+
+
 def test_copies_and_few_vectors(spark):
     rng = np.random.default_rng(2)
     one, two = rng.standard_normal(64), rng.standard_normal(64)

@@ -11,29 +11,40 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import ceil
+from math import ceil, isqrt
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
 
-#: Vectors a cell holds on average, and the most centres of one model.
-CELL, MOST_CENTRES = 1_024, 4_096
+#: Vectors a cell holds on average while the collection is small.
+CELL = 1_024
 #: The centres are fitted on at most so many vectors of a model; every vector is indexed.
-SAMPLE = 65_536
+SAMPLE = 262_144
 #: Members or queries of one task; larger cells are split into blocks.
 BLOCK = 8_192
 #: Bits of a code, bits of a query's coordinate, and the error bound in standard deviations.
 CODE_BITS, QUERY_BITS, DEVIATIONS = 128, 4, 3.0
 #: A cell is searched if its border is nearer than this share of the distance to the k-th neighbour found so
-#: far. 1.0 would be a certain bound; a neighbour's offset is spread over all dimensions, so little is missed.
+#: far. 1.0 is a certain bound; a neighbour's offset is spread over all dimensions, so little is missed.
 REACH = 0.4
 
 
+def centres_of(n: int) -> int:
+    """How many centres n vectors have: one for each CELL of them, from some millions on four times the root of n.
+
+    That balances finding a vector's cell, n times the centres, with searching it, n times n over the centres.
+    The sample gives each centre eight vectors at least.
+    """
+    return max(1, min(n // CELL, 4 * isqrt(n), SAMPLE // 8))
+
+
+FOUND = pa.schema([("model", pa.string()), ("q", pa.int64()), ("qraw", pa.binary()), ("found", pa.list_(pa.struct([("away", pa.float64()), ("key", pa.int64())])))])
+
+
 def usable(vec: Column, dim: int) -> Column:
     """dim finite numbers, not all zero."""
     finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -74,7 +85,7 @@ def pack(signs: np.ndarray) -> np.ndarray:
     return np.packbits(signs, axis=1, bitorder="little").view(np.uint64)
 
 
-def unit(raw: list[bytes] | pd.Series, dim: int) -> np.ndarray:
+def unit(raw: list[bytes], dim: int) -> np.ndarray:
     x = np.frombuffer(b"".join(raw), "<f4").reshape(-1, dim).astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)  # so that squares of the largest and smallest floats stay finite
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -83,8 +94,8 @@ def unit(raw: list[bytes] | pd.Series, dim: int) -> np.ndarray:
 class CodedCell:
     """The members of a cell as one-bit codes around its centre."""
 
-    def __init__(self, keys: np.ndarray, x: np.ndarray, centre: np.ndarray):
-        self.keys, self.x, self.centre = keys, x, centre.astype(np.float64)
+    def __init__(self, keys: np.ndarray, x: np.ndarray, centre: np.ndarray, deviations: float = DEVIATIONS):
+        self.keys, self.x, self.centre, self.deviations = keys, x, centre.astype(np.float64), deviations
         self.turn = rotation(x.shape[1])
         bits = len(self.turn)
         r = x - self.centre
@@ -117,15 +128,15 @@ class CodedCell:
         offset = (q @ self.centre - self.centre @ self.centre)[:, None] + self.base[None, :]
         # Rounding the query adds an error of its own, at most half a step in each coordinate.
         rounding = step * np.sqrt(bits / 12) / np.sqrt(bits)
-        return offset + scale * inner, scale * DEVIATIONS * (self.spread[None, :] + rounding / self.own[None, :])
+        return offset + scale * inner, scale * self.deviations * (self.spread[None, :] + rounding / self.own[None, :])
 
-    def search(self, q: np.ndarray, k: int, pairs: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(query's row, keys, similarities) of its k best members, equal similarity by smaller key."""
-        m = len(self.x)
+    def search(self, q: np.ndarray, k: int, pairs: int = 1 << 21) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of the query, key, similarity) of the k best members of each query, row by row, equal similarity by smaller key."""
+        m, out = len(self.x), []
         for begin in range(0, len(q), max(1, pairs // m)):
             part = q[begin : begin + max(1, pairs // m)]
-            about, off = self.estimate(part)
-            if m > k:
+            if m > k and np.isfinite(self.deviations):
+                about, off = self.estimate(part)
                 first = np.argpartition(-about, k - 1, axis=1)[:, :k]
                 exact = np.einsum("qkd,qd->qk", self.x[first], part)
                 chosen = about + off >= exact.min(1, keepdims=True) - 1e-9
@@ -135,10 +146,10 @@ class CodedCell:
             rows, columns = np.nonzero(chosen)
             sims = np.concatenate([np.einsum("nd,nd->n", self.x[columns[i : i + 65_536]], part[rows[i : i + 65_536]]) for i in range(0, len(rows), 65_536)])
             order = np.lexsort((self.keys[columns], -sims, rows))
-            starts = np.searchsorted(rows[order], np.arange(len(part)))
-            for i, (a, b) in enumerate(zip(starts, np.append(starts[1:], len(order)), strict=True)):
-                best = order[a : min(b, a + k)]
-                yield begin + i, self.keys[columns[best]], sims[best]
+            rows = rows[order]
+            order = order[np.arange(len(rows)) - np.searchsorted(rows, rows) < k]
+            out.append((begin + rows[np.arange(len(rows)) - np.searchsorted(rows, rows) < k], self.keys[columns[order]], sims[order]))
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def _vectors(df: DataFrame, key: str, vec: str, model: str, dim: int) -> DataFrame:
@@ -147,12 +158,13 @@ def _vectors(df: DataFrame, key: str, vec: str, model: str, dim: int) -> DataFra
     return rows.groupBy("id").agg(F.min_by(F.struct("model", "vec"), F.xxhash64("vec", "model")).alias("v")).select("id", "v.model", "v.vec")
 
 
-def nearest_neighbours(df: DataFrame, k: int = 10, dim: int = 64, key: str = "vec_id", vec: str = "vec", model: str = "model") -> DataFrame:
+def nearest_neighbours(df: DataFrame, k: int = 10, dim: int = 64, key: str = "vec_id", vec: str = "vec", model: str = "model", reach: float = REACH, deviations: float = DEVIATIONS) -> DataFrame:
     """(model, id, other, similarity, place): the k most similar others of every usable vector, within its model.
 
     Usable are `dim` finite numbers that aren't all zero; other rows, null keys included, are left out, and a
     null model counts as the model "". Similarity is the cosine; equal values go to the smaller id. Vectors
-    that are copies of one another are searched once. Fewer than k others give fewer rows.
+    that are copies of one another are searched once. Fewer than k others give fewer rows. With `reach` 1.0
+    and infinite `deviations` no neighbour is missed, at the price of many more comparisons.
     """
     spark = df.sparkSession
     ids = cut(_vectors(df, key, vec, model, dim).withColumn("copy_of", F.sha2(F.to_json("vec"), 256)))
@@ -173,7 +185,7 @@ def nearest_neighbours(df: DataFrame, k: int = 10, dim: int = 64, key: str = "ve
         rows = part.select("key", "vec").orderBy(F.xxhash64("key")).limit(SAMPLE).toPandas().sort_values("key")
         x = np.stack(rows["vec"].to_numpy()).astype(np.float64)
         x /= np.abs(x).max(axis=1, keepdims=True)
-        centres[name] = fit_centres((x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32), max(1, min(MOST_CENTRES, n // CELL, len(x))))
+        centres[name] = fit_centres((x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32), min(centres_of(n), len(x)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +199,7 @@ def nearest_neighbours(df: DataFrame, k: int = 10, dim: int = 64, key: str = "ve
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([v.tobytes() for v in flat], pa.binary()), pa.array(cell), pa.array(away)], names=["model", "key", "raw", "cell", "away"])
 
     members = cut(reps.select("model", "key", "vec").mapInArrow(assign, "model string, key bigint, raw binary, cell int, away double"))
-    # At most MOST_CENTRES rows per embedder.
+    # One row per centre, so SAMPLE // 8 per embedder at most.
     count: dict[str | None, np.ndarray] = {m: np.zeros(len(c), np.int64) for m, c in centres.items()}
     radius = {m: np.zeros(len(c)) for m, c in centres.items()}
     for m, c, n, away in members.groupBy("model", "cell").agg(F.count(F.lit(1)), F.max("away")).collect():
@@ -206,39 +218,39 @@ def nearest_neighbours(df: DataFrame, k: int = 10, dim: int = 64, key: str = "ve
         left = members.join(plan, on).select("model", "cell", F.lit(False).alias("asks"), "key", "raw", block("key", "mb").alias("m_block"), spread("q_block", "qb"))
         right = queries.join(plan, on).select("model", "cell", F.lit(True).alias("asks"), F.col("q").alias("key"), F.col("qraw").alias("raw"), block("q", "qb").alias("q_block"), spread("m_block", "mb"))
 
-        def search(group: pd.DataFrame) -> pd.DataFrame:
-            asks = group["asks"].to_numpy(bool)
-            inside, asking = group[~asks], group[asks]
-            out = []
-            if len(inside) and len(asking):
-                name, c = group["model"].iloc[0], int(group["cell"].iloc[0])
-                coded = CodedCell(inside["key"].to_numpy(np.int64), unit(inside["raw"], dim), centres[name][c])
-                qs, raws = asking["key"].to_numpy(), asking["raw"].to_numpy()
-                for i, keys, sims in coded.search(unit(raws, dim), k + 1):
-                    out.append((name, qs[i], raws[i], [{"away": -s, "key": int(x)} for s, x in zip(sims.tolist(), keys, strict=True)]))
-            return pd.DataFrame(out, columns=["model", "q", "qraw", "found"])
+        def search(group: pa.Table) -> pa.Table:
+            asks = group["asks"].to_numpy()
+            inside, asking = group.filter(pa.array(~asks)), group.filter(pa.array(asks))
+            if not len(inside) or not len(asking):
+                return pa.table([pa.array([], t) for t in FOUND.types], schema=FOUND)
+            name, c = group["model"][0].as_py(), group["cell"][0].as_py()
+            coded = CodedCell(inside["key"].to_numpy(), unit(inside["raw"].to_pylist(), dim), centres[name][c], deviations)
+            rows, keys, sims = coded.search(unit(asking["raw"].to_pylist(), dim), k + 1)
+            ends = np.searchsorted(rows, np.arange(len(asking)), "right")
+            pairs = pa.StructArray.from_arrays([pa.array(-sims), pa.array(keys, pa.int64())], names=["away", "key"])
+            found = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pairs)
+            return pa.table([pa.array([name] * len(asking), pa.string()), asking["key"], asking["raw"], found], schema=FOUND)
 
         both = left.unionByName(right)
-        return both.groupBy("model", "cell", "m_block", "q_block").applyInPandas(search, "model string, q bigint, qraw binary, found array<struct<away:double,key:bigint>>")
+        return both.groupBy("model", "cell", "m_block", "q_block").applyInArrow(search, "model string, q bigint, qraw binary, found array<struct<away:double,key:bigint>>")
 
     best = lambda c: F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), 1, k + 1)
 
     def first_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The own cell, and for small cells the nearest ones until there are k + 1 members."""
         for batch in batches:
-            models, cells, raws = batch.column(0).to_pylist(), batch.column(3).to_pylist(), batch.column(2).to_pylist()
-            rows, at = [], []
-            for i, (m, c) in enumerate(zip(models, cells, strict=True)):
-                if count[m][c] > k:
-                    rows.append(i), at.append(c)
-                    continue
-                x = unit([raws[i]], dim)[0]
+            models, cells = batch.column(0).to_pylist(), batch.column(3).to_numpy()
+            enough = np.array([count[m][c] > k for m, c in zip(models, cells, strict=True)], bool)
+            rows, at = np.flatnonzero(enough).tolist(), cells[enough].tolist()
+            for i in np.flatnonzero(~enough):
+                m, c = models[i], int(cells[i])
+                x = unit([batch.column(2)[i].as_py()], dim)[0]
                 near = np.argsort(((centres[m] - x) ** 2).sum(1), kind="stable")
                 near = [c, *near[near != c]]
-                enough = int(np.searchsorted(np.cumsum(count[m][near]), k + 1)) + 1
-                rows += [i] * len(near[:enough])
-                at += [int(v) for v in near[:enough]]
-            yield pa.RecordBatch.from_arrays([batch.column(j).take(pa.array(rows)) for j in range(3)] + [pa.array(at, pa.int32())], names=["model", "q", "qraw", "cell"])
+                needed = int(np.searchsorted(np.cumsum(count[m][near]), k + 1)) + 1
+                rows += [i] * len(near[:needed])
+                at += [int(v) for v in near[:needed]]
+            yield pa.RecordBatch.from_arrays([batch.column(j).take(pa.array(rows, pa.int64())) for j in range(3)] + [pa.array(at, pa.int32())], names=["model", "q", "qraw", "cell"])
 
     first = members.select("model", "key", "raw", "cell").mapInArrow(first_cells, "model string, q bigint, qraw binary, cell int")
     near = cut(scan(first).groupBy("model", "q").agg(F.first("qraw").alias("qraw"), best("found").alias("found")))
@@ -259,8 +271,8 @@ def nearest_neighbours(df: DataFrame, k: int = 10, dim: int = 64, key: str = "ve
                     own = nearest(part.astype(np.float32), centres[name])
                     gap = apart[own] if apart is not None else np.stack([np.linalg.norm(c - c[o], axis=1) for o in own])
                     border = (d2 - np.take_along_axis(d2, own[:, None], 1)) / (2 * np.maximum(gap, 1e-9))
-                    reach = limit[begin : begin + 1_024, None]
-                    want = (border < REACH * reach) & (np.sqrt(d2) - radius[name] < reach) & (count[name] > 0)
+                    within = limit[begin : begin + 1_024, None] + 1e-6  # assigned in single precision
+                    want = (border < reach * within) & (np.sqrt(d2) - radius[name] < within) & (count[name] > 0)
                     want[np.arange(len(part)), own] = False
                     a, b = np.nonzero(want)
                     rows += mine[begin + a].tolist()
@@ -281,7 +293,7 @@ def nearest_neighbours(df: DataFrame, k: int = 10, dim: int = 64, key: str = "ve
     return asked.select("model", "id", F.posexplode(others).alias("place", "o")).select("model", "id", F.col("o.id").alias("other"), (-F.col("o.away")).alias("similarity"), (F.col("place") + 1).alias("place"))
 
 
-def neighbour_pairs(df: DataFrame, k: int = 10) -> DataFrame:
-    """(vec_id_a, vec_id_b), smaller id first: pairs in which one is among the k nearest of the other."""
-    n = nearest_neighbours(df, k)
+def neighbour_pairs(df: DataFrame, k: int = 10, **how) -> DataFrame:
+    """(vec_id_a, vec_id_b), smaller id first: pairs in which one is among the k nearest of the other; `how` as in nearest_neighbours."""
+    n = nearest_neighbours(df, k, **how)
     return n.select(F.least("id", "other").alias("vec_id_a"), F.greatest("id", "other").alias("vec_id_b")).distinct()
