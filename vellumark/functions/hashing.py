@@ -10,9 +10,10 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import worker_udf
+
 GENESIS = "0" * 32
 
 
@@ -64,7 +65,7 @@ def document_id(root: str, path: str, content: str) -> str:
 def blake2b(data: Column, size: int = 16) -> Column:
     """Hexadecimal blake2b digest of a binary or string column; null of null."""
 
-    @F.pandas_udf(T.StringType())
+    @worker_udf(T.StringType())
     def hashed(values: pd.Series) -> pd.Series:
         return values.map(lambda v: None if v is None else digest(v.encode("utf-8") if isinstance(v, str) else bytes(v), size))
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import worker_udf
+
 # The white space that splits words, as a regular expression class for JVM and RE2 alike.
 SPACE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WIDE = r"[\x{3000}-\x{9FFF}\x{F900}-\x{FAFF}]"
@@ -43,7 +45,7 @@ def canonical(text: str) -> str:
     return unicodedata.normalize("NFC", text.replace("\r\n", "\n").replace("\r", "\n"))
 
 
-@F.pandas_udf(T.StringType())
+@worker_udf(T.StringType())
 def nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
@@ -67,7 +69,7 @@ def split_blocks(text: str, most: int = BLOCK_CHARS) -> list[str]:
 def text_blocks(text: Column, most: int = BLOCK_CHARS) -> Column:
     """Array of a text's blocks; null and empty texts have none."""
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
+    @worker_udf(T.ArrayType(T.StringType()))
     def blocks(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: split_blocks(t, most) if t else [])
 
@@ -156,7 +158,7 @@ def swap_entity(text: Column, other: str = "Zorbell", least: int = 3) -> Column:
     Of equally frequent words the one that comes first counts; null where none is frequent enough.
     """
 
-    @F.pandas_udf(T.StringType())
+    @worker_udf(T.StringType())
     def swapped(texts: pd.Series) -> pd.Series:
         import re
         from collections import Counter

@@ -22,7 +22,8 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("__row"))
+    # Rows equal in `order` are told apart by all they hold, so that the choice is the same every time.
+    picked = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order, F.xxhash64(*rest))).alias("__row"))
     return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
 
 
@@ -59,14 +60,14 @@ def fetch(keys: DataFrame, table: DataFrame, on: Sequence[str] = ("doc_id", "seq
     return table.join(keys.select(*on).distinct(), list(on), "left_semi")
 
 
-def insert_new(table: DataFrame, rows: DataFrame, keys: Sequence[str] = ("doc_id", "seq")) -> DataFrame:
-    """Table and rows together, where a key that is there already keeps its row."""
-    return table.unionByName(still_to_do(rows.dropDuplicates(list(keys)), table, keys))
+def insert_new(table: DataFrame, rows: DataFrame, order: Sequence[str], keys: Sequence[str] = ("doc_id", "seq")) -> DataFrame:
+    """Table and rows together, where a key that is there already keeps its row; of new rows of one key the first in `order` counts."""
+    return table.unionByName(still_to_do(first_per_key(rows, keys, order), table, keys))
 
 
-def upsert(table: DataFrame, rows: DataFrame, keys: Sequence[str] = ("doc_id", "seq")) -> DataFrame:
-    """Table and rows together, where a new row replaces the one of its key."""
-    return still_to_do(table, rows, keys).unionByName(rows)
+def upsert(table: DataFrame, rows: DataFrame, order: Sequence[str], keys: Sequence[str] = ("doc_id", "seq")) -> DataFrame:
+    """Table and rows together, where a new row replaces the one of its key; of new rows of one key the last in `order` counts."""
+    return still_to_do(table, rows, keys).unionByName(last_per_key(rows, keys, order))
 
 
 def top_terms(items: DataFrame, term: str, first: str, k: int) -> DataFrame:

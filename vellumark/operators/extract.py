@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, on_workers
 from .catalog import done_keys, still_to_do
 from .scoring import compare_readings, meter
 
@@ -98,7 +98,7 @@ def read_chunks(chunks: DataFrame, provider: Provider, tries: int = 3) -> DataFr
                 out.append((doc_id, seq, *[card[n] for n in names], {"hit": used.hit, "miss": used.miss, "out": used.out}, used.model, reason))
             yield pd.DataFrame(out, columns=["doc_id", "seq", *names, "usage_tokens", "model", "reason"])
 
-    return chunks.select("doc_id", "seq", "header", "text").mapInPandas(read, schema)
+    return on_workers(chunks.select("doc_id", "seq", "header", "text")).mapInPandas(read, schema)
 
 
 class Halted(Exception):
@@ -149,4 +149,4 @@ def backfill_vectors(chunks: DataFrame, vectors: DataFrame, embed: Callable[[lis
                 found += embed([t[:most_chars] for t in b["text"].iloc[i : i + group]])
             yield pd.DataFrame({"doc_id": b["doc_id"], "seq": b["seq"], "dim": [len(v) for v in found], "vec": found, "model": model})
 
-    return todo.mapInPandas(run, "doc_id string, seq int, dim int, vec array<float>, model string")
+    return on_workers(todo).mapInPandas(run, "doc_id string, seq int, dim int, vec array<float>, model string")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import shingles
-from ..session import cut, spread
+from ..session import cut, spread, worker_udf
 
 # Shingle length in words, least similarity, and the prime of the hash family.
 SHINGLE, LEAST = 5, 0.8
@@ -100,7 +100,7 @@ def minhash(text: Column, least: int = 30) -> Column:
     spaces are, they are runs of eight characters if it has 200 or more. White space counts as one space.
     """
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
+    @worker_udf(T.ArrayType(T.LongType()))
     def signed(texts: pd.Series) -> pd.Series:
         family, word = hash_family(), regex.compile(r"[\p{L}\p{N}_]+")
 

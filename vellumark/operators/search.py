@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import worker_udf
+
 # Fixed values of the rank function.
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 # Latin letters with marks, and the letters they are found by.
@@ -231,7 +233,7 @@ def snippet(text: Column, words: list[str], size: int = 12, most: int = 240) ->
     """A passage of some words around the first hit, hits in brackets, on one line and cut to `most` characters."""
     wanted = frozenset(plain_term(w) for w in words)
 
-    @F.pandas_udf(T.StringType())
+    @worker_udf(T.StringType())
     def cut_out(texts: pd.Series) -> pd.Series:
         def one(t: str | None) -> str | None:
             if t is None:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import squash, strip_space
+from ..session import on_workers
 
 
 def locate(text: str | None, quote: str | None) -> tuple[int, int, str] | None:
@@ -55,7 +56,7 @@ def located_spans(quotes: DataFrame) -> DataFrame:
                     out.append((doc_id, seq, run_id, quote, *hit))
             yield pd.DataFrame(out, columns=["doc_id", "seq", "run_id", "quote", "span_start", "span_end", "method"])
 
-    return easy.unionByName(hard.mapInPandas(search, "doc_id string, seq int, run_id string, quote int, span_start int, span_end int, method string"))
+    return easy.unionByName(on_workers(hard).mapInPandas(search, "doc_id string, seq int, run_id string, quote int, span_start int, span_end int, method string"))
 
 
 def quote_class(text: Column, quote: Column, start: Column, end: Column) -> Column:

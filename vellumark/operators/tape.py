@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import GENESIS, NotCanonical, chain_hash
+from ..session import on_workers
 
+# Fixed values of the log format: kinds of records, and below the names of files, fields and of the lock.
 KINDS = ("doc", "text", "journal", "contact")
 SEGMENT_BYTES = 64 * 1024 * 1024
 
@@ -123,44 +125,50 @@ def read_tape(spark: SparkSession, folder: str, kinds: Iterable[str] | None = No
 
 
 def verify_tape(spark: SparkSession, folder: str) -> DataFrame:
-    """(i, problem) of records that break the chain, empty for a whole log; all links are checked at once.
+    """(i, problem) of the first record in each segment that breaks the chain, in order; empty for a whole log.
 
-    Each record is hashed against the stored digest of the one before it: inside a segment that is the row
-    before, at a segment's start the tail of the segment before from the checkpoint.
+    Each record is hashed against the digest stored with the one before it in the file, at a segment's start
+    against the tail of the segment before from the checkpoint; so segments are checked side by side, each,
+    bounded by its size, in one task. A record's place is its line's, whatever number it claims. Lines behind
+    the acknowledged count are not looked at.
     """
     tape = Tape(folder, readonly=True)
+    schema = "i bigint, problem string"
     if not tape.segments:
-        return spark.createDataFrame([], "i bigint, problem string")
-    rows = read_tape(spark, folder)
-    tails = spark.createDataFrame([(s["name"], s["first_i"], (tape.segments[k - 1].get("tail_h") if k else GENESIS)) for k, s in enumerate(tape.segments)], "segment string, first_i bigint, tail string")
-    # A segment is bounded by its size, so the window's groups are too.
-    ordered = Window.partitionBy("segment").orderBy("i")
-    linked = rows.join(F.broadcast(tails), "segment").withColumn("before", F.coalesce(F.lag("h").over(ordered), F.col("tail"))).withColumn("place", F.col("first_i") + F.row_number().over(ordered) - 1)
+        return spark.createDataFrame([], schema)
+    parts = [(s["name"], s["first_i"], s["count"], tape.segments[k - 1].get("tail_h") if k else GENESIS, tape.head if s is tape.segments[-1] else s.get("tail_h")) for k, s in enumerate(tape.segments)]
+    known = spark.createDataFrame(parts, "segment string, first_i bigint, count bigint, before string, tail string")
+    files = spark.read.format("binaryFile").load([str(Path(folder) / p[0]) for p in parts]).select(F.element_at(F.split("path", "/"), -1).alias("segment"), "content")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for line, before, place in zip(b["line"], b["before"], b["place"], strict=True):
-                try:
-                    record = json.loads(line)
-                    if not isinstance(record, dict) or "h" not in record:
-                        problem = "not a record"
-                    elif record.get("i") != place:
-                        problem = "index mismatch"
-                    else:
-                        problem = None if chain_hash(before, {k: v for k, v in record.items() if k != "h"}) == record["h"] else "hash mismatch"
-                except NotCanonical:
-                    problem = "unhashable"
-                except ValueError:
-                    problem = "unparseable"
-                if problem:
-                    out.append((int(place), problem))
-            yield pd.DataFrame(out, columns=["i", "problem"])
-
-    bad = linked.select("line", "before", "place").mapInPandas(check, "i bigint, problem string")
-    last = rows.agg(F.count(F.lit(1)).alias("n"), F.max_by("h", "i").alias("head"))
-    end = last.where((F.col("n") != tape.count) | (F.col("head") != tape.head)).select(F.lit(tape.count).cast("bigint").alias("i"), F.lit("checkpoint mismatch").alias("problem"))
-    return bad.unionByName(end)
+            found = [first_break(bytes(c or b"").splitlines(), int(i), int(n), before, tail) for i, n, before, tail, c in zip(b["first_i"], b["count"], b["before"], b["tail"], b["content"], strict=True)]
+            yield pd.DataFrame([f for f in found if f], columns=["i", "problem"])
+
+    # The checkpoint's list is of one row for each segment file.
+    return on_workers(F.broadcast(known).join(files, "segment", "left").drop("segment")).mapInPandas(check, schema).orderBy("i")
+
+
+def first_break(lines: list[bytes], first_i: int, count: int, before: str | None, tail: str | None) -> tuple[int, str] | None:
+    """(i, problem) of the first of a segment's `count` acknowledged lines that doesn't continue the chain from `before` to `tail`."""
+    for i, line in enumerate(lines[:count], first_i):
+        try:
+            record = json.loads(line)
+        except ValueError:
+            return i, "unparseable"
+        if not isinstance(record, dict) or "h" not in record:
+            return i, "not a record"
+        if record.get("i") != i:
+            return i, "index mismatch"
+        try:
+            if chain_hash(before or "", {k: v for k, v in record.items() if k != "h"}) != record["h"]:
+                return i, "hash mismatch"
+        except NotCanonical:
+            return i, "unhashable"
+        before = record["h"]
+    if len(lines) < count:
+        return first_i + len(lines), "missing"
+    return None if tail is None or before == tail else (first_i + count, "checkpoint mismatch")
 
 
 def broken_links(rows: DataFrame, segment_rows: int = 1_000) -> DataFrame:
