@@ -28,7 +28,7 @@ def test_ranks_and_sums_of_a_hot_group(spark):
 def test_empty_tables(spark):
     rows = spark.createDataFrame([], "doc_id string, seq int, year int, project string, tokens bigint")
     assert sampling.stratified_sample(rows, 100).count() == 0 and sampling.within_budget(rows, 10).count() == 0
-    assert sampling.greedy_batches(rows, ["doc_id", "seq"], F.lit(0), 10).count() == 0
+    assert sampling.greedy_batches(rows, ["doc_id", "seq"], 10).count() == 0
     docs = spark.createDataFrame([], "doc_id bigint, text string, taped_at timestamp")
     assert neardup.duplicate_classes(docs).count() == 0 and neardup.flagged(docs, ["taped_at"]).count() == 0
     blocks = spark.createDataFrame([], "doc_id string, seq int, text string")
@@ -43,15 +43,51 @@ def test_sample_has_every_cell(spark):
 
 def test_greedy_batches(spark):
     rows = [("a", i, t) for i, t in enumerate([4, 5, 3, 9, 50, None, 1])]
-    got = sampling.greedy_batches(spark.createDataFrame(rows, "doc_id string, seq int, tokens bigint"), ["doc_id", "seq"], F.lit(0), 10)
+    got = sampling.greedy_batches(spark.createDataFrame(rows, "doc_id string, seq int, tokens bigint"), ["doc_id", "seq"], 10)
     assert [r["batch"] for r in got.orderBy("seq").collect()] == [0, 0, 1, 2, 3, 4, 4]
 
 
+def packed(tokens, most, filled=0):
+    """One pass: where a batch that is filled so far ends up, how many were begun, and each row's batch."""
+    n, out = 0, []
+    for t in tokens:
+        if filled + t > most:
+            n, filled = n + 1, 0
+        filled += t
+        out.append(n)
+    return filled, n, out
+
+
+def test_passages_link_to_one_pass():
+    rng = random.Random(1)
+    for _ in range(400):
+        most, n = rng.randint(1, 30), rng.randint(1, 15)
+        t = np.array([rng.choice([0, 1, 2, 5, 9, 40, rng.randint(0, most)]) for _ in range(n)])
+        k = rng.randint(1, n)
+        whole, halves = sampling.passage(t, most), sampling.passage(t[:k], most)
+        halves = halves.then(sampling.passage(t[k:], most)) if k < n else halves
+        for f in range(most + 45):
+            assert whole(f) == halves(f) == packed(t, most, f)[:2]
+
+
+@pytest.mark.parametrize(("run", "runs"), [(7, 3), (1, 2), (1_000, 10)])
+def test_batches_dont_depend_on_runs(spark, run, runs):
+    rng = random.Random(4)
+    tokens = [rng.choice([0, 3, 8, 20, 60, 130]) for _ in range(200)]
+    df = spark.createDataFrame([("a", i, t) for i, t in enumerate(tokens)], "doc_id string, seq int, tokens bigint").repartition(5)
+    got = sampling.greedy_batches(df, ["doc_id", "seq"], 100, run, runs).orderBy("seq").collect()
+    # Nothing is open before the first row, so an oversized one begins no second batch.
+    want = packed(tokens, 100)[2]
+    assert [r["batch"] for r in got] == [w - (tokens[0] > 100) for w in want]
+
+
 def test_upserts(spark):
     old = spark.createDataFrame([("a", 0, 1), ("b", 0, 2)], "doc_id string, seq int, v int")
     new = spark.createDataFrame([("b", 0, 3), ("c", 0, 4)], "doc_id string, seq int, v int")
     values = lambda df: {r["doc_id"]: r["v"] for r in df.collect()}
-    assert values(catalog.upsert(old, new)) == {"a": 1, "b": 3, "c": 4} and values(catalog.insert_new(old, new)) == {"a": 1, "b": 2, "c": 4}
+    assert values(catalog.upsert(old, new, ["v"])) == {"a": 1, "b": 3, "c": 4} and values(catalog.insert_new(old, new, ["v"])) == {"a": 1, "b": 2, "c": 4}
+    twice = new.unionByName(spark.createDataFrame([("c", 0, 9), ("c", 0, 7)], new.schema))
+    assert values(catalog.upsert(old, twice, ["v"])) == {"a": 1, "b": 3, "c": 9} and values(catalog.insert_new(old, twice, ["v"])) == {"a": 1, "b": 2, "c": 4}
     assert values(catalog.fetch(new.select("doc_id", "seq"), old)) == {"b": 2}
 
 
@@ -122,7 +158,7 @@ def test_texts_of_few_words_are_signed_by_characters(spark):
     assert spark.createDataFrame([(text,)], "t string").select(neardup.minhash(F.col("t"))).first()[0] == want
 
 
-FTS = ["alpha", "alpha beta", "alpha OR gamma", "alpha NOT beta", '"alpha beta"', "bet*", "cafe", "NEAR(alpha gamma, 2)", "(alpha OR beta) AND gamma"]
+FTS = ["alpha", "alpha beta", "alpha OR gamma", "alpha NOT beta", '"alpha beta"', "bet*", "cafe", "NEAR(alpha gamma, 2)", "NEAR(alpha gamma delta, 3)", 'NEAR("alpha beta" gamma)', "NEAR(alpha gamma) OR delta", "alpha OR alpha", "al* delta", "(alpha OR beta) AND gamma"]
 
 
 @pytest.fixture(scope="module")
@@ -141,8 +177,29 @@ def test_search_ranks_as_the_embedded_engine(blocks, query):
     want = {k: v for k, v in db.execute("select doc_id, bm25(t) from t where t match ?", (query,))}
     got = {r["doc_id"]: r["rank"] for r in search.ranked(blocks, query).collect()}
     assert set(got) == set(want)
-    if "NEAR" not in query and "*" not in query:
-        assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    assert all(abs(got[k] - want[k]) < 1e-6 for k in want) and want
+
+
+def test_stored_index_grows(spark, blocks, tmp_path):
+    store = search.StoredIndex(spark, str(tmp_path))
+    assert store.index() is None and store.counts().first()["chunks"] is None
+    some = blocks.where("doc_id < 'd30'")
+    assert store.add(some) == 30 and store.add(blocks) == 30 and store.add(blocks) == 0
+    ranks = lambda **k: {(r["doc_id"], round(r["rank"], 9)) for r in search.ranked(query="alpha OR bet*", **k).collect()}
+    assert ranks(blocks=None, index=store.index()) == ranks(blocks=blocks) and store.counts().first()["chunks"] == 60
+    plan = search.ranked(None, "alpha", store.index())._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(term,alpha\)|PushedFilters: \[[^\]]*In\(term", plan)
+
+
+def test_report_withholds_what_isnt_there(spark):
+    blocks = spark.createDataFrame([("d1", 0, "The lantern stood\nby the ridge path."), ("d2", 0, "A lantern."), ("d3", 0, "lantern lantern")], "doc_id string, seq int, text string")
+    docs = spark.createDataFrame([("d1", "p1/a.md", 2020)], "doc_id string, path string, year int")
+    quote = "array<struct<text:string,span_start:int,span_end:int>>"
+    cards = spark.createDataFrame([("d1", 0, 1, ["old"], [("never said", 0, 3)]), ("d1", 0, 2, ["t"], [("STOOD by", -1, -1), ("never said", 0, 3), (None, 0, 0), ("ridge", 5, 9)])], f"doc_id string, seq int, read_at int, topics array<string>, quotes {quote}")
+    got = {r["doc_id"]: r for r in search.report(blocks, docs, cards, "lantern", 5).collect()}
+    assert [(q["quote"], q["text"], q["method"]) for q in got["d1"]["quotes"]] == [(0, "stood\nby", "whitespace"), (3, "ridge", "find")] and got["d1"]["withheld"] == 2 and got["d1"]["topics"] == ["t"]
+    assert (got["d2"]["project"], got["d2"]["path"], got["d2"]["year"], got["d2"]["quotes"], got["d2"]["withheld"]) == ("?", "?", 0, [], None) and got["d1"]["project"] == "p1"
+    assert {r["matched_as"] for r in search.report(blocks, docs, cards, "ridge-path", 5).collect()} == {"phrase"}
 
 
 def test_search_falls_back_to_a_phrase(blocks):

@@ -102,11 +102,12 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), 1)
 
 
-def shingles(text: Column, n: int = 5) -> Column:
-    """Distinct runs of n words; null where there are fewer."""
-    runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
-    # The words are bound to a name by a list of one, or they would be found anew for every run.
-    return F.get(F.transform(F.array(words(text)), lambda w: F.when(F.size(w) >= n, F.array_distinct(runs(w)))), F.lit(0))
+def shingle_hashes(text: Column, n: int = 5) -> Column:
+    """Distinct 64-bit hashes of the runs of n words; null where there are fewer. Words are hashed once, runs from their words' hashes."""
+    runs = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(n)]))
+    hashed = F.transform(words(text), lambda w: F.xxhash64(w))
+    # The hashes are bound to a name by a list of one, or they would be found anew for every run.
+    return F.get(F.transform(F.array(hashed), lambda h: F.when(F.size(h) >= n, F.array_distinct(runs(h)))), F.lit(0))
 
 
 def record_header(doc_id: Column, year: Column, project: Column, seq: Column) -> Column:
@@ -155,22 +156,23 @@ def flip_negation(text: Column) -> Column:
 def swap_entity(text: Column, other: str = "Zorbell", least: int = 3) -> Column:
     """The most frequent capitalised word, if it occurs `least` times, replaced after its first occurrence.
 
-    Of equally frequent words the one that comes first counts; null where none is frequent enough.
+    Of equally frequent words the one that comes first counts; null where none is frequent enough. The word
+    put in its place is a fixed value.
     """
+    names = F.regexp_extract_all(text, F.lit(r"(?<![\p{L}\p{N}_])([A-Z][a-z]{3,})(?![\p{L}\p{N}_])"), 1)
+    counted = lambda ws: F.transform(F.array_distinct(ws), lambda w, i: F.struct(F.size(F.filter(ws, lambda x: x == w)).alias("n"), (-i).alias("place"), w.alias("w")))
+    # Bound to a name by a list of one, so that words are found once.
+    top = F.get(F.transform(F.array(names), lambda ws: F.array_max(counted(ws))), F.lit(0))
+    at = F.position(top["w"], text) + F.char_length(top["w"])
+    return F.when(top["n"] >= least, F.concat(F.substring(text, F.lit(1), at - 1), F.replace(F.substring(text, at, F.char_length(text)), top["w"], F.lit(other))))
 
-    @worker_udf(T.StringType())
-    def swapped(texts: pd.Series) -> pd.Series:
-        import re
-        from collections import Counter
 
-        def one(t: str | None) -> str | None:
-            top = Counter(re.findall(r"\b[A-Z][a-z]{3,}\b", t or "")).most_common(1)
-            if not top or top[0][1] < least:
-                return None
-            head, word, tail = t.partition(top[0][0])
-            return head + word + tail.replace(word, other)
+# Kinds of planted defects, in the order in which they are tried.
+DEFECTS = ("entity_swap", "negation_flip", "year_shift", "number_scale")
 
-        return texts.map(one)
-
-    return swapped(text)
 
+def plant_defect(text: Column, place: Column) -> Column:
+    """struct(kind, text): the defect whose turn it is at a place, or the first of the others that can be planted; null if none can."""
+    made = F.array(*[F.struct(F.lit(k).alias("kind"), t.alias("text")) for k, t in zip(DEFECTS, (swap_entity(text), flip_negation(text), shift_year(text), scale_number(text)), strict=True)])
+    turn = F.get(made, F.pmod(place, F.lit(len(DEFECTS))).cast("int"))
+    return F.get(F.filter(F.concat(F.array(turn), made), lambda d: d["text"].isNotNull()), F.lit(0))

@@ -22,8 +22,9 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
+    told = [F.col(f.name) for f in df.schema.fields if f.name in rest and "map<" not in f.dataType.simpleString()] or [F.lit(0)]
     # Rows equal in `order` are told apart by all they hold, so that the choice is the same every time.
-    picked = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order, F.xxhash64(*rest))).alias("__row"))
+    picked = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order, F.xxhash64(*told))).alias("__row"))
     return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
 
 

@@ -13,22 +13,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import shingles
+from ..functions.text import shingle_hashes
 from ..session import cut, spread, worker_udf
 
-# Shingle length in words, least similarity, and the prime of the hash family.
-SHINGLE, LEAST = 5, 0.8
-PRIME = (1 << 61) - 1
-# Length of character shingles, and the least length of a text that has them.
+#: Least similarity of near duplicates where a caller asks for none.
+LEAST = 0.8
+# Shingle length in words, and the least number of words of a text that has them; length of
+# character shingles, and the least length of a text that has those; the least number of shingles that are signed.
+SHINGLE, LEAST_WORDS = 5, 34
 CHARS, LEAST_CHARS = 8, 200
-SLOTS, BANDS = 128, 32
+LEAST_SHINGLES = 30
+# The sample of a very long text: so many slices of so many characters where it has more than so many.
+SLICES, SLICE_CHARS, SLICED_CHARS = 20, 5_000, 100_000
+# The prime and the seed of the hash family, slots of a signature, least estimate and most earlier texts of a flag.
+PRIME, SEED, SLOTS = (1 << 61) - 1, 20_260_731, 128
+FLAG_LEAST, FLAG_MOST = 0.6, 5
+BANDS = 32
 
 
 def text_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(rep, sha, shingles): one row per distinct text that has shingles, named by the smallest of its keys."""
     d = spread(docs.where(F.col(text).isNotNull()).select(key, text)).select(F.col(key).alias("k"), F.sha2(text, 256).alias("sha"), F.col(text).alias("t"))
     one = d.groupBy("sha").agg(F.min("k").alias("rep"), F.min("t").alias("t"))
-    return one.select("rep", "sha", F.transform(shingles(F.col("t"), SHINGLE), lambda s: F.xxhash64(s)).alias("shingles")).where(F.col("shingles").isNotNull()).withColumn("shingles", F.array_distinct("shingles"))
+    return one.select("rep", "sha", shingle_hashes(F.col("t"), SHINGLE).alias("shingles")).where(F.col("shingles").isNotNull())
 
 
 def similar_texts(classes: DataFrame, least: float = LEAST) -> DataFrame:
@@ -56,7 +63,7 @@ def similar_texts(classes: DataFrame, least: float = LEAST) -> DataFrame:
     return scored.where(F.col("jaccard") >= least)
 
 
-def hash_family(slots: int = SLOTS, seed: int = 20_260_731) -> list[tuple[int, int]]:
+def hash_family(slots: int = SLOTS, seed: int = SEED) -> list[tuple[int, int]]:
     """(a, b) of each slot's hash (a*x + b) mod PRIME, drawn in turn from a seeded generator."""
     rng = random.Random(seed)
     return [(rng.randrange(1, PRIME), rng.randrange(PRIME)) for _ in range(slots)]
@@ -89,31 +96,39 @@ def signature(values: list[int] | np.ndarray, family: list[tuple[int, int]] | No
     return np.where(s >= np.uint64(PRIME), s - np.uint64(PRIME), s).min(axis=1)
 
 
+WORDS = regex.compile(r"[\p{L}\p{N}_]+")
+
+
 def base_hash(shingle: str) -> int:
     return int.from_bytes(hashlib.blake2b(shingle.encode("utf-8"), digest_size=8).digest(), "big")
 
 
-def minhash(text: Column, least: int = 30) -> Column:
-    """128 slots of a text's distinct shingles; null where there are fewer than `least`.
+def sampled(text: str) -> str:
+    """A text, or of one above SLICED_CHARS characters SLICES slices at even distances."""
+    n = len(text)
+    return text if n <= SLICED_CHARS else "".join(text[i * n // SLICES : i * n // SLICES + SLICE_CHARS] for i in range(SLICES))
+
+
+def runs(text: str) -> set[str]:
+    """A text's shingles: runs of five words; with fewer than 34 words runs of eight characters if it has 200 or more, else none."""
+    low = text.lower()
+    w = WORDS.findall(low)
+    if len(w) >= LEAST_WORDS:
+        return {" ".join(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
+    c = re.sub(r"\s+", " ", low)
+    return {c[i : i + CHARS] for i in range(len(c) - CHARS + 1)} if len(c) >= LEAST_CHARS else set()
 
-    Shingles are runs of five words; in a text with too few words for `least` of them, as those without
-    spaces are, they are runs of eight characters if it has 200 or more. White space counts as one space.
-    """
+
+def minhash(text: Column, whole: bool = True) -> Column:
+    """128 slots of a text's distinct shingles; null where there are fewer than 30. `whole` off signs a sample of very long texts."""
 
     @worker_udf(T.ArrayType(T.LongType()))
     def signed(texts: pd.Series) -> pd.Series:
-        family, word = hash_family(), regex.compile(r"[\p{L}\p{N}_]+")
-
-        def runs(t: str) -> set[str]:
-            w = word.findall(t.lower())
-            if len(w) >= least + SHINGLE - 1:
-                return {" ".join(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
-            c = re.sub(r"\s+", " ", t.lower())
-            return {c[i : i + CHARS] for i in range(len(c) - CHARS + 1)} if len(c) >= LEAST_CHARS else set()
+        family = hash_family()
 
         def one(t: str | None) -> np.ndarray | None:
-            found = runs(t or "")
-            return signature([base_hash(x) for x in found], family).astype(np.int64) if len(found) >= least else None
+            found = runs((t if whole else sampled(t)) if t else "")
+            return signature([base_hash(x) for x in found], family).astype(np.int64) if len(found) >= LEAST_SHINGLES else None
 
         return texts.map(one)
 
@@ -125,24 +140,38 @@ def estimate(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.arrays_zip(a.alias("x"), b.alias("y")), lambda z: z["x"] == z["y"])) / F.lit(float(SLOTS))
 
 
-def flagged(docs: DataFrame, order: list[str], least: float = 0.6, most: int = 5) -> DataFrame:
+def signed_texts(docs: DataFrame, order: list[str], whole: bool = True) -> DataFrame:
+    """(doc_id, place, sig): each distinct text that can be signed, under its earliest document in `order`."""
+    texts = spread(docs.where(F.col("text").isNotNull()).select("doc_id", "text", *[o for o in order if o != "doc_id"]))
+    keyed = texts.select(F.sha2("text", 256).alias("sha"), F.struct(*order, "doc_id").alias("place"), minhash(F.col("text"), whole).alias("sig"))
+    reps = keyed.groupBy("sha").agg(F.min("place").alias("place"), F.first("sig").alias("sig"))
+    return reps.where(F.col("sig").isNotNull()).select(F.col("place.doc_id").alias("doc_id"), "place", "sig")
+
+
+def flagged(docs: DataFrame, order: list[str], least: float = FLAG_LEAST, most: int = FLAG_MOST, whole: bool = True) -> DataFrame:
     """(doc_id, other, jaccard): for each distinct text the most similar earlier ones by estimate, five at most.
 
-    Texts stand under their earliest document in `order`; copies are in exact_duplicates, not here. Candidates
-    share one of 32 bands of four slots, so texts of an estimate far above `least` are hardly ever missed.
+    Texts stand under their earliest document in `order`; copies are in exact_duplicates, not here.
     """
-    texts = spread(docs.where(F.col("text").isNotNull()).select("doc_id", "text", *[o for o in order if o != "doc_id"]))
-    keyed = texts.select(F.sha2("text", 256).alias("sha"), F.struct(*order, "doc_id").alias("place"), minhash(F.col("text")).alias("sig"))
-    reps = keyed.groupBy("sha").agg(F.min("place").alias("place"), F.first("sig").alias("sig"))
-    signed = cut(reps.select(F.col("place.doc_id").alias("doc_id"), "place", "sig")).where(F.col("sig").isNotNull())
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.slice("sig", i * (SLOTS // BANDS) + 1, SLOTS // BANDS)))
-    banded = signed.select("doc_id", "place", F.posexplode(bands).alias("band", "h"))
-    earlier = banded.select("band", "h", F.col("doc_id").alias("other"), F.col("place").alias("other_place"))
-    pairs = banded.join(earlier, ["band", "h"]).where(F.col("other_place") < F.col("place")).select("doc_id", "other").distinct()
-    sides = pairs.join(signed.select("doc_id", F.col("sig").alias("x")), "doc_id").join(signed.select(F.col("doc_id").alias("other"), F.col("sig").alias("y")), "other")
-    scored = sides.select("doc_id", "other", estimate(F.col("x"), F.col("y")).alias("jaccard")).where(F.col("jaccard") >= least)
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("jaccard")).alias("j"), "other")), lambda l, r: F.when(l["j"] != r["j"], F.signum(l["j"] - r["j"])).otherwise(F.when(l["other"] > r["other"], -1).otherwise(1)).cast("int")), 1, most)
-    return scored.groupBy("doc_id").agg(best.alias("b")).select("doc_id", F.inline("b")).select("doc_id", "other", F.round(-F.col("j"), 3).alias("jaccard"))
+    signed = cut(signed_texts(docs, order, whole))
+    return earlier_like(signed, signed, least, most)
+
+
+def earlier_like(asking: DataFrame, signed: DataFrame, least: float = FLAG_LEAST, most: int = FLAG_MOST) -> DataFrame:
+    """(doc_id, other, jaccard) of each text that asks: the most similar earlier ones among those signed, of equals the larger key.
+
+    Candidates share one of 32 bands of four slots: of pairs at 0.6 one in a hundred is missed, at 0.8 one in
+    ten million. Only keys travel with the bands; signatures meet once for each pair.
+    """
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.slice("sig", i * (SLOTS // BANDS) + 1, SLOTS // BANDS)))
+    banded = asking.select("doc_id", "place", F.explode(bands).alias("h"))
+    earlier = signed.select(F.explode(bands).alias("h"), F.col("doc_id").alias("other"), F.col("place").alias("other_place"))
+    pairs = banded.join(earlier, "h").where(F.col("other_place") < F.col("place")).select("doc_id", "other").distinct()
+    sides = pairs.join(asking.select("doc_id", F.col("sig").alias("x")), "doc_id").join(signed.select(F.col("doc_id").alias("other"), F.col("sig").alias("y")), "other")
+    scored = sides.select("doc_id", "other", estimate(F.col("x"), F.col("y")).alias("j")).where(F.col("j") >= least)
+    # The limit is applied before the exchange, so a text that is like a million others brings `most` of each task.
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("j"), F.desc("other")))
+    return scored.withColumn("r", place).where(F.col("r") <= most).select("doc_id", "other", F.round("j", 3).alias("jaccard"))
 
 
 def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -157,8 +186,8 @@ def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         changed = after.join(labels.withColumnRenamed("root", "was"), "node").where(F.col("root") != F.col("was")).limit(1).count()
         labels = after
         if not changed:
-            break
-    return labels
+            return labels
+    raise RuntimeError("components didn't settle in 60 rounds")
 
 
 def duplicate_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:

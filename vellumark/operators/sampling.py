@@ -5,14 +5,16 @@ from __future__ import annotations
 import re
 from fnmatch import translate
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import with_group_prefix_sum, with_group_rank
+from ..session import cut, on_workers
+from .ranking import with_group_prefix_sum, with_sorted_rank
 
-#: Rows in order that one task packs; a batch never runs over such a run of rows.
-PACK_ROWS = 10_000
+#: Rows in order that one task packs, and such runs that one task links; the batches don't depend on either.
+PACK_ROWS, PACK_RUNS = 10_000, 1_000
 
 
 def glob_regex(pattern: str) -> str:
@@ -74,36 +76,135 @@ def within_budget(rows: DataFrame, most: int) -> DataFrame:
     return summed.where(F.col("before") + F.coalesce("tokens", F.lit(0)) <= most).drop("before")
 
 
-def numbered(rows: DataFrame, order: list[str], bucket: Column) -> DataFrame:
-    """rows with `position` in the whole table's order; `bucket` is a prefix of that order."""
-    return with_group_rank(rows.withColumn("__all", F.lit(0)), ["__all"], order, "position", bucket, slices=1).drop("__all")
+def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+    """rows with `position`, from 0, in the whole table's order."""
+    return with_sorted_rank(rows, [], order, "position")
 
 
-def fixed_batches(rows: DataFrame, order: list[str], bucket: Column, size: int = 48) -> DataFrame:
-    return numbered(rows, order, bucket).withColumn("batch", F.floor(F.col("position") / size).cast("bigint")).drop("position")
+def fixed_batches(rows: DataFrame, order: list[str], size: int = 48) -> DataFrame:
+    return numbered(rows, order).withColumn("batch", F.floor(F.col("position") / size).cast("bigint")).drop("position")
 
 
-def greedy_batches(rows: DataFrame, order: list[str], bucket: Column, most: int, run: int = PACK_ROWS) -> DataFrame:
-    """rows with `run` and `batch`: in order, a new batch where the next row would exceed `most`.
+def every_nth(rows: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The rows at positions 0, n, 2n ... of the whole table's order, with `position`."""
+    return numbered(rows, order).where(F.col("position") % n == 0)
 
-    A row above `most` is a batch of its own. The order is cut into runs of `run` rows that are packed by
-    themselves, so no task holds more than a run; at most one batch in each run is left unfilled by that.
+
+class Passage:
+    """What a run of rows does to an open batch: filled at its start -> (filled at its end, batches begun).
+
+    For `filled` up to `most_kept` no row overflows and the run adds `total`; above that the steps apply,
+    each from its least `filled` on: the run's first break is then at one row, and what follows is the same.
+    """
+
+    def __init__(self, least: list[int], filled: list[int], begun: list[int], most_kept: int, total: int):
+        self.least, self.filled, self.begun, self.most_kept, self.total = least, filled, begun, most_kept, total
+
+    def __call__(self, filled: int) -> tuple[int, int]:
+        if filled <= self.most_kept:
+            return filled + self.total, 0
+        k = int(np.searchsorted(self.least, filled, "right")) - 1
+        return int(self.filled[k]), int(self.begun[k])
+
+    def then(self, after: Passage) -> Passage:
+        """Both passages as one."""
+        least, filled, begun = [], [], []
+        kept = min(self.most_kept, after.most_kept - self.total)
+        # Below most_kept the first run only adds, so the second's steps count, moved down by what was added.
+        starts = sorted({x - self.total for x in after.least if kept < x - self.total <= self.most_kept} | ({kept + 1} if kept < self.most_kept else set()) | {x for x in self.least})
+        for x in starts:
+            one, n = self(x)
+            two, m = after(one)
+            least.append(x), filled.append(two), begun.append(n + m)
+        return Passage(least, filled, begun, kept, self.total + after.total)
+
+
+def passage(tokens: np.ndarray, most: int) -> Passage:
+    """The passage of rows of these sizes."""
+    upto = np.concatenate([[0], np.cumsum(tokens)])
+    n = len(tokens)
+    # after[k]: the first row that no longer fits a batch begun at row k, which holds its first row in any case.
+    after = np.maximum(np.searchsorted(upto, upto[:-1] + most, "right") - 1, np.arange(n) + 1)
+    breaks = [k for k in range(n) if upto[k] <= most and (k == 0 or tokens[k] > 0)]  # rows that may be the first to overflow
+    out: dict[int, tuple[int, int]] = {}
+    for k in breaks[::-1]:
+        chain, at = [], k
+        while at < n and at not in out:
+            chain.append(at)
+            at = int(after[at])
+        for c in reversed(chain):
+            to = int(after[c])
+            out[c] = (int(upto[n] - upto[c]), 1) if to >= n else (out[to][0], out[to][1] + 1)
+    # Row k overflows first for filled above most - upto[k + 1] that row k - 1 still fitted.
+    steps = sorted((max(0, int(most - upto[k + 1] + 1)), k) for k in breaks)
+    merged: dict[int, int] = {}
+    for x, k in steps:
+        merged[x] = min(k, merged.get(x, k))
+    least = sorted(merged)
+    return Passage(least, [out[merged[x]][0] for x in least], [out[merged[x]][1] for x in least], int(most - upto[n]), int(upto[n]))
+
+
+_PASSAGE = "least array<bigint>, filled array<bigint>, begun array<bigint>, most_kept bigint, total bigint"
+
+
+def _read_passage(row) -> Passage:
+    return Passage(list(row.least), list(row.filled), list(row.begun), int(row.most_kept), int(row.total))
+
+
+def greedy_batches(rows: DataFrame, order: list[str], most: int, run: int = PACK_ROWS, runs: int = PACK_RUNS) -> DataFrame:
+    """rows with `batch`: in order, a new batch where the next row would exceed `most`, as in one pass over all rows.
+
+    A row above `most` is a batch of its own; null and negative sizes count as 0. What a run of rows does to
+    the batch that is open at its start is a small step function; these are linked in groups, then the groups,
+    and each run is packed from the state it is reached in. So no task holds more than a run of rows, or
+    the functions of `runs` runs.
     """
-    placed = numbered(rows, order, bucket).withColumn("run", F.floor(F.col("position") / run).cast("bigint"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema)
-
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("position", kind="stable")
-        batch, filled, out = 0, 0, []
-        for tokens in group["tokens"].fillna(0).astype(int):
-            if out and filled + tokens > most:
+    size = F.greatest(F.coalesce("tokens", F.lit(0)), F.lit(0)).cast("bigint")
+    placed = cut(numbered(rows, order).withColumn("__run", F.floor(F.col("position") / run).cast("bigint")).withColumn("__size", size))
+
+    def passages(g: pd.DataFrame) -> pd.DataFrame:
+        p = passage(g.sort_values("position")["__size"].to_numpy(), most)
+        return pd.DataFrame([(g["__run"].iloc[0], p.least, p.filled, p.begun, p.most_kept, p.total)], columns=["run", "least", "filled", "begun", "most_kept", "total"])
+
+    each = cut(on_workers(placed.select("__run", "position", "__size")).groupBy("__run").applyInPandas(passages, f"run bigint, {_PASSAGE}").withColumn("group", F.floor(F.col("run") / runs)))
+
+    def linked(g: pd.DataFrame) -> pd.DataFrame:
+        whole = None
+        for row in g.sort_values("run").itertuples():
+            p = _read_passage(row)
+            whole = p if whole is None else whole.then(p)
+        return pd.DataFrame([(g["group"].iloc[0], whole.least, whole.filled, whole.begun, whole.most_kept, whole.total)], columns=["run", "least", "filled", "begun", "most_kept", "total"])
+
+    def entered(g: pd.DataFrame) -> pd.DataFrame:
+        """The state in which each of some runs in order is reached."""
+        filled, batch, out = (0, 0, []) if "filled_at" not in g else (int(g["filled_at"].iloc[0]), int(g["batch_at"].iloc[0]), [])
+        for row in g.sort_values("run").itertuples():
+            out.append((row.run, filled, batch))
+            filled, begun = _read_passage(row)(filled)
+            batch += begun
+        return pd.DataFrame(out, columns=["run", "filled_at", "batch_at"])
+
+    state = "run bigint, filled_at bigint, batch_at bigint"
+    groups = each.groupBy("group").applyInPandas(linked, f"run bigint, {_PASSAGE}")
+    # One row for each run x runs rows of the table, ten million.
+    at_groups = groups.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(entered, state)
+    at_runs = each.join(at_groups.withColumnRenamed("run", "group"), "group").groupBy("group").applyInPandas(entered, state)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    kept = rows.columns
+
+    def pack(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("position")
+        filled, batch, out = int(g["filled_at"].iloc[0]), int(g["batch_at"].iloc[0]), []
+        begun = g["position"].iloc[0] > 0
+        for tokens in g["__size"].tolist():
+            if begun and filled + tokens > most:
                 batch, filled = batch + 1, 0
-            filled += tokens
+            filled, begun = filled + tokens, True
             out.append(batch)
-        group["batch"] = out
-        return group
+        return g.assign(batch=out)[[*kept, "batch"]]
 
-    return placed.groupBy("run").applyInPandas(pack, f"{fields}, batch bigint").drop("position")
+    return placed.join(at_runs.withColumnRenamed("run", "__run"), "__run").groupBy("__run").applyInPandas(pack, f"{fields}, batch bigint")
 
 
 def rotating_subset(shards: DataFrame, key: str, turn: int, size: int = 16) -> DataFrame:

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import worker_udf
+from ..session import cut, worker_udf
+from .spans import located_quotes
 
 # Fixed values of the rank function.
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
@@ -37,22 +39,85 @@ def plain_term(word: str) -> str:
 
 
 def postings(blocks: DataFrame) -> DataFrame:
-    """(term, doc_id, seq, tf, positions): an inverted index of blocks, each key once."""
-    t = blocks.select("doc_id", "seq", F.posexplode(terms(F.col("text"))).alias("position", "term"))
-    return t.groupBy("term", "doc_id", "seq").agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("position")).alias("positions"))
+    """(term, doc_id, seq, n, positions): an inverted index of blocks, each key once; n is the block's number of words."""
+    words = blocks.select("doc_id", "seq", terms(F.coalesce("text", F.lit(""))).alias("w"))
+    t = words.select("doc_id", "seq", F.size("w").alias("n"), F.posexplode("w").alias("position", "term"))
+    return t.groupBy("term", "doc_id", "seq", "n").agg(F.array_sort(F.collect_list("position")).alias("positions"))
 
 
-def lengths(blocks: DataFrame) -> DataFrame:
-    return blocks.select("doc_id", "seq", F.size(terms(F.coalesce("text", F.lit("")))).alias("n"))
+def sizes(blocks: DataFrame) -> DataFrame:
+    """One row (total, words): how many blocks there are, and their words."""
+    return blocks.agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum(F.size(terms(F.coalesce("text", F.lit(""))))), F.lit(0)).cast("bigint").alias("words"))
+
+
+@dataclass(frozen=True)
+class Index:
+    """What a search reads: postings, and the sizes of all that is indexed (rows that are to be added up)."""
+
+    postings: DataFrame
+    sizes: DataFrame
+
+
+def index_of(blocks: DataFrame) -> Index:
+    return Index(postings(blocks), sizes(blocks))
+
+
+class StoredIndex:
+    """An index kept in a folder: postings sorted by term, so that a search reads the row groups of its words alone.
+
+    Each addition is written beside what is there: `keys` last, so that a block counts as indexed once all of
+    it is. A key that is indexed already keeps its text.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _part(self, name: str) -> DataFrame | None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        return self.spark.read.parquet(f"{self.folder}/{name}") if path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path) else None
+
+    def add(self, blocks: DataFrame) -> int:
+        """Index the blocks whose key isn't indexed yet; returns how many there were."""
+        known = self._part("keys")
+        fresh = blocks.select("doc_id", "seq", "text")
+        fresh = cut(fresh if known is None else fresh.join(known, ["doc_id", "seq"], "left_anti"))
+        if not (n := fresh.count()):
+            return 0
+        ranges = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        batch = F.lit(uuid.uuid4().hex)
+        postings(fresh).repartitionByRange(ranges, "term", "doc_id").sortWithinPartitions("term", "doc_id", "seq").withColumn("batch", batch).write.mode("append").parquet(f"{self.folder}/postings")
+        sizes(fresh).withColumn("batch", batch).write.mode("append").parquet(f"{self.folder}/sizes")
+        fresh.select("doc_id", "seq").withColumn("batch", batch).write.mode("append").parquet(f"{self.folder}/keys")
+        return n
+
+    def index(self) -> Index | None:
+        """The index of additions that were finished; None before the first."""
+        if (keys := self._part("keys")) is None:
+            return None
+        done = F.broadcast(keys.select("batch").distinct())  # one row for each addition
+        return Index(self._part("postings").join(done, "batch", "left_semi"), self._part("sizes").join(done, "batch", "left_semi"))
+
+    def counts(self) -> DataFrame:
+        """One row (chunks, postings): how many keys and postings there are, null where nothing was ever indexed."""
+        if (index := self.index()) is None:
+            return self.spark.createDataFrame([(None, None)], "chunks bigint, postings bigint")
+        return index.sizes.agg(F.sum("total").alias("chunks")).join(index.postings.agg(F.count(F.lit(1)).alias("postings")))
 
 
 @dataclass(frozen=True)
 class Phrase:
-    """Words in a row, the last of which may be the beginning of one; near: all of them within so many words."""
+    """Words in a row, the last of which may be the beginning of one."""
 
     words: tuple[str, ...]
     prefix: bool = False
-    near: int | None = None
+
+
+@dataclass(frozen=True)
+class Near:
+    """Phrases that have at most `reach` words between the first and the last of them."""
+
+    phrases: tuple[Phrase, ...]
+    reach: int
 
 
 @dataclass(frozen=True)
@@ -119,17 +184,19 @@ def parse(query: str):
             return inner
         if m[2]:
             take()
-            words, n = [], 10
+            phrases, n = [], 10
             while peek() and peek()[3] != ")":
                 t = take()
                 if t[4]:
                     n = int(take()[6])
                 else:
-                    words.extend(word(t).words)
+                    phrases.append(word(t))
             if not peek():
                 raise QueryError("NEAR that isn't closed")
             take()
-            return Phrase(tuple(words), near=n)
+            if not phrases:
+                raise QueryError("NEAR of nothing")
+            return Near(tuple(phrases), n) if len(phrases) > 1 else phrases[0]
         if m[1] is not None or m[6]:
             return word(take())
         raise QueryError(f"{m[0].strip()!r} where a word was expected")
@@ -167,66 +234,122 @@ def parse(query: str):
     return tree
 
 
-def leaves(tree) -> list[Phrase]:
-    return [tree] if isinstance(tree, Phrase) else leaves(tree.left) + leaves(tree.right)
+def leaves(tree) -> list[Phrase | Near]:
+    return [tree] if isinstance(tree, Phrase | Near) else leaves(tree.left) + leaves(tree.right)
 
 
-def _occurrences(index: DataFrame, phrase: Phrase) -> DataFrame:
-    """(doc_id, seq, tf) of a phrase."""
-    matches = lambda i: F.col("term").startswith(phrase.words[i]) if phrase.prefix and i == len(phrase.words) - 1 else F.col("term") == phrase.words[i]
-    if len(phrase.words) == 1:
-        return index.where(matches(0)).groupBy("doc_id", "seq").agg(F.sum("tf").alias("tf"))
-    wanted = reduce(lambda a, b: a | b, [matches(i) for i in range(len(phrase.words))])
-    hits = index.where(wanted).groupBy("doc_id", "seq").agg(*[F.array_sort(F.flatten(F.collect_list(F.when(matches(i), F.col("positions"))))).alias(f"p{i}") for i in range(len(phrase.words))])
-    if phrase.near is None:
-        starts = F.filter("p0", lambda p: reduce(lambda a, b: a & b, [F.array_contains(f"p{i}", (p + i).cast("int")) for i in range(1, len(phrase.words))]))
-    else:  # all the others within so many words between them
-        reach = phrase.near + 1
-        starts = F.filter("p0", lambda p: reduce(lambda a, b: a & b, [F.exists(f"p{i}", lambda q: (F.abs(q - p) <= reach) & (q != p)) for i in range(1, len(phrase.words))]))
-    return hits.select("doc_id", "seq", F.size(starts).cast("bigint").alias("tf")).where("tf > 0")
+def phrases_of(tree) -> list[Phrase]:
+    """The phrases of a query in order, those inside a Near too; each counts for the rank as often as it stands there."""
+    return [p for leaf in leaves(tree) for p in (leaf.phrases if isinstance(leaf, Near) else (leaf,))]
 
 
-def _keys(tree, found: dict[Phrase, DataFrame]) -> DataFrame:
-    key = ["doc_id", "seq"]
-    if isinstance(tree, Phrase):
-        return found[tree].select(*key)
-    left, right = _keys(tree.left, found), _keys(tree.right, found)
-    if isinstance(tree, Either):
-        return left.unionByName(right).distinct()
-    return left.join(right, key, "left_anti" if isinstance(tree, Without) else "left_semi")
+def near_hits(places: list[list[int]], lengths: list[int], reach: int) -> list[list[int]]:
+    """Of the sorted places of some phrases those that take part in a passage of all of them.
 
-
-def ranked(blocks: DataFrame, query: str, index: DataFrame | None = None) -> DataFrame:
+    A passage has each phrase begin at most `reach` words and its own length before the last. Passages are
+    found by moving on the phrase that begins first, so only those reached that way count.
+    """
+    at, kept = [0] * len(places), [[] for _ in places]
+    if not all(places):
+        return kept
+    while True:
+        last = max(p[i] for p, i in zip(places, at, strict=True))
+        moved = True
+        while moved:
+            moved = False
+            for k, p in enumerate(places):
+                while at[k] < len(p) and p[at[k]] < last - lengths[k] - reach:
+                    at[k] += 1
+                if at[k] == len(p):
+                    return kept
+                if p[at[k]] > last:
+                    last, moved = p[at[k]], True
+        for k, p in enumerate(places):
+            if not kept[k] or kept[k][-1] != p[at[k]]:
+                kept[k].append(p[at[k]])
+        first = min(range(len(places)), key=lambda k: places[k][at[k]])
+        at[first] += 1
+        if at[first] == len(places[first]):
+            return kept
+
+
+def _near_counts(near: Near, columns: list[Column]) -> Column:
+    """How often each phrase takes part; zeros where the phrases don't come together."""
+    lengths, reach = [len(p.words) for p in near.phrases], near.reach
+
+    @worker_udf(T.ArrayType(T.IntegerType()))
+    def count(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda places: [len(k) for k in near_hits([list(p) for p in places], lengths, reach)])
+
+    return count(F.array(*columns))
+
+
+def ranked(blocks: DataFrame | None, query: str, index: Index | None = None) -> DataFrame:
     """(doc_id, seq, rank) of all blocks that match, rank by BM25: the more negative, the better.
 
-    Only postings of the query's words are read. A query that can't be read raises QueryError.
+    Only postings of the query's words are read, and only they are shuffled, once: whether a block matches,
+    how often each phrase stands in it and how many blocks have it all follow from a block's postings
+    together. A query that can't be read raises QueryError.
     """
     tree = parse(query)
-    index = index if index is not None else postings(blocks)
-    found = {p: _occurrences(index, p) for p in dict.fromkeys(leaves(tree))}
-    size = lengths(blocks)
-    stats = size.agg(F.count(F.lit(1)).alias("total"), F.avg("n").alias("mean"))
-    hits = _keys(tree, found)
-    scores = []
-    for phrase in dict.fromkeys(leaves(tree)):
-        f = found[phrase]
-        df = f.agg(F.count(F.lit(1)).alias("df"))
-        idf = F.greatest(F.log((F.col("total") - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(LEAST_IDF))
-        part = f.join(hits, ["doc_id", "seq"], "left_semi").join(size, ["doc_id", "seq"]).join(F.broadcast(stats)).join(F.broadcast(df))  # the last two are one row each
-        scores.append(part.select("doc_id", "seq", (idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("n") / F.col("mean")))).alias("s")))
-    whole = reduce(lambda a, b: a.unionByName(b), scores)
-    return whole.groupBy("doc_id", "seq").agg((-F.sum("s")).alias("rank"))
-
-
-def search(blocks: DataFrame, query: str, limit: int = 5) -> tuple[DataFrame, str]:
+    index = index or index_of(blocks)
+    wanted = list(dict.fromkeys((w, p.prefix and i == len(p.words) - 1) for p in phrases_of(tree) for i, w in enumerate(p.words)))
+    fits = lambda w, prefix: F.col("term").startswith(w) if prefix else F.col("term") == w
+    # Spelled out for the scan: equal words as a list, prefixes one by one.
+    equal = [w for w, prefix in wanted if not prefix]
+    some = reduce(lambda a, b: a | b, [*([F.col("term").isin(equal)] if equal else []), *[fits(w, True) for w, prefix in wanted if prefix]])
+    at = {x: f"__p{i}" for i, x in enumerate(wanted)}
+    rows = index.postings.where(some).groupBy("doc_id", "seq", "n").agg(*[F.array_sort(F.flatten(F.collect_list(F.when(fits(*x), F.col("positions"))))).alias(c) for x, c in at.items()])
+
+    def starts(p: Phrase) -> Column:
+        places = [F.col(at[w, p.prefix and i == len(p.words) - 1]) for i, w in enumerate(p.words)]
+        return places[0] if len(places) == 1 else F.filter(places[0], lambda x: reduce(lambda a, b: a & b, [F.array_contains(c, (x + i).cast("int")) for i, c in enumerate(places[1:], 1)]))
+
+    phrases = list(dict.fromkeys(phrases_of(tree)))
+    named = {p: f"__s{i}" for i, p in enumerate(phrases)}
+    rows = rows.select("doc_id", "seq", "n", *[starts(p).alias(c) for p, c in named.items()])
+    nears = {leaf: f"__n{i}" for i, leaf in enumerate(dict.fromkeys(leaf for leaf in leaves(tree) if isinstance(leaf, Near)))}
+    rows = rows.withColumns({c: _near_counts(leaf, [F.col(named[p]) for p in leaf.phrases]) for leaf, c in nears.items()})
+
+    def matches(t) -> Column:
+        if isinstance(t, Phrase):
+            return F.size(named[t]) > 0
+        if isinstance(t, Near):
+            return F.col(nears[t])[0] > 0
+        left, right = matches(t.left), matches(t.right)
+        return left & right if isinstance(t, Both) else left | right if isinstance(t, Either) else left & ~right
+
+    # Every phrase that stands in the query counts, inside a Near by its part in passages, with its own number of blocks.
+    counts = [c for leaf in leaves(tree) for c in ([(p, F.col(nears[leaf])[k]) for k, p in enumerate(leaf.phrases)] if isinstance(leaf, Near) else [(leaf, F.size(named[leaf]))])]
+    blocks_with = rows.agg(*[F.count_if(F.size(c) > 0).alias(f"{c}_df") for c in named.values()])
+    stats = index.sizes.agg(F.sum("total").alias("total"), (F.sum("words") / F.sum("total")).alias("mean"))
+    hits = rows.where(matches(tree)).join(F.broadcast(stats)).join(F.broadcast(blocks_with))  # one row each
+
+    def part(p: Phrase, tf: Column) -> Column:
+        df = F.col(f"{named[p]}_df")
+        idf = F.greatest(F.log((F.col("total") - df + 0.5) / (df + 0.5)), F.lit(LEAST_IDF))
+        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("n") / F.col("mean")))
+
+    return hits.select("doc_id", "seq", (-reduce(lambda a, b: a + b, [part(p, tf) for p, tf in counts])).alias("rank"))
+
+
+def search(blocks: DataFrame | None, query: str, limit: int = 5, index: Index | None = None) -> tuple[DataFrame, str]:
     """The best blocks (doc_id, seq, rank) and how the query was read: 'query', or as one 'phrase' if it can't be read."""
     if not query.strip():
         raise QueryError("an empty query")
+    query, read_as = read_query(query)
+    return ranked(blocks, query, index).orderBy("rank", "doc_id", "seq").limit(limit), read_as
+
+
+def read_query(query: str) -> tuple[str, str]:
+    """A query that can be read: itself, or as one phrase."""
     try:
-        hits, read_as = ranked(blocks, query), "query"
+        parse(query)
+        return query, "query"
     except QueryError:
-        hits, read_as = ranked(blocks, '"' + query.replace('"', '""') + '"'), "phrase"
-    return hits.orderBy("rank", "doc_id", "seq").limit(limit), read_as
+        phrase = '"' + query.replace('"', '""') + '"'
+        parse(phrase)
+        return phrase, "phrase"
 
 
 def snippet(text: Column, words: list[str], size: int = 12, most: int = 240) -> Column:
@@ -257,12 +380,25 @@ def snippet(text: Column, words: list[str], size: int = 12, most: int = 240) ->
     return cut_out(text)
 
 
-def report(blocks: DataFrame, docs: DataFrame, cards: DataFrame, query: str, limit: int = 5) -> DataFrame:
-    """The best blocks with their document's path and year, the card last read, and a snippet; unknown ones null."""
-    from .catalog import last_per_key
+def report(blocks: DataFrame, docs: DataFrame, cards: DataFrame, query: str, limit: int = 5, index: Index | None = None) -> DataFrame:
+    """The best blocks, each with its document, the card last read and a snippet.
 
-    hits, _ = search(blocks, query, limit)
-    words = [w for p in leaves(parse(query)) for w in p.words]
-    latest = last_per_key(cards.select("doc_id", "seq", "read_at", "topics", "quotes"), ["doc_id", "seq"], ["read_at"]).drop("read_at")
-    joined = hits.join(docs.select("doc_id", "path", "year"), "doc_id", "left").join(latest, ["doc_id", "seq"], "left").join(blocks.select("doc_id", "seq", "text"), ["doc_id", "seq"], "left")
-    return joined.select("doc_id", "seq", "rank", "path", "year", "topics", F.size("quotes").alias("quotes"), snippet(F.col("text"), words).alias("snippet"))
+    Quotes of the card come with the place where they were found in the block's text; those that stand nowhere
+    in it are withheld and only counted. A block without document has path and project '?' and year 0, one
+    without card null topics, no quotes and null withheld; without text nothing can be located.
+    """
+    from .catalog import last_per_key, project_of
+
+    hits, read_as = search(blocks, query, limit, index)
+    words = [w for p in phrases_of(parse(read_query(query)[0])) for w in p.words]
+    keys = F.broadcast(hits)  # `limit` rows
+    latest = last_per_key(keys.select("doc_id", "seq").join(cards.select("doc_id", "seq", "read_at", "topics", "quotes"), ["doc_id", "seq"]), ["doc_id", "seq"], ["read_at"]).drop("read_at")
+    known = keys.select("doc_id").distinct().join(docs.select("doc_id", "path", "year"), "doc_id")
+    texts = keys.select("doc_id", "seq").join(blocks.select("doc_id", "seq", "text"), ["doc_id", "seq"])
+    joined = hits.join(known, "doc_id", "left").join(latest, ["doc_id", "seq"], "left").join(texts, ["doc_id", "seq"], "left")
+    said = F.transform(F.coalesce("quotes", F.expr("array()")), lambda q: q["text"])
+    found = joined.withColumn("__found", located_quotes(F.col("text"), said))
+    return found.select(
+        "doc_id", "seq", "rank", F.lit(read_as).alias("matched_as"), F.coalesce(project_of(F.col("path")), F.lit("?")).alias("project"), F.coalesce("path", F.lit("?")).alias("path"), F.coalesce("year", F.lit(0)).alias("year"),
+        "topics", F.col("__found").alias("quotes"), F.when(F.col("quotes").isNotNull(), F.size("quotes") - F.size("__found")).alias("withheld"), snippet(F.col("text"), words).alias("snippet"),
+    ).orderBy("rank", "doc_id", "seq")

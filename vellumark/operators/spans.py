@@ -8,9 +8,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import squash, strip_space
-from ..session import on_workers
+from ..session import on_workers, worker_udf
 
 
 def locate(text: str | None, quote: str | None) -> tuple[int, int, str] | None:
@@ -59,6 +60,21 @@ def located_spans(quotes: DataFrame) -> DataFrame:
     return easy.unionByName(on_workers(hard).mapInPandas(search, "doc_id string, seq int, run_id string, quote int, span_start int, span_end int, method string"))
 
 
+def located_quotes(text: Column, quotes: Column) -> Column:
+    """Of an array of quotes those found in a text, as (quote, text, span_start, span_end, method); for a few rows, as of a report."""
+    kind = T.ArrayType(T.StructType([T.StructField("quote", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("span_start", T.IntegerType()), T.StructField("span_end", T.IntegerType()), T.StructField("method", T.StringType())]))
+
+    @worker_udf(kind)
+    def find(rows: pd.DataFrame) -> pd.Series:
+        def one(t: str | None, said: list | None) -> list[dict]:
+            hits = [(i, locate(t, q)) for i, q in enumerate(said if said is not None else [])]
+            return [{"quote": i, "text": t[h[0] : h[1]], "span_start": h[0], "span_end": h[1], "method": h[2]} for i, h in hits if h]
+
+        return pd.Series([one(t, q) for t, q in zip(rows["text"], rows["said"], strict=True)])
+
+    return find(F.struct(text.alias("text"), quotes.alias("said")))
+
+
 def quote_class(text: Column, quote: Column, start: Column, end: Column) -> Column:
     """How a quote relates to its text: exact, substring, normalized or miss, with no_offset_ where it says no place."""
     said = F.substring(text, start + 1, end - start)
@@ -76,24 +92,31 @@ def claim_class(text: Column, span: Column) -> Column:
     return F.when(span.isNull() | s.isNull() | e.isNull(), "absent").when((s >= 0) & (s < e) & (e <= F.char_length(text)), "valid").otherwise("invalid")
 
 
-def fence_report(cards: DataFrame, blocks: DataFrame) -> DataFrame:
-    """One row: quotes by class, claims by class, and the rates of quotes verified, exact and not located.
+def fence_report(cards: DataFrame, blocks: DataFrame, limit: int | None = None, misses: int = 10) -> DataFrame:
+    """One row: quotes by class, claims by class, the rates of quotes verified, exact and not located, and the first misses.
 
     Cards without block are counted as unfetchable and left out of the rest; every card row counts, also of
-    a block read twice. Rates are null where there are no quotes.
+    a block read twice. `limit` takes the first cards by key only; none, or 0, is all. Rates are null where
+    there are no quotes. Each card is judged where it meets its text, so texts are read and moved once.
     """
-    texts = blocks.select("doc_id", "seq", "text")
-    fetched = cards.join(texts, ["doc_id", "seq"], "left")
-    q = fetched.where(F.col("text").isNotNull()).select("text", F.explode("quotes").alias("q"))
-    named = q.select(quote_class(F.col("text"), F.coalesce("q.text", F.lit("")), F.coalesce("q.span_start", F.lit(-1)), F.coalesce("q.span_end", F.lit(-1))).alias("c"))
+    if limit:
+        cards = cards.orderBy("doc_id", "seq", "run_id").limit(limit)
+    fetched = cards.select("doc_id", "seq", "quotes", "claims").join(blocks.select("doc_id", "seq", "text"), ["doc_id", "seq"], "left")
     kinds = ("exact", "substring", "normalized", "miss", "no_offset_hit", "no_offset_norm", "no_offset_miss")
-    per_quote = named.agg(F.count(F.lit(1)).alias("quotes"), *[F.count_if(F.col("c") == k).alias(k) for k in kinds])
-    claims = fetched.where(F.col("text").isNotNull()).select("text", F.explode("claims").alias("k")).select(claim_class(F.col("text"), F.col("k")["span"]).alias("c"))
-    per_claim = claims.agg(*[F.count_if(F.col("c") == k).alias(f"claims_{k}") for k in ("valid", "invalid", "absent")])
-    per_card = fetched.agg(F.count(F.lit(1)).alias("cards"), F.count_if(F.col("text").isNull()).alias("unfetchable"))
+    has = F.col("text").isNotNull()
+    said = F.when(has, F.transform(F.coalesce("quotes", F.expr("array()")), lambda q: quote_class(F.col("text"), F.coalesce(q["text"], F.lit("")), F.coalesce(q["span_start"], F.lit(-1)), F.coalesce(q["span_end"], F.lit(-1)))))
+    held = F.when(has, F.transform(F.coalesce("claims", F.expr("array()")), lambda k: claim_class(F.col("text"), k["span"])))
+    lost = F.filter(F.transform(F.arrays_zip(F.col("quotes"), F.col("said")), lambda z, i: F.struct("doc_id", "seq", i.alias("quote"), z["quotes"]["text"].alias("text"), z["said"].alias("c"))), lambda m: m["c"].isin("miss", "no_offset_miss"))
+    judged = fetched.select("doc_id", "seq", "quotes", has.alias("has"), said.alias("said"), held.alias("held")).withColumn("lost", F.when(F.size("said") > 0, lost)).select("has", "said", "held", F.when(F.size("lost") > 0, F.slice("lost", 1, misses)).alias("lost"), "doc_id", "seq")
+    n = lambda c, k: F.coalesce(F.sum(F.size(F.filter(c, lambda x: x == k))), F.lit(0)).cast("bigint")
+    one = judged.agg(
+        F.count(F.lit(1)).alias("cards"), F.count_if(~F.col("has")).alias("unfetchable"), F.coalesce(F.sum(F.size("said")), F.lit(0)).cast("bigint").alias("quotes"), *[n("said", k).alias(k) for k in kinds],
+        *[n("held", k).alias(f"claims_{k}") for k in ("valid", "invalid", "absent")],
+    )
+    first = judged.where("lost is not null").orderBy("doc_id", "seq").limit(misses).agg(F.slice(F.array_sort(F.flatten(F.collect_list("lost"))), 1, misses).alias("misses"))
     rate = lambda *c: F.round(sum(F.col(x) for x in c) / F.when(F.col("quotes") > 0, F.col("quotes")), 4)
-    one = per_card.join(per_quote).join(per_claim)  # three rows of one row each
-    return one.select("*", rate("exact", "substring", "normalized", "no_offset_hit", "no_offset_norm").alias("verified_rate"), rate("exact").alias("exact_rate"), rate("miss", "no_offset_miss").alias("unlocated_rate"))
+    rates = one.select("*", rate("exact", "substring", "normalized", "no_offset_hit", "no_offset_norm").alias("verified_rate"), rate("exact").alias("exact_rate"), rate("miss", "no_offset_miss").alias("unlocated_rate"))
+    return rates.join(F.broadcast(first))  # one row each
 
 
 def derivation_stats(quotes: DataFrame, spans: DataFrame) -> DataFrame:

@@ -92,26 +92,37 @@ def exact_dedup_texts(spark: SparkSession, d: str) -> DataFrame:
     return census.exact_duplicates(texts, "sha", ["doc_id"])
 
 
-@query("""
-    with w as (select min(doc_id) as rep, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') as ws from documents where text is not null group by text),
-         s as (select distinct rep, array_to_string(ws[i:i+4], ' ') as s from w, unnest(range(1, len(ws) - 3)) as r(i) where len(ws) >= 5),
-         n as (select rep, count(*) as n from s group by rep),
-         p as (select x.rep as a, y.rep as b, count(*) as both_n from s x join s y on x.s = y.s and x.rep < y.rep group by 1, 2)
-    select a, b, round(both_n / (na.n + nb.n - both_n), 6)::double as jaccard from p join n na on na.rep = a join n nb on nb.rep = b where both_n / (na.n + nb.n - both_n) >= 0.8
-""")
+# Distinct texts by their smallest key, their word shingles, and all pairs that share one, in SQL.
+_PAIRS = """
+    w as (select min(doc_id) as rep, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') as ws from documents where text is not null group by text),
+    s as (select distinct rep, array_to_string(ws[i:i+4], ' ') as s from w, unnest(range(1, len(ws) - 3)) as r(i) where len(ws) >= 5),
+    n as (select rep, count(*) as n from s group by rep),
+    j as (select x.rep as a, y.rep as b, count(*) as both_n from s x join s y on x.s = y.s and x.rep < y.rep group by 1, 2),
+    p as (select a, b, both_n / (na.n + nb.n - both_n) as jaccard from j join n na on na.rep = a join n nb on nb.rep = b where both_n / (na.n + nb.n - both_n) >= 0.6)
+"""
+
+
+@query(f"with {_PAIRS} select a, b, round(jaccard, 6)::double as jaccard from p")
 def near_dup_exact(spark: SparkSession, d: str) -> DataFrame:
-    pairs = neardup.similar_texts(neardup.text_classes(table(spark, d, "documents")))
+    pairs = neardup.similar_texts(neardup.text_classes(table(spark, d, "documents")), least=0.6)
     return pairs.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
-@query()
+@query(f"""
+    with recursive {_PAIRS}, e as (select a, b from p union select b, a from p),
+    walk as (select a as u, a as v from e union select walk.u, e.b from walk join e on e.a = walk.v),
+    roots as (select u, min(v) as root from walk group by u),
+    links as (select a as u, count(*) as links from e group by a),
+    r as (select doc_id, min(doc_id) over (partition by text) as rep from documents where text is not null)
+    select doc_id, coalesce(root, rep) as class_id, coalesce(links, 0) as links from r left join roots on roots.u = rep left join links on links.u = rep
+""")
 def near_dup_classes(spark: SparkSession, d: str) -> DataFrame:
-    return neardup.duplicate_classes(table(spark, d, "documents"))
+    return neardup.duplicate_classes(table(spark, d, "documents"), least=0.6)
 
 
 @query()
 def near_dup_minhash(spark: SparkSession, d: str) -> DataFrame:
-    return neardup.flagged(table(spark, d, "documents"), ["taped_at"], least=0.8)
+    return neardup.flagged(table(spark, d, "documents"), ["taped_at"])
 
 
 @query(f"""

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import sampling, scoring, search, sessions, spans, tape
-from ..session import table
+from ..session import shared_folder, table
 from ..sources.jsonl import tolerant
 from .catalogue import query
-from .census import FIRST_BLOCK, FIRST_CARD, LAST_CARD, blocks, docs, first_cards, last_cards
+from .census import FIRST_BLOCK, FIRST_CARD, LAST_CARD, LATEST_DOC, blocks, docs, first_cards, last_cards
 
 SPACE = "[\\t-\\r\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 SQUASH = f"lower(regexp_replace(regexp_replace({{0}}, '{SPACE.replace('{', '{{').replace('}', '}}')}+', ' ', 'g'), '^ | $', '', 'g'))"
@@ -50,10 +52,10 @@ def strip_control(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.md5(tx.printable(F.col("text"))).alias("digest"))
 
 
-@query(f"select doc_id, md5({SQUASH.format('text')}) as digest from documents where not contains(text, 'İ')")
+# Capital I with a dot is lower i with a dot above it on the JVM; DuckDB drops the dot.
+@query(f"select doc_id, md5({SQUASH.format('replace(text, chr(304), chr(105) || chr(775))')}) as digest from documents")
 def squashed_text(spark: SparkSession, d: str) -> DataFrame:
-    # Capital I with a dot has two lower-case forms; the engines to be compared differ in it.
-    return table(spark, d, "documents").where(~F.contains("text", F.lit("İ"))).select("doc_id", F.md5(tx.squash(F.col("text"))).alias("digest"))
+    return table(spark, d, "documents").select("doc_id", F.md5(tx.squash(F.col("text"))).alias("digest"))
 
 
 @query("""
@@ -86,9 +88,30 @@ def mutate_negation(spark: SparkSession, d: str) -> DataFrame:
     return m.where("digest is not null")
 
 
-@query()
+# The most frequent capitalised word of a text, the first of equals; neighbours must not share the sign between them.
+_TOP_WORD = """
+    t as (select doc_id, text, list_transform(regexp_extract_all(regexp_replace(text, '([^\\p{L}\\p{N}_])', '\\1\\1', 'g'), '(?:^|[^\\p{L}\\p{N}_])[A-Z][a-z]{3,}(?:$|[^\\p{L}\\p{N}_])'), lambda w: regexp_extract(w, '[A-Za-z]+')) as ws from documents),
+    c as (select doc_id, ws[i] as w, count(*) as n, min(i) as i from t, unnest(range(1, len(ws) + 1)) as r(i) group by 1, 2),
+    top as (select doc_id, w from c qualify row_number() over (partition by doc_id order by n desc, i) = 1 and n >= 3)
+"""
+_SWAPPED = "left(text, strpos(text, w) + length(w) - 1) || replace(substr(text, strpos(text, w) + length(w)), w, 'Zorbell')"
+
+
+@query(f"with {_TOP_WORD} select doc_id, md5({_SWAPPED}) as digest from top join documents using (doc_id)")
 def mutate_entity(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", tx.swap_entity(F.col("text")).alias("text")).where("text is not null")
+    return table(spark, d, "documents").select("doc_id", F.md5(tx.swap_entity(F.col("text"))).alias("digest")).where("digest is not null")
+
+
+@query(f"""
+    with {_TOP_WORD},
+    y as (select doc_id, regexp_extract(text, '(?:^|[^\\p{{L}}\\p{{N}}_])(?:19|20)[0-9]{{2}}(?:$|[^\\p{{L}}\\p{{N}}_])') as hit, list_filter(regexp_extract_all(regexp_replace(text, '([^\\p{{L}}\\p{{N}}_])', '\\1\\1', 'g'), '(?:^|[^\\p{{L}}\\p{{N}}_])[0-9]{{2,6}}(?:$|[^\\p{{L}}\\p{{N}}_])'), lambda n: not regexp_matches(n, '^[^0-9]?(?:19|20)[0-9]{{2}}[^0-9]?$')) as hits from documents),
+    can as (select d.doc_id, [w is not null, coalesce(strpos(text, ' is ') > 0 or strpos(text, ' is not ') > 0, false), coalesce(hit <> '', false), coalesce(len(hits) > 0, false)] as ok from documents d left join top using (doc_id) join y on y.doc_id = d.doc_id),
+    k as (select doc_id, case when ok[doc_id % 4 + 1] then doc_id % 4 + 1 else list_position(ok, true) end as k from can)
+    select doc_id, (['entity_swap', 'negation_flip', 'year_shift', 'number_scale'])[k] as kind from k where k is not null and k > 0
+""")
+def plant_defects(spark: SparkSession, d: str) -> DataFrame:
+    made = table(spark, d, "documents").select("doc_id", tx.plant_defect(F.col("text"), F.col("doc_id")).alias("m"))
+    return made.where("m is not null").select("doc_id", F.col("m.kind").alias("kind"))
 
 
 @query(f"select doc_id, seq, '[doc ' || left(doc_id, 10) || ' | year ' || coalesce(year::varchar, '?') || ' | project ' || coalesce(project, '?') || ' | seq ' || seq || ']' as header from {ROWS}")
@@ -132,22 +155,20 @@ def select_rows_budget(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""
     with recursive o as materialized (select *, row_number() over (order by year nulls first, project nulls first, doc_id, seq) - 1 as place from {ROWS}),
     p as (
-        select doc_id, seq, tokens, place, 0::bigint as run, 0::bigint as batch, tokens as filled from o where place = 0
+        select doc_id, seq, tokens, place, 0::bigint as batch, tokens as filled from o where place = 0
         union all
-        select o.doc_id, o.seq, o.tokens, o.place, (o.place // 10000)::bigint, case when o.place % 10000 = 0 then 0 when p.filled + o.tokens > 8192 then p.batch + 1 else p.batch end,
-               case when o.place % 10000 = 0 or p.filled + o.tokens > 8192 then o.tokens else p.filled + o.tokens end
+        select o.doc_id, o.seq, o.tokens, o.place, case when p.filled + o.tokens > 8192 then p.batch + 1 else p.batch end,
+               case when p.filled + o.tokens > 8192 then o.tokens else p.filled + o.tokens end
         from p join o on o.place = p.place + 1)
-    select doc_id, seq, tokens, run, batch from p
+    select doc_id, seq, tokens, batch from p
 """)
 def pack_batches(spark: SparkSession, d: str) -> DataFrame:
-    bucket = F.struct("year", "project", F.substring("doc_id", 1, 1).alias("c"))
-    return sampling.greedy_batches(scan(spark, d), ["year", "project", "doc_id", "seq"], bucket, 8_192).select("doc_id", "seq", "tokens", "run", "batch")
+    return sampling.greedy_batches(scan(spark, d), ["year", "project", "doc_id", "seq"], 8_192).select("doc_id", "seq", "tokens", "batch")
 
 
 @query(f"select doc_id, seq, ((row_number() over (order by project nulls first, doc_id, seq) - 1) // 48)::bigint as batch from {ROWS}")
 def fixed_batches(spark: SparkSession, d: str) -> DataFrame:
-    bucket = F.struct("project", F.substring("doc_id", 1, 1).alias("c"))
-    return sampling.fixed_batches(scan(spark, d), ["project", "doc_id", "seq"], bucket).select("doc_id", "seq", "batch")
+    return sampling.fixed_batches(scan(spark, d), ["project", "doc_id", "seq"]).select("doc_id", "seq", "batch")
 
 
 @query(f"select doc_id, seq, tokens from {ROWS} where tokens between 50 and 8500")
@@ -172,12 +193,24 @@ def locate_quotes(spark: SparkSession, d: str) -> DataFrame:
     return spans.found_spans(spans.quotes_with_text(first_cards(spark, d), blocks(spark, d)))
 
 
-@query()
+# Quotes with the block they are from, and where they stand in it, word for word or by their words.
+_LOCATED = f"""
+    q as (select c.doc_id, c.seq, c.run_id, (u.i - 1)::int as quote, {STRIP.format('c.quotes[u.i].text')} as wanted, b.text from {FIRST_CARD} c join unnest(range(1, len(c.quotes) + 1)) as u(i) on true left join {FIRST_BLOCK} b on b.doc_id = c.doc_id and b.seq = c.seq),
+    e as (select *, case when wanted <> '' and strpos(text, wanted) > 0 then wanted when wanted <> '' then nullif(regexp_extract(text, array_to_string(list_transform(string_split_regex(wanted, '{SPACE}+'), lambda w: regexp_escape(w)), '{SPACE}+'), 0, 'i'), '') end as hit from q),
+    l as (select doc_id, seq, run_id, quote, (strpos(text, hit) - 1)::int as span_start, (strpos(text, hit) - 1 + length(hit))::int as span_end, case when hit = wanted then 'find' else 'whitespace' end as method from e where hit is not null)
+"""
+
+
+@query(f"with {_LOCATED} select * from l")
 def located_spans(spark: SparkSession, d: str) -> DataFrame:
     return spans.located_spans(spans.quotes_with_text(first_cards(spark, d), blocks(spark, d)))
 
 
-@query()
+@query(f"""
+    with {_LOCATED}, n as (select count(*) filter (text is not null) as quotes, count(*) filter (text is null) as unfetchable from q),
+    m as (select count(*) as located, count(*) filter (method = 'find') as by_find, count(*) filter (method = 'whitespace') as by_whitespace from l)
+    select *, quotes - located as unlocated, round(located / nullif(quotes, 0), 4)::double as located_rate from n, m
+""")
 def derivation_stats(spark: SparkSession, d: str) -> DataFrame:
     quotes = spans.quotes_with_text(first_cards(spark, d), blocks(spark, d))
     return spans.derivation_stats(quotes, spans.located_spans(quotes))
@@ -202,7 +235,18 @@ _loosely = f"({SQUASH.format('q')} <> '' and strpos({SQUASH.format('text')}, {SQ
         round((exact + substring + normalized + no_offset_hit + no_offset_norm) / quotes, 4)::double as verified_rate, round(exact / quotes, 4)::double as exact_rate, round((miss + no_offset_miss) / quotes, 4)::double as unlocated_rate from a, b
 """)
 def fence_report(spark: SparkSession, d: str) -> DataFrame:
-    return spans.fence_report(table(spark, d, "card"), blocks(spark, d))
+    return spans.fence_report(table(spark, d, "card"), blocks(spark, d)).drop("misses")
+
+
+@query(f"""
+    with q as (select c.doc_id, c.seq, u.i - 1 as quote, coalesce(c.quotes[u.i].text, '') as q, coalesce(c.quotes[u.i].span_start, -1) as s, coalesce(c.quotes[u.i].span_end, -1) as e, b.text from card c, unnest(range(1, len(c.quotes) + 1)) as u(i), {FIRST_BLOCK} b where b.doc_id = c.doc_id and b.seq = c.seq)
+    select doc_id, seq, quote::int as quote, q as text, case when s < 0 or e <= s then 'no_offset_miss' else 'miss' end as class from q
+    where not {_inside} and not {_loosely} and not (s >= 0 and e > s and (substr(text, s + 1, e - s) = q or ({STRIP.format('q')} <> '' and {STRIP.format('substr(text, s + 1, e - s)')} = {STRIP.format('q')})))
+    order by doc_id, seq, quote, text limit 10
+""")
+def fence_misses(spark: SparkSession, d: str) -> DataFrame:
+    m = spans.fence_report(table(spark, d, "card"), blocks(spark, d)).select(F.explode("misses").alias("m"))
+    return m.select("m.doc_id", "m.seq", "m.quote", "m.text", F.col("m.c").alias("class"))
 
 
 _TERMS = f"list_filter(string_split_regex(translate(regexp_replace(lower(text), '\\p{{M}}', '', 'g'), '{search.MARKED}', '{search.UNMARKED}'), '[^\\p{{L}}\\p{{N}}\\p{{M}}]+'), lambda w: w <> '')"
@@ -257,9 +301,45 @@ def fts_prefix(spark: SparkSession, d: str) -> DataFrame:
     return _ranked(spark, d, "catalo*")
 
 
-@query()
+@query(f"""
+    with hits as (select * from ({_bm25({"a": _tf("boathouse"), "b": "len(list_filter(range(1, len(ws)), lambda i: ws[i] = 'ridge' and ws[i + 1] = 'path'))"}, "a > 0 or b > 0")}) order by rank, doc_id, seq limit 20),
+    {_LOCATED.replace(FIRST_CARD, LAST_CARD)}, f as (select doc_id, seq, count(*) as n from l group by 1, 2)
+    select h.doc_id, h.seq, h.rank, 'query' as matched_as, coalesce(split_part(d.path, '/', 1), '?') as project, coalesce(d.path, '?') as path, coalesce(d.year, 0) as year,
+        (case when c.doc_id is null then 0 else coalesce(f.n, 0) end)::int as located, (len(c.quotes) - coalesce(f.n, 0))::int as withheld
+    from hits h left join {LATEST_DOC} d on d.doc_id = h.doc_id left join {LAST_CARD} c on c.doc_id = h.doc_id and c.seq = h.seq left join f on f.doc_id = h.doc_id and f.seq = h.seq
+""")
 def fts_report(spark: SparkSession, d: str) -> DataFrame:
-    return search.report(blocks(spark, d), docs(spark, d), table(spark, d, "card"), "NEAR(lantern ridge, 8) OR boathouse", 20)
+    r = search.report(blocks(spark, d), docs(spark, d), table(spark, d, "card"), 'boathouse OR "ridge path"', 20)
+    return r.select("doc_id", "seq", F.round("rank", 6).alias("rank"), "matched_as", "project", "path", "year", F.size("quotes").alias("located"), "withheld")
+
+
+@query()
+def fts_snippets(spark: SparkSession, d: str) -> DataFrame:
+    r = search.report(blocks(spark, d), docs(spark, d), table(spark, d, "card"), "NEAR(lantern ridge, 8) OR boathouse", 20)
+    return r.select("doc_id", "seq", "topics", "quotes", "snippet")
+
+
+def _stored(spark: SparkSession, d: str) -> search.StoredIndex:
+    """The blocks' index below the shared folder, built by the first query that asks for it and brought up to date by the others."""
+    known = hashlib.sha256(f"{d}|{spark.sparkContext.applicationId}".encode()).hexdigest()[:16]
+    if known not in _folders:
+        _folders[known] = f"{shared_folder(spark)}/search-{known}"
+    store = search.StoredIndex(spark, _folders[known])
+    store.add(blocks(spark, d))
+    return store
+
+
+_folders: dict[str, str] = {}
+
+
+@query(f"select (select count(*) from {FIRST_BLOCK}) as chunks, (select count(*) from (select distinct doc_id, seq, unnest({_TERMS}) as term from {FIRST_BLOCK} where text is not null)) as postings")
+def fts_index(spark: SparkSession, d: str) -> DataFrame:
+    return _stored(spark, d).counts()
+
+
+@query(_bm25({"a": _tf("lantern"), "b": _tf("ridge")}, "a > 0 and not b > 0"))
+def fts_stored(spark: SparkSession, d: str) -> DataFrame:
+    return search.ranked(None, "lantern NOT ridge", _stored(spark, d).index()).select("doc_id", "seq", F.round("rank", 6).alias("rank"))
 
 
 _set = lambda s, f: f"list_distinct({f.replace('<side>', s)})"
@@ -334,7 +414,7 @@ def json_tolerant_props(spark: SparkSession, d: str) -> DataFrame:
 """)
 def chain_links(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select("event_id", F.concat(F.coalesce("props", F.lit("")), "event_type").alias("body"))
-    n = sampling.numbered(e, ["event_id"], F.floor(F.col("event_id") / 4_096)).select(F.col("position").alias("i"), "body")
+    n = sampling.numbered(e, ["event_id"]).select(F.col("position").alias("i"), "body")
     return tape.broken_links(n)
 
 
