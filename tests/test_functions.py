@@ -36,7 +36,7 @@ def test_block_cuts_after_a_line_end():
 def test_columns_on_odd_rows(spark):
     rows = [(None,), ("",), ("   ",), ("A 日本 text",), ("x" * 50_000,), ("e\u0301\r\nb\rc",)]
     df = spark.createDataFrame(rows, "t string").select(
-        text.estimate_tokens(F.col("t")).alias("n"), text.canonical_text(F.col("t")).alias("c"), text.squash(F.col("t")).alias("s"), text.shingles(F.col("t")).alias("h"), text.text_blocks(F.col("t"), 10).alias("b")
+        text.estimate_tokens(F.col("t")).alias("n"), text.canonical_text(F.col("t")).alias("c"), text.squash(F.col("t")).alias("s"), text.shingle_hashes(F.col("t")).alias("h"), text.text_blocks(F.col("t"), 10).alias("b")
     )
     got = df.collect()
     assert [r["n"] for r in got] == [None, 0, 0, 3, 12_500, 1]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vellumark.operators import catalog, extract, neardup, ranking, sampling, scoring, search, spans
+from vellumark.operators import catalog, census, extract, leases, neardup, provider, ranking, sampling, scoring, search, spans
 
 
 def test_ranks_and_sums_of_a_hot_group(spark):
@@ -230,23 +230,130 @@ def test_stability(spark):
     assert abs(run(a, b)["se"] - statistics.stdev(d) / 2) < 1e-6
 
 
+SMALL = provider.Ladder(sleep=lambda s: None)
+
+
 def test_reading_pass(spark):
     chunks = spark.createDataFrame([("a", 0, "h", "Good text"), ("a", 1, "h", "bad"), ("b", 0, "h", None)], "doc_id string, seq int, header string, text string")
 
-    def provider(header, text):
+    def answers(header, text, most_out):
         if text == "bad":
-            return extract.Answer("no object")
-        return extract.Answer('```json\n{"entities": [{"name": "' + text.split()[0] + '"}], "claims": [{"subject": "s", "predicate": "p", "confidence": "0.9"}]}\n```', 1, 2, 3, "m")
+            return provider.Answer("no object", 1, 1, 1, "m")
+        return provider.Answer('```json\n{"entities": [{"name": "' + text.split()[0] + '"}], "claims": [{"subject": "s", "predicate": "p", "confidence": "0.9"}]}\n```', 1, 2, 3, "m")
 
     saved = []
-    assert extract.reading_pass(chunks, None, provider, lambda df: saved.append(df), batch_rows=2) == 2
+    assert extract.reading_pass(chunks, None, answers, lambda df: saved.append(df), batch_rows=2) == 2
     got = {(r["doc_id"], r["seq"]): r for df in saved for r in df.collect()}
     assert len(got) == 3 and got["a", 0]["entities"][0]["name"] == "Good" and got["a", 0]["claims"][0]["confidence"] == 0.9
-    assert got["a", 1]["reason"].startswith("invalid_output") and got["b", 0]["reason"] == "text_missing"
+    assert got["a", 1]["reason"].startswith("invalid_output") and got["a", 1]["usage_tokens"]["out"] == 3 and got["b", 0]["reason"] == "text_missing"
     done = spark.createDataFrame([("a", 0), ("a", 1), ("b", 0)], "doc_id string, seq int")
-    assert extract.reading_pass(chunks, done, provider, saved.append) == 0
+    assert extract.reading_pass(chunks, done, answers, saved.append) == 0
     golden = chunks.where("seq = 0 and text is not null").join(saved[0].unionByName(saved[1]).drop("model", "reason", "usage_tokens"), ["doc_id", "seq"])
-    with pytest.raises(extract.Halted):
-        extract.reading_pass(chunks, None, lambda h, t: extract.Answer("{}"), saved.append, golden=golden)
+    with pytest.raises(extract.Halted, match="calibration"):
+        extract.reading_pass(chunks, None, lambda h, t, n: provider.Answer("{}"), saved.append, golden=golden)
+    with pytest.raises(extract.Halted, match="cost"):
+        extract.reading_pass(chunks, None, answers, saved.append, most_usd=0.0)
+    with pytest.raises(ZeroDivisionError):  # what can't work fails before the pass begins
+        extract.reading_pass(chunks, None, lambda h, t, n: 1 / 0, saved.append)
     vectors = spark.createDataFrame([], "doc_id string, seq int")
-    assert extract.backfill_vectors(chunks, vectors, lambda ts: [[float(len(t))] for t in ts], "m").count() == 2
+    found = extract.backfill_vectors(chunks, vectors, lambda ts: [[float(len(t))] for t in ts], "m").collect()
+    assert sorted((r["doc_id"], r["seq"], r["vec"], r["reason"]) for r in found) == [("a", 0, [9.0], None), ("a", 1, [3.0], None), ("b", 0, None, "text_missing")]
+
+    def fails_later(ts):
+        if "bad" in ts:
+            raise RuntimeError("gone")
+        return [[1.0]] * len(ts)
+
+    found = extract.backfill_vectors(chunks.coalesce(1).sortWithinPartitions("seq"), vectors, fails_later, "m", group=1).collect()
+    assert {(r["doc_id"], r["seq"]): r["reason"] for r in found} == {("a", 0): None, ("a", 1): "embedder: gone", ("b", 0): "text_missing"}
+
+
+def test_golden_chunks_in_quarantine_count_nothing(spark):
+    rows = [(f"d{i}", 0, "h", "Good") for i in range(10)]
+    chunks = spark.createDataFrame(rows, "doc_id string, seq int, header string, text string")
+    golden = chunks.join(extract.read_chunks(chunks, lambda h, t, n: provider.Answer('{"topics": ["x"]}')).drop("model", "reason", "usage_tokens"), ["doc_id", "seq"])
+    again = extract.read_chunks(golden.withColumn("text", F.when(F.col("doc_id") == "d3", "Good").otherwise("bad")), lambda h, t, n: provider.Answer('{"topics": ["x"]}' if t == "Good" else "no"), SMALL)
+    assert abs(extract.golden_mean(golden, again) - 0.1) < 1e-9 and extract.golden_mean(golden.limit(0), again) == 0.0
+
+
+def test_a_second_model_halts(spark):
+    chunks = spark.createDataFrame([(f"d{i}", 0, "h", f"t{i}") for i in range(9)], "doc_id string, seq int, header string, text string")
+    saved = []
+    with pytest.raises(extract.Halted, match="changed from a to b"):
+        extract.reading_pass(chunks, None, lambda h, t, n: provider.Answer("{}", model="b" if t == "t4" else "a"), saved.append)
+    assert saved[0].count() == 8
+
+
+def test_ladder():
+    gate, calls = provider.Gate(8), []
+
+    def busy(h, t, n):
+        calls.append(n)
+        if len(calls) <= 3:
+            raise provider.Unreached("429", 429)
+        return provider.Answer('{"a": 1}' if len(calls) == 6 else "{", out=n, miss=1)
+
+    slept = []
+    got, reason, used = provider.climb(busy, "h", "t", extract.carve_object, provider.Ladder(sleep=slept.append), gate)
+    assert got == {"a": 1} and reason is None and slept == [1, 2, 4] and gate.limit == 1
+    assert calls == [6_000] * 4 + [18_000, 54_000] and used.out == 78_000 and used.miss == 3
+    never = lambda h, t, n: (_ for _ in ()).throw(provider.Unreached("down"))
+    slept.clear()
+    assert provider.climb(never, "h", "t", extract.carve_object, provider.Ladder(sleep=slept.append), gate)[1] == "refused: transport: down" and slept == [1, 2, 4, 8, 16, 30]
+    assert provider.climb(lambda h, t, n: provider.Answer("a: 1"), "h", "t", extract.carve_object, provider.Ladder(rescue=lambda t: '{"a": 1}'), gate)[0] == {"a": 1}
+    assert provider.make_provider("rules")("h", "Tide at Quay. More", 10).model == "rules"
+    with pytest.raises(ValueError, match="no provider"):
+        provider.make_provider("none")
+
+
+def test_gate_recovers():
+    now = [0.0]
+    gate = provider.Gate(1_000, clock=lambda: now[0])
+    gate.ease(), gate.ease()
+    assert gate.limit == 250
+    now[0] = 130.0
+    assert gate.limit == 378
+    now[0] = 10_000.0
+    assert gate.limit == 1_000
+
+
+def test_leases(tmp_path):
+    now = [0.0]
+    a, b = (leases.Leases(tmp_path, o, 900, lambda: now[0]) for o in "ab")
+    assert a.take("pass") and a.take("pass") and not b.take("pass") and not b.renew("pass")
+    now[0] = 400.0
+    assert a.renew("pass")
+    now[0] = 1_000.0
+    assert not b.take("pass")
+    now[0] = 1_400.0
+    assert b.take("pass") and not a.renew("pass")
+    a.release("pass")
+    assert not a.take("pass")
+    b.release("pass")
+    assert a.take("pass")
+    assert leases.Leases(tmp_path / "pass.lease" / "x", "a").take("k")  # a folder that can't be used stops nothing
+
+
+def test_reconciliation(spark):
+    key = lambda *ps: spark.createDataFrame([("r", p) for p in ps], "root string, path string")
+    r = census.reconciliation(key("a", "b", "c"), key("b", "c", "d", "e"), key("a", "b").withColumn("state", F.lit("doc")), most=1).first()
+    assert (r["files"], r["classified"], r["completeness_pct"], r["new_since"], r["vanished"], r["unaccounted"], r["n_new_since"]) == (3, 2, 66.67, ["d"], ["a"], ["c"], 2)
+    assert census.reconciliation(key("a").limit(0), key("a").limit(0), key("a").withColumn("state", F.lit("doc"))).first()["completeness_pct"] == 100.0
+
+
+def test_long_texts_are_signed_by_a_sample(spark):
+    t = "".join(chr(0x3042 + i * i % 70) for i in range(120_000))
+    assert neardup.sampled(t) == "".join(t[i * 6_000 : i * 6_000 + 5_000] for i in range(20)) and neardup.sampled(t[:100_000]) == t[:100_000]
+    whole, part = (spark.createDataFrame([(t,)], "t string").select(neardup.minhash(F.col("t"), w)).first()[0] for w in (True, False))
+    assert len(whole) == len(part) == 128
+    assert neardup.runs("a b " * 16 + "c") == set() and len(neardup.runs(" ".join(f"w{i}" for i in range(34)))) == 30
+
+
+def test_sorted_ranks_of_a_hot_moment(spark):
+    df = spark.createDataFrame([("hot" if i % 3 else f"g{i % 7}", 5 if i % 2 else None, i) for i in range(600)], "g string, ts int, k int").repartition(7)
+    groups = {}
+    for r in ranking.with_sorted_rank(df, ["g"], ["ts", "k"]).collect():
+        groups.setdefault(r["g"], []).append((r["rank"], (r["ts"] or 0, r["k"])))
+    assert sum(map(len, groups.values())) == 600
+    for rows in groups.values():
+        assert [x for _, x in sorted(rows)] == sorted(x for _, x in rows) and sorted(n for n, _ in rows) == list(range(len(rows)))

@@ -77,15 +77,23 @@ def top_terms(items: DataFrame, term: str, first: str, k: int) -> DataFrame:
     return counted.orderBy(F.desc("n"), "__first", term).limit(k).select(term, "n")
 
 
-def card_summary(cards: DataFrame) -> DataFrame:
-    """One row: how many cards, quotes, claims and entities, how many on average, and over how many runs and models."""
+def card_summary(cards: DataFrame, docs: DataFrame | None = None) -> DataFrame:
+    """One row: how many cards, quotes, claims and entities, how many on average, over how many runs, by which models and charters.
+
+    The models are listed, and `mixed` says whether there are several readers. With `docs` (doc_id, path, year)
+    also the years, in order, and how many projects. Lists are as long as there are models and years.
+    """
     n = lambda c: F.sum(F.greatest(F.size(c), F.lit(0))).cast("bigint")
     whole = cards.agg(
         F.count(F.lit(1)).alias("cards"), n("quotes").alias("quotes"), n("claims").alias("claims"), n("entities").alias("entities"),
-        F.count_distinct("run_id").alias("runs"), F.count_distinct("fp.model").alias("models"), F.count_distinct("fp.charter_root").alias("charters"),
+        F.count_distinct("run_id").alias("runs"), F.array_sort(F.collect_set("fp.model")).alias("models"), F.count_distinct("fp.charter_root").alias("charters"),
     )
     mean = lambda c: F.round(F.col(c) / F.when(F.col("cards") > 0, F.col("cards")), 2).alias(f"{c}_a_card")
-    return whole.select("*", mean("quotes"), mean("claims"), mean("entities"))
+    row = whole.select("*", (F.greatest(F.size("models"), "charters") > 1).alias("mixed"), mean("quotes"), mean("claims"), mean("entities"))
+    if docs is None:
+        return row
+    known = cards.select("doc_id").distinct().join(docs, "doc_id").agg(F.array_sort(F.collect_set("year")).alias("years"), F.count_distinct(project_of(F.col("path"))).alias("projects"))
+    return row.join(F.broadcast(known))  # one row each
 
 
 def reasons(quarantine: DataFrame, reason: str = "reason") -> DataFrame:
@@ -95,8 +103,7 @@ def reasons(quarantine: DataFrame, reason: str = "reason") -> DataFrame:
 
 def index_counts(chunks: DataFrame | None, postings: DataFrame | None, vectors: DataFrame | None, cards: DataFrame) -> DataFrame:
     """One row of counts; a table that isn't there counts as null, not as 0."""
-    spark = cards.sparkSession
-    count = lambda t: None if t is None else t.count()
-    c, v = count(cards), count(vectors)
-    row = (count(chunks), count(postings), v, c, None if v is None else max(0, c - v))
-    return spark.createDataFrame([row], "chunks bigint, postings bigint, vectors bigint, cards bigint, vectors_missing bigint")
+    rows = cards.agg(F.count(F.lit(1)).alias("cards"))
+    for name, t in (("chunks", chunks), ("postings", postings), ("vectors", vectors)):
+        rows = rows.withColumn(name, F.lit(None).cast("bigint")) if t is None else rows.join(F.broadcast(t.agg(F.count(F.lit(1)).alias(name))))
+    return rows.select("chunks", "postings", "vectors", "cards", F.greatest(F.lit(0), F.col("cards") - F.col("vectors")).alias("vectors_missing") if vectors is not None else F.lit(None).cast("bigint").alias("vectors_missing"))

@@ -7,7 +7,7 @@ from pathlib import Path
 
 from ..functions.hashing import digest
 
-LOCK = "charter.lock"
+LOCK, PROPOSED = "charter.lock", "charter.proposed"
 
 
 class CharterError(Exception):
@@ -25,15 +25,35 @@ def fingerprints(folder: str | Path, names: list[str]) -> dict[str, str]:
     return found | {"root": digest(json.dumps(found, sort_keys=True).encode())}
 
 
-def freeze(folder: str | Path, names: list[str], stable: bool) -> dict[str, str]:
-    """Write the fingerprints down; once only, and only where two runs of scoring agreed."""
-    lock = Path(folder) / LOCK
+def propose(folder: str | Path, names: list[str]) -> dict[str, str]:
+    """Write down which artifacts a charter is to rest on, as they are now; may be done again until it is frozen."""
+    if (Path(folder) / LOCK).exists():
+        raise CharterError("the charter is frozen already")
+    prints = fingerprints(folder, names)
+    (Path(folder) / PROPOSED).write_text(json.dumps(prints, sort_keys=True, indent=1))
+    return prints
+
+
+def freeze(folder: str | Path, stable: bool, roster: str | Path | None = None) -> dict[str, str]:
+    """Fix the proposed charter: once only, only as it was proposed, and only where two runs of scoring agreed.
+
+    With a `roster`, a file of all archives, the archive gets its row there under its key.
+    """
+    lock, proposed = Path(folder) / LOCK, Path(folder) / PROPOSED
     if lock.exists():
         raise CharterError("the charter is frozen already")
+    if not proposed.exists():
+        raise CharterError("no charter is proposed")
     if not stable:
         raise CharterError("the scores of two runs don't agree")
-    prints = fingerprints(folder, names)
+    prints = json.loads(proposed.read_text())
+    if fingerprints(folder, [n for n in prints if n != "root"]) != prints:
+        raise CharterError("the artifacts changed after they were proposed")
     lock.write_text(json.dumps(prints, sort_keys=True, indent=1))
+    if roster is not None:
+        rows = json.loads(Path(roster).read_text()) if Path(roster).exists() else {}
+        rows[roster_key(Path(folder).resolve().name, prints["root"], rows)] = prints["root"]
+        Path(roster).write_text(json.dumps(rows, sort_keys=True, indent=1))
     return prints
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import squash
@@ -60,9 +60,15 @@ def cost(miss: Column, hit: Column, out: Column) -> Column:
 
 
 def meter(calls: DataFrame, usage: str = "usage_tokens") -> DataFrame:
-    """One row: calls, tokens that hit, missed and came out, their cost and the rate of hits; nulls count as 0."""
-    s = lambda f: F.coalesce(F.sum(F.greatest(F.coalesce(F.col(f"{usage}.{f}"), F.lit(0)), F.lit(0))), F.lit(0)).cast("bigint").alias(f)
-    t = calls.agg(F.count(F.lit(1)).alias("calls"), s("hit"), s("miss"), s("out"))
+    """One row: calls, tokens that hit, missed, came out and were reasoned, their cost and the rate of hits; nulls count as 0.
+
+    Where a call doesn't say what missed but how long its prompt was, the rest of the prompt missed.
+    """
+    fields = {f.name for f in calls.schema[usage].dataType.fields}
+    of = lambda f: F.greatest(F.coalesce(F.col(f"{usage}.{f}"), F.lit(0)), F.lit(0)) if f in fields else F.lit(0)
+    missed = F.coalesce(F.col(f"{usage}.miss"), F.col(f"{usage}.prompt") - of("hit")) if "prompt" in fields else F.col(f"{usage}.miss")
+    s = lambda c, f: F.coalesce(F.sum(F.greatest(F.coalesce(c, F.lit(0)), F.lit(0))), F.lit(0)).cast("bigint").alias(f)
+    t = calls.agg(F.count(F.lit(1)).alias("calls"), s(of("hit"), "hit"), s(missed, "miss"), s(of("out"), "out"), s(of("reasoning"), "reasoning"))
     whole = F.col("hit") + F.col("miss")
     return t.select("*", F.round(cost(F.col("miss"), F.col("hit"), F.col("out")), 6).alias("usd"), F.round(F.when(whole > 0, F.col("hit") / whole).otherwise(0.0), 4).alias("hit_rate"))
 
@@ -76,6 +82,18 @@ def gate(rows: DataFrame, cap: float, out_tokens: int = 2_600, hit_share: float
     return t.select("rows", "tokens", F.round(worst, 6).alias("worst_usd"), F.round(real, 6).alias("realistic_usd"), (worst > cap).alias("refused"))
 
 
+def usage_estimate(text: Column) -> Column:
+    """Tokens of a text whose provider doesn't count: a quarter of its characters, one at least."""
+    return F.greatest(F.lit(1), F.floor(F.coalesce(F.char_length(text), F.lit(0)) / 4)).cast("bigint")
+
+
+def supporting(rows: DataFrame, term: str, most: int = 6, else_first: int = 4) -> DataFrame:
+    """Rows (doc_id, seq, text, tokens) whose text holds a term in any case, the longest first, `most` at most; where none does the first rows."""
+    held = rows.where(F.contains(F.lower("text"), F.lit(term.lower()))).orderBy(F.desc("tokens"), "doc_id", "seq").limit(most).withColumn("__held", F.lit(True))
+    either = held.unionByName(rows.orderBy("doc_id", "seq").limit(else_first).withColumn("__held", F.lit(False)))  # some ten rows
+    return either.withColumn("__any", F.max("__held").over(Window.partitionBy(F.lit(0)))).where(F.col("__held") == F.col("__any")).drop("__held", "__any")
+
+
 def in_windows(ts: Column, hours: list[tuple[int, int]], offset_minutes: int = 480) -> Column:
     """Whether a UTC time, moved by an offset, lies in any of some half-open windows of minutes of the day."""
     minute = F.pmod(F.hour(ts) * 60 + F.minute(ts) + offset_minutes, F.lit(1440))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import estimate_tokens
-from ..operators import catalog, census, neardup
+from ..operators import catalog, census, neardup, search
 from ..operators.ranking import with_sorted_rank
 from ..operators.sampling import path_matches, project_matches
 from ..session import table
@@ -20,6 +20,9 @@ LAST_CARD = "(select * from card qualify row_number() over (partition by doc_id,
 ESTIMATE = "floor(len(regexp_extract_all({0}, '[\\x{{3000}}-\\x{{9FFF}}\\x{{F900}}-\\x{{FAFF}}]')) + (length({0}) - len(regexp_extract_all({0}, '[\\x{{3000}}-\\x{{9FFF}}\\x{{F900}}-\\x{{FAFF}}]'))) / 4)::bigint"
 
 
+TERMS = f"list_filter(string_split_regex(translate(regexp_replace(lower(text), '\\p{{M}}', '', 'g'), '{search.MARKED}', '{search.UNMARKED}'), '[^\\p{{L}}\\p{{N}}\\p{{M}}]+'), lambda w: w <> '')"
+
+
 def docs(spark: SparkSession, d: str) -> DataFrame:
     return catalog.latest_docs(table(spark, d, "doc"))
 
@@ -51,13 +54,16 @@ def contact_sheet(spark: SparkSession, d: str) -> DataFrame:
     union all select 'text', case when text is null or text = '' then 'empty' else 'full' end, count(*) from text_block group by 2
     union all select 'line', line_type, count(*) from session_line group by line_type
     union all select 'card', run_id, count(*) from card group by run_id
+    union all select 'last', modality, count(*) from doc where taped_at = (select max(taped_at) from doc) group by modality
 """)
 def status_counts(spark: SparkSession, d: str) -> DataFrame:
     def n(t: str, kind: str, label) -> DataFrame:
         return table(spark, d, t).groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "label", "n")
 
+    newest = F.broadcast(table(spark, d, "doc").agg(F.max("taped_at").alias("newest")))  # one row
+    last = table(spark, d, "doc").join(newest).where("taped_at = newest").groupBy(F.col("modality").alias("label")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("last").alias("kind"), "label", "n")
     empty = F.when(F.col("text").isNull() | (F.col("text") == ""), "empty").otherwise("full")
-    return n("doc", "doc", F.col("modality")).unionByName(n("text_block", "text", empty)).unionByName(n("session_line", "line", F.col("line_type"))).unionByName(n("card", "card", F.col("run_id")))
+    return n("doc", "doc", F.col("modality")).unionByName(n("text_block", "text", empty)).unionByName(n("session_line", "line", F.col("line_type"))).unionByName(n("card", "card", F.col("run_id"))).unionByName(last)
 
 
 @query(f"""
@@ -161,6 +167,39 @@ def reconcile_states(spark: SparkSession, d: str) -> DataFrame:
     return census.completeness(census.reconcile(table(spark, d, "doc"), table(spark, d, "text_block")))
 
 
+@query("select doc_id, count(*) as blocks, max(seq) as last_seq, sum(c)::bigint as chars from (select doc_id, seq, max(coalesce(length(text), 0)) as c from text_block where doc_id not in (select doc_id from doc) group by 1, 2) group by 1")
+def resume_partials(spark: SparkSession, d: str) -> DataFrame:
+    return census.partial_docs(table(spark, d, "text_block"), table(spark, d, "doc"))
+
+
+@query("select content_b2, doc_id from doc where content_b2 is not null qualify row_number() over (partition by content_b2 order by taped_at, doc_id) = 1")
+def content_owners(spark: SparkSession, d: str) -> DataFrame:
+    return census.content_owners(table(spark, d, "doc"))
+
+
+@query("""
+    with e as (select distinct root, path from doc where modality = 'audio' or path like '%.pdf'), l as (select distinct root, path from doc where not (path like '%.md'))
+    select root, path, case when (root, path) in (select (root, path) from l) then 'doc' else 'seen' end as state from (select * from e union select * from l)
+""")
+def path_states(spark: SparkSession, d: str) -> DataFrame:
+    all_docs = table(spark, d, "doc")
+    events = all_docs.where("modality = 'audio' or path like '%.pdf'").select("root", "path", F.lit("seen").alias("event"), F.col("taped_at").alias("at"))
+    return census.path_states(all_docs.where("path not like '%.md'"), events)
+
+
+@query("""
+    with b as (select distinct root, path from doc where year < 2022), a as (select distinct root, path from doc where year > 2012), e as (select distinct root, path from doc where modality <> 'text'),
+         s as (select coalesce(b.root, a.root) as root, coalesce(b.path, a.path) as path, (coalesce(b.root, a.root), coalesce(b.path, a.path)) in (select (root, path) from e) as told, case when a.path is null then 'vanished' when b.path is null then 'new_since' when (b.root, b.path) not in (select (root, path) from e) then 'unaccounted' else 'both' end as state from b full join a on a.root = b.root and a.path = b.path)
+    select count(*) filter (state <> 'new_since') as files, count(*) filter (told and state <> 'new_since') as classified, count(*) filter (state = 'new_since') as n_new_since, count(*) filter (state = 'vanished') as n_vanished, count(*) filter (state = 'unaccounted') as n_unaccounted,
+        round(100.0 * count(*) filter (told and state <> 'new_since') / count(*) filter (state <> 'new_since'), 2)::double as completeness_pct from s
+""")
+def reconciliation(spark: SparkSession, d: str) -> DataFrame:
+    all_docs = table(spark, d, "doc")
+    # Two listings at different times, and the files of which something is known.
+    r = census.reconciliation(all_docs.where("year < 2022"), all_docs.where("year > 2012"), all_docs.where("modality <> 'text'").withColumn("state", F.lit("doc")))
+    return r.drop("new_since", "vanished", "unaccounted")
+
+
 @query(f"""
     select t.doc_id, t.seq, {ESTIMATE.format('t.text')} as tokens, length(t.text)::bigint as chars, d.year, split_part(d.path, '/', 1) as project, d.modality
     from {FIRST_BLOCK} t join {LATEST_DOC} d using (doc_id)
@@ -187,12 +226,12 @@ def vector_backfill_todo(spark: SparkSession, d: str) -> DataFrame:
     return catalog.still_to_do(table(spark, d, "card").select("doc_id", "seq").distinct(), have)
 
 
-@query("""
-    select (select count(distinct (doc_id, seq)) from text_block) as chunks, cast(null as bigint) as postings, (select count(*) from vectors) as vectors, (select count(*) from card) as cards,
+@query(f"""
+    select (select count(distinct (doc_id, seq)) from text_block) as chunks, (select sum(len(list_distinct({TERMS}))) from {FIRST_BLOCK})::bigint as postings, (select count(*) from vectors) as vectors, (select count(*) from card) as cards,
            greatest(0, (select count(*) from card) - (select count(*) from vectors)) as vectors_missing
 """)
 def index_counts(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.index_counts(table(spark, d, "text_block").select("doc_id", "seq").distinct(), None, table(spark, d, "vectors"), table(spark, d, "card"))
+    return catalog.index_counts(table(spark, d, "text_block").select("doc_id", "seq").distinct(), search.postings(blocks(spark, d)), table(spark, d, "vectors"), table(spark, d, "card"))
 
 
 @query(f"select doc_id, seq, run_id, len(quotes)::int as quotes from {FIRST_CARD}")
@@ -206,12 +245,14 @@ def last_wins(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-    select *, round(quotes / cards, 2)::double as quotes_a_card, round(claims / cards, 2)::double as claims_a_card, round(entities / cards, 2)::double as entities_a_card
+    select *, greatest(models, charters) > 1 as mixed, round(quotes / cards, 2)::double as quotes_a_card, round(claims / cards, 2)::double as claims_a_card, round(entities / cards, 2)::double as entities_a_card,
+        (select count(distinct year) from {LATEST_DOC} where doc_id in (select doc_id from {FIRST_CARD})) as years, (select count(distinct split_part(path, '/', 1)) from {LATEST_DOC} where doc_id in (select doc_id from {FIRST_CARD})) as projects
     from (select count(*) as cards, sum(len(coalesce(quotes, [])))::bigint as quotes, sum(len(coalesce(claims, [])))::bigint as claims, sum(len(coalesce(entities, [])))::bigint as entities,
                  count(distinct run_id) as runs, count(distinct fp.model) as models, count(distinct fp.charter_root) as charters from {FIRST_CARD})
 """)
 def catalog_summary(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.card_summary(first_cards(spark, d))
+    s = catalog.card_summary(first_cards(spark, d), docs(spark, d).select("doc_id", "path", "year"))
+    return s.withColumns({"models": F.size("models").cast("bigint"), "years": F.size("years").cast("bigint")})
 
 
 @query(f"""

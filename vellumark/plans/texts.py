@@ -12,7 +12,7 @@ from ..operators import sampling, scoring, search, sessions, spans, tape
 from ..session import shared_folder, table
 from ..sources.jsonl import tolerant
 from .catalogue import query
-from .census import FIRST_BLOCK, FIRST_CARD, LAST_CARD, LATEST_DOC, blocks, docs, first_cards, last_cards
+from .census import FIRST_BLOCK, FIRST_CARD, LAST_CARD, LATEST_DOC, TERMS, ESTIMATE, blocks, docs, first_cards, last_cards
 
 SPACE = "[\\t-\\r\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 SQUASH = f"lower(regexp_replace(regexp_replace({{0}}, '{SPACE.replace('{', '{{').replace('}', '}}')}+', ' ', 'g'), '^ | $', '', 'g'))"
@@ -249,7 +249,7 @@ def fence_misses(spark: SparkSession, d: str) -> DataFrame:
     return m.select("m.doc_id", "m.seq", "m.quote", "m.text", F.col("m.c").alias("class"))
 
 
-_TERMS = f"list_filter(string_split_regex(translate(regexp_replace(lower(text), '\\p{{M}}', '', 'g'), '{search.MARKED}', '{search.UNMARKED}'), '[^\\p{{L}}\\p{{N}}\\p{{M}}]+'), lambda w: w <> '')"
+_TERMS = TERMS
 _BM25 = f"""
     with t as (select doc_id, seq, {_TERMS} as ws from {FIRST_BLOCK} where text is not null), g as (select count(*) as total, avg(coalesce(len(ws), 0)) as mean from (select b.doc_id, t.ws from {FIRST_BLOCK} b left join t using (doc_id, seq))),
     o as (select doc_id, seq, len(ws) as n, <tf> from t), i as (select <idf> from o),
@@ -376,7 +376,7 @@ def paired_stability(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
     with t as (select count(*) as calls, sum(greatest(coalesce(usage_tokens.hit, 0), 0))::bigint as hit, sum(greatest(coalesce(usage_tokens.miss, 0), 0))::bigint as miss, sum(greatest(coalesce(usage_tokens.out, 0), 0))::bigint as "out" from card)
-    select *, round((miss * 0.14 + hit * 0.0028 + "out" * 0.28) / 1e6, 6)::double as usd, round(hit / (hit + miss), 4)::double as hit_rate from t
+    select *, round((miss * 0.14 + hit * 0.0028 + "out" * 0.28) / 1e6, 6)::double as usd, round(hit / (hit + miss), 4)::double as hit_rate, 0::bigint as reasoning from t
 """)
 def meter_usage(spark: SparkSession, d: str) -> DataFrame:
     return scoring.meter(table(spark, d, "card"))
@@ -393,13 +393,32 @@ def cost_gate(spark: SparkSession, d: str) -> DataFrame:
 @query("""
     with b as (select distinct doc_id, seq from text_block), c as (select distinct doc_id, seq from card)
     select (select count(*) from b) as chunks, (select count(*) from b join c using (doc_id, seq)) as carded, round(100.0 * (select count(*) from b join c using (doc_id, seq)) / (select count(*) from b), 2)::double as coverage_pct,
-        (select count(*) from card where usage_tokens.hit >= 0.75 * (usage_tokens.hit + usage_tokens.miss)) as prefix_hits
+        (select count(*) from card where usage_tokens.hit >= 0.75 * (usage_tokens.hit + usage_tokens.miss)) as prefix_hits,
+        (select round(count(*) filter (usage_tokens.hit >= 0.75 * (usage_tokens.hit + usage_tokens.miss)) / count(*), 4)::double from card where usage_tokens.hit + usage_tokens.miss > 0) as prefix_efficiency,
+        (select round(sum(usage_tokens.hit) / sum(usage_tokens.hit + usage_tokens.miss), 4)::double from card) as hit_share
 """)
 def read_report(spark: SparkSession, d: str) -> DataFrame:
     keys = table(spark, d, "text_block").select("doc_id", "seq").distinct().join(table(spark, d, "card").select("doc_id", "seq").distinct().withColumn("c", F.lit(True)), ["doc_id", "seq"], "left")
     n = keys.agg(F.count(F.lit(1)).alias("chunks"), F.count_if("c").alias("carded"))
-    hits = table(spark, d, "card").agg(F.count_if(F.expr("usage_tokens.hit >= 0.75 * (usage_tokens.hit + usage_tokens.miss)")).alias("prefix_hits"))
-    return n.join(hits).select("chunks", "carded", F.round(100.0 * F.col("carded") / F.col("chunks"), 2).alias("coverage_pct"), "prefix_hits")
+    hit, whole = F.col("usage_tokens.hit"), F.col("usage_tokens.hit") + F.col("usage_tokens.miss")
+    hits = table(spark, d, "card").agg(F.count_if(hit >= 0.75 * whole).alias("prefix_hits"), F.round(F.count_if((whole > 0) & (hit >= 0.75 * whole)) / F.count_if(whole > 0), 4).alias("prefix_efficiency"), F.round(F.sum(hit) / F.sum(whole), 4).alias("hit_share"))
+    return n.join(hits).select("chunks", "carded", F.round(100.0 * F.col("carded") / F.col("chunks"), 2).alias("coverage_pct"), "prefix_hits", "prefix_efficiency", "hit_share")
+
+
+@query(f"select doc_id, seq, batch * 48 as position from (select doc_id, seq, row_number() over (order by project nulls first, doc_id, seq) - 1 as place, (row_number() over (order by project nulls first, doc_id, seq) - 1) // 48 as batch from {ROWS}) where place % 48 = 0")
+def every_nth(spark: SparkSession, d: str) -> DataFrame:
+    return sampling.every_nth(scan(spark, d), ["project", "doc_id", "seq"], 48).select("doc_id", "seq", "position")
+
+
+@query(f"select doc_id, seq, {ESTIMATE.format('text')} as tokens from {FIRST_BLOCK} where contains(lower(text), 'lantern') order by tokens desc, doc_id, seq limit 6")
+def supporting(spark: SparkSession, d: str) -> DataFrame:
+    rows = blocks(spark, d).select("doc_id", "seq", "text", tx.estimate_tokens(F.col("text")).alias("tokens"))
+    return scoring.supporting(rows, "Lantern").select("doc_id", "seq", "tokens")
+
+
+@query("select doc_id, seq, greatest(1, coalesce(length(text), 0) // 4)::bigint as usage from text_block")
+def usage_estimates(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "text_block").select("doc_id", "seq", scoring.usage_estimate(F.col("text")).alias("usage"))
 
 
 @query("select event_id, user_id, (props::json->>'$.k')::bigint as k from events where props is not null and json_valid(props) and json_type(props) = 'OBJECT' and user_id is not null")

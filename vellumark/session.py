@@ -19,7 +19,7 @@ def build_session(cpus: int | str = 8, app: str = "vellumark") -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
-        .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.sql.shuffle.partitions", str(os.cpu_count() if cpus == "*" else cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("VELLUMARK_DRIVER_MEMORY", "8g"))
