@@ -10,6 +10,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import worker_udf
@@ -47,6 +48,26 @@ def canonical_json(value: Any) -> bytes:
     return json.dumps(_plain(value), ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode("utf-8")
 
 
+def canonical(row: Column) -> Column:
+    """Canonical JSON of a struct column; null of null."""
+
+    @worker_udf(T.StringType())
+    def written(rows: pd.DataFrame) -> pd.Series:
+        return pd.Series([None if r is None else canonical_json(r).decode("utf-8") for r in rows["row"].map(json.loads, na_action="ignore")])
+
+    return written(F.struct(F.to_json(row, {"ignoreNullFields": "false"}).alias("row")))
+
+
+def chained(before: Column, record: Column) -> Column:
+    """The chain's digest of a record (canonical JSON) behind the digest before it."""
+
+    @worker_udf(T.StringType())
+    def hashed(befores: pd.Series, records: pd.Series) -> pd.Series:
+        return pd.Series([chain_hash(b, json.loads(r)) for b, r in zip(befores, records, strict=True)])
+
+    return hashed(before, record)
+
+
 def digest(data: bytes, size: int = 16) -> str:
     return hashlib.blake2b(data, digest_size=size).hexdigest()
 

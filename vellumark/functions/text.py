@@ -40,6 +40,26 @@ def looks_like_text(head: bytes) -> bool:
     return True
 
 
+def decoded(raw: Column) -> Column:
+    """struct(text, encoding) of a binary column by the same ladder; null of null."""
+
+    @worker_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("encoding", T.StringType())]))
+    def read(rows: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(None, None) if r is None else decode_bytes(bytes(r)) for r in rows], columns=["text", "encoding"])
+
+    return read(raw)
+
+
+def sniffed(head: Column) -> Column:
+    """Whether a file's first bytes look like text; null of null."""
+
+    @worker_udf(T.BooleanType())
+    def look(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda r: None if r is None else looks_like_text(bytes(r)))
+
+    return look(head)
+
+
 def canonical(text: str) -> str:
     """Line ends as line feeds, characters composed."""
     return unicodedata.normalize("NFC", text.replace("\r\n", "\n").replace("\r", "\n"))

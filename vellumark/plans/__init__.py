@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("census", "texts")
+MODULES = ("census", "texts", "state")
 
 
 def load() -> None:

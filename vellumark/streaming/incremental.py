@@ -21,11 +21,7 @@ def hourly_counts(spark: SparkSession, path: str, folder: str | None = None, lat
     Windows that a batch changed are merged into a keyed index below `folder`, which a later call with the
     same folder carries on. Events later than `late` behind the newest of earlier batches are dropped.
     """
-    schema = spark.read.parquet(path).schema
-    # A file source wants a folder; a single file is watched through its folder and a name filter.
-    parent, _, name = path.rstrip("/").rpartition("/")
-    reader = spark.readStream.schema(schema)
-    events = (reader.parquet(path) if _is_folder(spark, path) else reader.option("pathGlobFilter", name).parquet(parent)).withColumn("ts", F.col("ts").cast("timestamp"))
+    events = stream_of(spark, path).withColumn("ts", F.col("ts").cast("timestamp"))
     counts = events.withWatermark("ts", late).groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     rows = counts.select("event_type", F.col("w.start").alias("window_start"), "n", "total")
     folder = folder or f"{shared_folder(spark)}/hourly-{uuid.uuid4().hex}"
@@ -35,6 +31,13 @@ def hourly_counts(spark: SparkSession, path: str, folder: str | None = None, lat
     return whole.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", F.round("total", 4).alias("total"))
 
 
+def stream_of(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of the Parquet files at a path; a single file is watched through its folder and a name filter."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    return reader.parquet(path) if _is_folder(spark, path) else reader.option("pathGlobFilter", name).parquet(parent)
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
