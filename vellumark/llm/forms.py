@@ -179,17 +179,19 @@ def _neighbour(values: np.ndarray, step: int) -> np.ndarray:
 def _dropped(p: np.ndarray, t: Tables) -> np.ndarray:
     """Which code points show nothing, without those that belong to emoji or to scripts that need them."""
     drop = t.kind[p] == DROP
-    if not drop.any():
+    at = np.flatnonzero(drop)
+    if not len(at):
         return drop
-    before, after = _neighbour(p, 1), _neighbour(p, -1)
+    c, before, after = p[at], np.where(at > 0, p[at - 1], 0), np.where(at + 1 < len(p), p[np.minimum(at + 1, len(p) - 1)], 0)
     symbol_before = t.symbol[before] | (before == 0xFE0F) | (before == 0x20E3)
-    selector = (p >= 0xFE00) & (p <= 0xFE0F)
-    keycap = (p == 0xFE0F) & (after == 0x20E3)
-    ideographic = (selector | (p >= 0xE0100) & (p <= 0xE01EF)) & (t.script[before] == OTHER)
-    joined = (p == 0x200D) & symbol_before & t.symbol[after]
-    tagged = (p >= 0xE0020) & (p <= 0xE007F) & (t.symbol[before] | (before >= 0xE0020) & (before <= 0xE007F))
-    needed = ((p == 0x200C) | (p == 0x200D)) & t.joins[before] | ((p == 0x200E) | (p == 0x200F) | (p == 0x61C)) & (t.joins[before] | t.joins[after])
-    return drop & ~((selector & (symbol_before | (before == 0x203C) | (before == 0x2049))) | keycap | ideographic | joined | tagged | needed)
+    selector = (c >= 0xFE00) & (c <= 0xFE0F)
+    keycap = (c == 0xFE0F) & (after == 0x20E3)
+    ideographic = (selector | (c >= 0xE0100) & (c <= 0xE01EF)) & (t.script[before] == OTHER)
+    joined = (c == 0x200D) & symbol_before & t.symbol[after]
+    tagged = (c >= 0xE0020) & (c <= 0xE007F) & (t.symbol[before] | (before >= 0xE0020) & (before <= 0xE007F))
+    needed = ((c == 0x200C) | (c == 0x200D)) & t.joins[before] | ((c == 0x200E) | (c == 0x200F) | (c == 0x61C)) & (t.joins[before] | t.joins[after])
+    drop[at[(selector & (symbol_before | (before == 0x203C) | (before == 0x2049))) | keycap | ideographic | joined | tagged | needed]] = False
+    return drop
 
 
 def _composed(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,11 +201,14 @@ def _composed(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np
     if not len(marks):
         return p, src, marks
     p = p.copy()
-    group = np.cumsum(cls == 0)  # a starter and the marks after it
-    if ((cls[1:] > 0) & (cls[:-1] > cls[1:])).any():
+    above = marks[(marks > 0) & (cls[marks] > 0)]
+    if (cls[above - 1] > cls[above]).any():
+        group = np.cumsum(cls == 0)  # a starter and the marks after it
         order = np.lexsort((np.arange(len(p)), cls, group))
         p, src, cls = p[order], src[order], cls[order]
-    starter = np.searchsorted(group, group[marks])  # first of its group
+    starter = marks.copy()  # the letter that its marks follow; a text that begins with marks has the first of them
+    while (back := (cls[starter] > 0) & (starter > 0)).any():
+        starter[back] -= 1
     gone = np.zeros(len(p), bool)
     done: list[np.ndarray] = []
     blocked = np.zeros(len(p), np.int64)  # by starter: class of the last mark left standing
@@ -223,7 +228,7 @@ def _composed(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np
         done.append(now[hit])
         blocked[base[~hit]] = cls[now[~hit]]
     # Syllable blocks: a leading consonant and a vowel, then a final consonant.
-    for _ in range(2):
+    for _ in range(2 if ((p >= 0x1161) & (p <= 0x11C2)).any() else 0):
         live = np.flatnonzero(~gone)
         a, b = p[live[:-1]].astype(np.int64), p[live[1:]].astype(np.int64)
         lv = (a >= 0x1100) & (a <= 0x1112) & (b >= 0x1161) & (b <= 0x1175)
@@ -239,12 +244,24 @@ def _composed(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np
 
 
 def _resolved(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray]:
-    """Look-alikes of another script put right, word by word; also the places where."""
+    """Look-alikes of another script put right, word by word; also the places where. Lines of one script aren't looked at."""
+    script = t.script[p]
+    foreign = np.flatnonzero((script > LATIN) & (script != OTHER))
+    if not len(foreign):
+        return p, np.empty(0, np.int64)
+    line = np.cumsum(p == 0x0A, dtype=np.int32)
+    mixed = np.zeros(int(line[-1]) + 1, bool)
+    mixed[line[foreign]] = True
+    at = np.flatnonzero(mixed[line])
+    p = p.copy()
+    p[at], places = _resolved_lines(p[at], src[at], t)
+    return p, places
+
+
+def _resolved_lines(p: np.ndarray, src: np.ndarray, t: Tables) -> tuple[np.ndarray, np.ndarray]:
     script = t.script[p]
     word = (script > 0) & (script != OTHER)
     foreign = word & (script != LATIN)
-    if not foreign.any():
-        return p, np.empty(0, np.int64)
     edge = np.flatnonzero(word & ~_neighbour(word, 1))
     stop = np.flatnonzero(word & ~_neighbour(word, -1)) + 1
     add = lambda x: np.add.reduceat(np.append(x, 0).astype(np.int64), np.stack([edge, stop], 1).ravel())[::2]

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from bisect import bisect
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..session import spread
 from .forms import Folded, fold, slices, tables
-from .given_names import full_names, near_given, plain, short_names
+from .given_names import SHORT_FORMS, full_names, near_given, plain, short_names
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 SPAN_TYPE = T.ArrayType(T.StructType([T.StructField("pii_type", T.StringType(), False), T.StructField("start_at", T.IntegerType(), False), T.StructField("end_at", T.IntegerType(), False)]), False)
@@ -36,11 +37,12 @@ DIGIT_WORDS = {
 _word = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 SPELLED = regex.compile(rf"(?i)(?<!\w)(?:(?:{_word}|\d)[\s,.\-]{{1,2}}){{5,}}(?:{_word}|\d)(?!\w)")
 SPELLED_WORD, SPELLED_DIGIT = regex.compile(rf"(?i){_word}"), regex.compile(rf"(?i){_word}|\d")
-APART = str.maketrans(",.-", "   ")
+DIGIT_TOKENS = frozenset(DIGIT_WORDS) | frozenset("0123456789")
 
 # Words for the signs of an address, as they are used to disguise it.
 _at = r"at|arroba|arobase|ät|собака|アットマーク"
 _dot = r"dot|punto|punkt|point|точка|ドット"
+AT_WORDS, DOT_WORDS = _at.split("|"), _dot.split("|")
 #: What may not stand beside a value: letters of scripts written with spaces, digits, underscores.
 _L = r"\p{Latin}\p{Cyrillic}\p{Greek}\p{Nd}_"
 _tld = r"(?-i:[a-z]{2,24}(?![a-z0-9])|[A-Z]{2,24}(?![A-Z0-9]))"
@@ -52,7 +54,7 @@ _part, _any_dot = r"[A-Za-z0-9](?:[A-Za-z0-9_%+\-]*[A-Za-z0-9])?", rf"(?:\.|{_ba
 _ending = r"(?:com|org|net|edu|gov|mil|int|info|biz|name|example|invalid|test|[a-z]{2})(?-i:(?![a-z0-9]))"
 CHAINED = regex.compile(rf"(?i)(?<![A-Za-z0-9._%+\-@])(?:{_part}{_any_dot})*+{_part}(?:(?:@|{_boxed_at})(?:{_part}{_any_dot})+{_tld}|\s(?:{_at})\s(?:{_part}\.)*{_part}(?:{_bare_dot}|{_boxed_dot})(?:{_part}{_any_dot})*{_ending})")
 SIGN = regex.compile(rf"(?i)(?P<at>\s(?:{_at})\s|{_boxed_at})|{_bare_dot}|{_boxed_dot}")
-MAY_HIDE = regex.compile(rf"(?i)[\[({{<]\s?(?:{_at}|{_dot}|@|\.)\s?[\])}}>]|\s(?:{_dot})\s")
+IN_BRACKETS = re.compile(rf"[\[({{<]\s?(?:{_at}|{_dot}|@|\.)\s?[\])}}>]")
 EMAIL = regex.compile(rf"(?i)(?<![A-Za-z0-9._%+\-@])[A-Za-z0-9](?:[A-Za-z0-9._%+\-']*[A-Za-z0-9_+\-])?\s?@\s?(?:{_label}\.)+{_tld}(?![A-Za-z0-9\-]*@)")
 
 _ext = r"(?:,?\s?(?:ext|extn|extension|x|Durchwahl|Dw|App|poste|int|доб)\.?\s?\d{1,6})?"
@@ -110,6 +112,11 @@ ADDRESS = [
     regex.compile(rf"{_no}(?:(?:Am|An der|An den|Im|In der|Auf dem|Auf der|Zum|Zur|Unter den|Hinter der) (?:{_cap} ){{0,2}}{_cap}|{_große}{_cap}{_strasse}|{_große}{_cap}[ \-](?:Straße|Strasse|Str\.|Gasse|Weg|Platz|Allee|Ring|Damm|Ufer|Hof|Steig)) \d{{1,4}}(?: ?[a-h]{_end})?(?:[/\-]\d+)?{_end}"),
     regex.compile(rf"(?i){_no}(?:ул\.?|улица|пр-?т\.?|проспект|пер\.|переулок|наб\.) (?-i:{_cap}(?: {_cap})?),? (?:д\.? ?|дом )?\d{{1,4}}(?:,? ?(?:кв\.?|квартира) ?\d+)?"),
 ]
+# Each notation has one of these words, in lower case.
+ADDRESS_NEEDS = [
+    _road.lower().split("|"), _rue.split("|"), ["calle", "c/", "avenida", "avda", "av.", "plaza", "pza", "paseo", "camino", "carrera", "ronda", "travesía", "via", "piazza", "corso", "rua"],
+    ["straße", "strasse", "str.", "gasse", "weg", "platz", "allee", "ring", "damm", "ufer", "hof", "steig", "chaussee", "am ", "an de", "im ", "in der", "auf de", "zum ", "zur ", "unter den", "hinter der"], ["ул", "пр", "пер", "наб"],
+]
 _dates = regex.compile(r"^(?:Am|Im|Zum) (?:\d|(?:Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember|Jahr|Jahre|Sommer|Winter|Herbst|Frühling)\b)")
 
 TITLES = r"Dr|Prof|Professor|Mr|Mrs|Ms|Miss|Mx|Herr|Frau|Hr|Fr|Mme|Mlle|Madame|Monsieur|M|Sr|Sra|Srta|Señor|Señora|Don|Doña|Sir|Lady|Dame|Rev|Ing|Dipl\.-Ing"
@@ -131,6 +138,8 @@ _done_by = (
     "|qui a|a dit|a appelé|a écrit|a signé|a promis|a répondu|dit que|écrit que|pense que|sagte|sagt|schrieb|schreibt|rief|ruft|fragte|meinte|meint|unterschrieb|versprach|dijo|dice|llamó|escribió|escribe|firmó|prometió|respondió|preguntó|piensa|сказал|сказала|написал|написала|позвонил|позвонила|обещал|обещала|подписал|подписала"
 )
 NAME_CUE = regex.compile(rf"(?:(?<![\p{{L}}])(?:{TITLES})\.?\s|(?i:\b(?:present|signed(?: by)?|signature|unterschrift|gezeichnet|firmado(?: por)?|firmó|signé(?: par)?|attendees?|from|author|contact|anwesend|presentes?|présents?|name|nombre|nom)\b):?\s|\b(?:{_done_to})\s)$")
+# The last words of these cues, without full stop or colon: only behind one of them is a cue looked for.
+LAST_WORDS = frozenset(w.rsplit(" ", 1)[-1].lower() for w in f"{_done_to}|{TITLES.replace(chr(92), '')}|present|signed|by|signature|unterschrift|gezeichnet|firmado|por|firmó|signé|par|attendee|attendees|from|author|contact|anwesend|presente|presentes|présent|présents|name|nombre|nom".split("|"))
 PERSON_BEFORE = regex.compile(rf"\b(?:{_done_to})\s$")
 ARTICLE = regex.compile(r"(?i)(?<![\p{L}])(?:the|a|an|this|that|our|der|die|das|den|dem|des|ein|eine|einen|el|la|los|las|un|una|le|les|une|il|lo)\s$")
 PERSON_AFTER = regex.compile(rf"\s(?:{_done_by})(?![\p{{L}}])")
@@ -144,6 +153,16 @@ NO_SURNAME = frozenset(
 )
 
 
+LAST_WORD = re.compile(r"([^\W\d_]+)[.:]{0,2}$")
+LONG_WORD = re.compile(r"[^\W\d_]{4,}")
+
+
+@lru_cache(maxsize=1)
+def small_names() -> frozenset[str]:
+    """Given names of the list in lower case, with and without marks."""
+    return full_names() | frozenset(n.lower() for n in SHORT_FORMS)
+
+
 def _surname(word: str) -> bool:
     last = plain(word.split()[-1].split("-")[-1])
     return len(last) >= 3 and last not in NO_SURNAME and word.split()[0].lower().split("'")[0] not in NO_SURNAME
@@ -167,6 +186,14 @@ def before(cue: regex.Pattern, text: str, at: int) -> bool:
     return bool(cue.search(text, max(0, at - CUE_CHARS), at))
 
 
+def cued_by(cue: regex.Pattern, text: str, at: int) -> bool:
+    """`before` for the cues of names, which end in one of LAST_WORDS and a space."""
+    if not text[at - 1 : at].isspace() or not (words := text[max(0, at - 32) : at].split()):
+        return False
+    last = LAST_WORD.search(words[-1])
+    return last is not None and last[1].lower() in LAST_WORDS and before(cue, text, at)
+
+
 def _sentence_start(text: str, at: int) -> bool:
     near = text[max(0, at - CUE_CHARS) : at]
     head = near.rstrip()
@@ -177,7 +204,7 @@ def names(text: str) -> Iterator[tuple[int, int]]:
     """Spans of people's names of two or more parts, without title."""
     for m in TURNED.finditer(text):
         last, first = m[1], m[2]
-        cued = bool(before(NAME_CUE, text, m.start()))
+        cued = cued_by(NAME_CUE, text, m.start())
         if not (_known(first) or _given(first) and (cued or len(first) > 4)) or not _surname(last) or _known(last):
             continue
         if _sentence_start(text, m.start()) and not cued and (follow := NEXT_NAME.match(text, m.end())) and _surname(follow[1]):
@@ -187,9 +214,9 @@ def names(text: str) -> Iterator[tuple[int, int]]:
     while m := PAIR.search(text, at):
         first, second = m[1], m[4]
         at = m.start() + len(first)
-        title = bool(before(TITLE_BEFORE, text, m.start()))
+        title = cued_by(TITLE_BEFORE, text, m.start())
         done = bool(PERSON_AFTER.match(text, m.end()))
-        cued = title or done or bool(before(NAME_CUE, text, m.start()))
+        cued = title or done or cued_by(NAME_CUE, text, m.start())
         if m[3].endswith("-") and not (_known(first) and _surname(second)):
             continue
         if first.isupper() and not second.isupper() and len(first) > 2:  # SURNAME Given
@@ -199,7 +226,7 @@ def names(text: str) -> Iterator[tuple[int, int]]:
             good = _surname(second) and (_known(first) or cued or len(first) >= 5 or begins)
         else:
             # A name of no list: a person does it, or it is done to one, and both words are shaped like names.
-            shaped = not first.isupper() and not second.isupper() and not before(ARTICLE, text, m.start()) and not PLACE_WORD.search(m[0]) and (before(PERSON_BEFORE, text, m.start()) or done)
+            shaped = not first.isupper() and not second.isupper() and not before(ARTICLE, text, m.start()) and not PLACE_WORD.search(m[0]) and (cued_by(PERSON_BEFORE, text, m.start()) or done)
             good = (title or cued and _given(second) or shaped) and _surname(first) and _surname(second) and first.lower() not in NO_SURNAME
         if good:
             yield m.start(), m.end()
@@ -209,11 +236,10 @@ def names(text: str) -> Iterator[tuple[int, int]]:
         if not surname or not _surname(surname):
             continue
         lone = m[1] and (m[1][1] == "." or m[1][0] not in "AEIOUY") and _sentence_start(text, m.start()) and regex.match(r" \p{Ll}", text[m.end() : m.end() + 2])
-        if lone or before(NAME_CUE, text, m.start()) or PERSON_AFTER.match(text, m.end()):
+        if lone or cued_by(NAME_CUE, text, m.start()) or PERSON_AFTER.match(text, m.end()):
             yield m.start(), m.end()
-    small = any(plain(w) in full_names() for w in set(text.split()) if len(w) >= 4 and w.islower())
-    for m in LOWER.finditer(text, overlapped=True) if small else ():
-        if plain(m[1]) in full_names() and plain(m[2]) not in NO_SURNAME and (_sentence_start(text, m.start()) or before(NAME_CUE, text, m.start())):
+    for m in LOWER.finditer(text, overlapped=True) if not small_names().isdisjoint(LONG_WORD.findall(text)) else ():
+        if plain(m[1]) in full_names() and plain(m[2]) not in NO_SURNAME and (_sentence_start(text, m.start()) or cued_by(NAME_CUE, text, m.start())):
             yield m.start(), m.end()
     for m in HYPHENED.finditer(text):
         if plain(m[1]) in full_names() and not _known(m[2]):
@@ -240,10 +266,12 @@ def ids(text: str) -> Iterator[tuple[int, int, bool]]:
 
 
 def addresses(text: str) -> Iterator[tuple[int, int]]:
-    for pattern in ADDRESS:
-        for m in pattern.finditer(text):
-            if not _dates.match(m[0]):
-                yield m.start(), m.end()
+    low = text.lower()
+    for pattern, needs in zip(ADDRESS, ADDRESS_NEEDS, strict=True):
+        if any(w in low for w in needs):
+            for m in pattern.finditer(text):
+                if not _dates.match(m[0]):
+                    yield m.start(), m.end()
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
@@ -295,8 +323,8 @@ class Traced:
 
 def undigit(t: Traced) -> None:
     """Runs of spelled digits as digits."""
-    words = t.text.lower().translate(APART).split()
-    if sum(w in DIGIT_WORDS or len(w) == 1 and w.isdigit() for w in words) < 6:
+    words = t.text.lower().replace(",", " ").replace(".", " ").replace("-", " ").split()
+    if sum(map(DIGIT_TOKENS.__contains__, words)) < 6:
         return
     edits = []
     for hit in SPELLED.finditer(t.text):
@@ -310,7 +338,9 @@ def undigit(t: Traced) -> None:
 
 def unsign(t: Traced) -> None:
     """The disguised signs between the parts of an address, as [at] or as bare words, as what they stand for."""
-    if not MAY_HIDE.search(t.text):
+    low = t.text.lower()
+    boxed = IN_BRACKETS.search(low)
+    if not (boxed or any(w in low for w in DOT_WORDS)) or not (boxed or "@" in low or any(f" {w} " in low for w in AT_WORDS)):
         return
     edits = []
     for chain in CHAINED.finditer(t.text):

@@ -88,18 +88,21 @@ TAG = regex.compile(r"<(?:head|title|script|style)\b.*?</(?:head|title|script|st
 FOOTER = regex.compile(r"^(?:©|\(c\)|copyright).{0,60}$")
 
 
-# A message or a line of short filler has one of these, or a status code; texts without them aren't searched for it.
+# A message or a line of short filler has one of these, or a status code beside the first; texts without them aren't searched for it.
+STATUS_NEEDS = (
+    "not found|forbidden|bad gateway|error|unavailable|unauthori|denied|timeout|time-out|too many|nicht gefunden|verboten|introuvable|interdit|no se encontr|prohibido|не найден|запрещ|ページ|見つかり|erreur|fehler|ошибка|エラー|http|status|code|código|код"
+).split("|")
 ERROR_NEEDS = (
     "not found|forbidden|bad gateway|internal server error|unavailable|gateway time|page isn|be found on|requested |denied|permission |expired|timed out|too many requests|something went wrong| database|be reached|took too long|checking |are you human|verify |no longer |moved or|under maintenance|unexpected |occurred"
     "|seite |zugriff verweigert|serverfehler|sitzung ist|nicht verfügbar|vorübergehend nicht|datenbankverbindung|zu viele anfragen|ein fehler ist|accès |introuvable|momentanément|existe plus|expiré|erreur interne|trop de requêtes|une erreur|acceso denegado|no disponible|sesión ha|página no|error interno|demasiadas|ha ocurrido"
-    "|не найдена|доступ |временно недоступ|сессия истекла|внутренняя ошибка|слишком много|произошла ошибка|見つかりません|アクセスが集中|しばらくしてから|権限がありません|セッションの有効期限|エラーが発生|メンテナンス中|利用できません|traceback (|exception in thread|fatal error|error|segmentation fault"
+    "|не найдена|доступ |временно недоступ|сессия истекла|внутренняя ошибка|слишком много|произошла ошибка|見つかりません|アクセスが集中|しばらくしてから|権限がありません|セッションの有効期限|エラーが発生|メンテナンス中|利用できません|traceback (|exception in thread|fatal error|error\":|error':|error\" :|error' :|segmentation fault"
 ).split("|")
 SCRIPT_NEEDS = ("script", "скрипт")
 FILLER_NEEDS = (
     "headline|blindtext|platzhaltertext|beispieltext|texto de |texte de |faux texte|dummy|sample|placeholder|filler|example|replace before| here|body copy|description |heading |title |paragraph |item |text |coming soon|under construction|loading|to be written"
     "|testo segnaposto|texto simulado|заполнитель|рыбный|здесь |ダミー|ここに|サンプルテキスト|準備中|文章が入ります|скоро |bald verfügbar|próximamente|bientôt"
 ).split("|")
-STATUS = re.compile(r"[45]\d\d")
+STATUS = re.compile(r"(?<!\d)[45]\d\d(?!\d)")
 LINE_ENDS = re.compile("[\n\r\x0b\x0c\u2028\u2029]")
 DIGITS = re.compile(r"\d+")
 
@@ -161,9 +164,10 @@ def examine(text: str) -> tuple[list[int], list[int], bool, list[tuple[int, int]
         held = [line_key(x) for x in bare if PLACEHOLDER.search(x)]
         anywhere += [] if held and is_code(text) else held
     low = [x.casefold() for x in lines]
-    whole = "\n".join(low)
-    may_say = STATUS.search(whole) or any(w in whole for w in SCRIPT_NEEDS) or any(w in whole for w in ERROR_NEEDS)
-    may_fill = any(w in whole for w in FILLER_NEEDS)
+    said = "\n".join([x for x in low if len(x) <= 3 * MESSAGE_CHARS])
+    may_say = any(w in said for w in SCRIPT_NEEDS) or any(w in said for w in ERROR_NEEDS) or STATUS.search(said) and any(w in said for w in STATUS_NEEDS)
+    short = "\n".join([x for x in low if len(x) <= FILLER_CHARS])
+    may_fill = short and any(w in short for w in FILLER_NEEDS)
     rest, message = [], False
     for line, key in zip(low, keys, strict=True):
         if may_say and is_message(line) or MASHED.search(line) or may_fill and len(line) <= FILLER_CHARS and FILLER.search(line):
