@@ -179,7 +179,7 @@ def examine(text: str) -> tuple[list[int], list[int], bool, list[tuple[int, int]
 
 
 def _judged(df: DataFrame, key: str, text: str, host: str) -> DataFrame:
-    narrow = df.select(F.col(key).alias("__key"), F.coalesce(F.col(host), F.lit("")).alias("__host"), F.col(text).alias("__text"), F.sha2(F.col(text), 256).alias("digest"))
+    narrow = df.select(F.col(key).alias("__key"), F.coalesce(F.col(host), F.lit("")).alias("__host"), F.col(text).alias("__text"), F.unhex(F.sha2(F.col(text), 256)).alias("digest"))
     keys = T.ArrayType(T.LongType(), False)
     beside = T.ArrayType(T.StructType([T.StructField("line", T.LongType(), False), T.StructField("size", T.IntegerType(), False)]), False)
     schema = T.StructType([*(narrow.schema[c] for c in ("__key", "__host", "digest")), T.StructField("lines", keys, False), T.StructField("anywhere", keys, False), T.StructField("message", T.BooleanType(), False), T.StructField("beside", beside, False)])
@@ -210,7 +210,7 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text", host: str =
     """
     judged = cut(_judged(df, key, text, host))  # read several times below, and dear to make
     texts = judged.select("__host", "digest", "lines").dropDuplicates(["__host", "digest"])  # copies of a text are one
-    hosts = texts.groupBy("__host").agg(F.count(F.lit(1)).alias("texts"))
+    hosts = judged.select("__host", "digest").distinct().groupBy("__host").agg(F.count(F.lit(1)).alias("texts"))
     asked = judged.where(F.col("message") | (F.size("anywhere") > 0)).select("__key", "__host", "message", "anywhere", "beside")
     # Only lines of records with some evidence need their counts.
     wanted = asked.select("__host", F.explode(F.array_distinct(F.concat("anywhere", F.transform("beside", lambda x: x["line"])))).alias("line")).distinct()
