@@ -310,21 +310,21 @@ def entity_classes(card: DataFrame) -> DataFrame:
         return parse_org(" ".join(v.capitalize() if plain(w) != v else w for w, v in zip(words, better, strict=True)), rarity, mend) if any(v in ORG_TYPES for v in better) else None
 
     parsed = cut(informed.mapInPandas(parse, PARSED))
-    given_tokens = parsed.where("kind = 'person' and form = 'full'").select("kind", F.col("given")[0].alias("token"))
+    given_tokens = parsed.where("kind = 'person' and form = 'full'").select("kind", F.get("given", F.lit(0)).alias("token"))
     alike = cut(alike_tokens(parsed.select("kind", F.col("key").alias("token")).unionByName(given_tokens).distinct())).withColumnRenamed("token", "key")
     weight = parsed.groupBy("kind", "key").agg(F.sum("n").alias("key_n"))
 
     # People. Nodes are (full given name, surname); variants take the given name an attested node offers.
     people = parsed.where("kind = 'person'")
     near_keys = alike.where("kind = 'person'").select("key", "near", "slips")
-    attested = people.where("form = 'full'").select(F.col("given")[0].alias("full"), "key").distinct()
+    attested = people.where("form = 'full'").select(F.get("given", F.lit(0)).alias("full"), "key").distinct()
     variants = people.where("form = 'variant'").select("s", "n", "key", F.explode("given").alias("full"))
     offers = variants.join(near_keys, "key").join(attested.withColumnRenamed("key", "near"), ["full", "near"]).groupBy("s").agg(
         F.collect_set(F.when(F.col("key") == F.col("near"), F.col("full"))).alias("exact"), F.collect_set("full").alias("any")
     )
-    choice = F.when(F.size("exact") == 1, F.col("exact")[0]).when((F.size("exact") == 0) & (F.size("any") == 1), F.col("any")[0])
-    chosen = people.where("form = 'variant'").join(offers, "s", "left").select("s", "n", "key", F.when(F.col("any").isNull(), F.col("given")[0]).otherwise(choice).alias("full"))
-    placed = people.where("form = 'full'").select("s", "n", "key", F.col("given")[0].alias("full")).unionByName(chosen).where(F.col("full").isNotNull())
+    choice = F.when(F.size("exact") == 1, F.get("exact", F.lit(0))).when((F.size("exact") == 0) & (F.size("any") == 1), F.get("any", F.lit(0)))
+    chosen = people.where("form = 'variant'").join(offers, "s", "left").select("s", "n", "key", F.when(F.col("any").isNull(), F.get("given", F.lit(0))).otherwise(choice).alias("full"))
+    placed = people.where("form = 'full'").select("s", "n", "key", F.get("given", F.lit(0)).alias("full")).unionByName(chosen).where(F.col("full").isNotNull())
     placed = cut(placed.withColumn("node", F.concat_ws("|", F.lit("p"), "full", "key")))
     nodes = placed.groupBy("node", "full", "key").agg(F.sum("n").alias("n"))
     given_n = nodes.groupBy("full").agg(F.sum("n").alias("given_n"))
@@ -388,7 +388,7 @@ def entity_classes(card: DataFrame) -> DataFrame:
     whole = placed.select("s", "node").unionByName(full_orgs.select("s", "node")).join(roots, "node").select("s", F.col("root").alias("entity"))
 
     # Initials go to the one entity with that surname and letter, an exact surname before a mistyped one.
-    initials = people.where("form = 'initial'").select("s", "key", F.col("given")[0].alias("letter"))
+    initials = people.where("form = 'initial'").select("s", "key", F.get("given", F.lit(0)).alias("letter"))
     entities = nodes.join(roots, "node").select(F.col("key").alias("near"), F.substring("full", 1, 1).alias("letter"), F.col("root").alias("entity"))
     fit = initials.join(near_keys, "key").join(entities, ["near", "letter"]).select("s", "entity", (F.col("key") == F.col("near")).alias("exact"))
     # Abbreviated organisations go to the one entity whose words they stand for.
@@ -402,7 +402,7 @@ def entity_classes(card: DataFrame) -> DataFrame:
 
     fit = fit.unionByName(tried.mapInPandas(stands_for, "s string, entity string, exact boolean"))
     sure = fit.groupBy("s").agg(F.collect_set(F.when(F.col("exact"), F.col("entity"))).alias("exact"), F.collect_set("entity").alias("any"))
-    one = F.when(F.size("exact") == 1, F.col("exact")[0]).when((F.size("exact") == 0) & (F.size("any") == 1), F.col("any")[0])
+    one = F.when(F.size("exact") == 1, F.get("exact", F.lit(0))).when((F.size("exact") == 0) & (F.size("any") == 1), F.get("any", F.lit(0)))
     decided = sure.select("s", one.alias("entity"), F.lit(True).alias("tried"))
     # With no entity to go to, equal initials of equal surnames, and equal abbreviations, are entities of their own.
     lonely = initials.select("s", F.concat_ws("|", F.lit("i"), "letter", "key").alias("own")).unionByName(shortened.select("s", F.concat_ws("|", F.lit("a"), F.array_join("rest", " "), "key").alias("own")))
