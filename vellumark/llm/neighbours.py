@@ -28,6 +28,8 @@ SAMPLE = 262_144
 BLOCK = 8_192
 #: Bits of a code, bits of a query's coordinate, and the error bound in standard deviations.
 CODE_BITS, QUERY_BITS, DEVIATIONS = 128, 4, 3.0
+#: From one chosen pair in so many on, the similarities of all pairs are computed at once.
+DENSE = 16
 #: A cell is searched if its border is nearer than this share of the distance to the k-th neighbour found so
 #: far. 1.0 is a certain bound; a neighbour's offset is spread over all dimensions, so little is missed.
 REACH = 0.4
@@ -110,27 +112,39 @@ class CodedCell:
 
     def estimate(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Estimated similarities of queries (rows) to members (columns), and what they may be off by."""
-        bits = len(self.turn)
+        bits, f4 = len(self.turn), np.float32
         s = q - self.centre
         length = np.maximum(np.linalg.norm(s, axis=1), 1e-12)
-        z = (s / length[:, None]).astype(np.float32) @ self.turn.T
+        z = (s / length[:, None]).astype(f4) @ self.turn.T
         low, high = z.min(1, keepdims=True), z.max(1, keepdims=True)
         step = np.maximum(high - low, 1e-9) / (2**QUERY_BITS - 1)
         level = np.rint((z - low) / step).astype(np.uint8)
         dots = np.zeros((len(q), len(self.x)), np.uint16)
         for b in range(QUERY_BITS):
             plane = pack((level >> b) & 1)
-            for w in range(plane.shape[1]):
-                dots += np.bitwise_count(plane[:, w, None] & self.words[None, :, w]).astype(np.uint16) << b
+            ones = np.bitwise_count(plane[:, 0, None] & self.words[None, :, 0])
+            for w in range(1, plane.shape[1]):
+                ones += np.bitwise_count(plane[:, w, None] & self.words[None, :, w])
+            dots += np.multiply(ones, 1 << b, dtype=np.uint16)
         total = low[:, 0] * bits + step[:, 0] * level.sum(1)  # sum of the query's quantised coordinates
-        inner = (2 * (low * self.ones[None, :] + step * dots) - total[:, None]) / np.sqrt(bits) / self.own[None, :]
-        scale = length[:, None] * self.length[None, :]
-        offset = (q @ self.centre - self.centre @ self.centre)[:, None] + self.base[None, :]
+        # Single precision is far finer than the bounds.
+        about = dots.astype(f4)
+        about *= 2 * step
+        about += 2 * low * self.ones[None, :]
+        about -= total.astype(f4)[:, None]
+        about *= length.astype(f4)[:, None]
+        about *= (self.length / (np.sqrt(bits) * self.own)).astype(f4)[None, :]
+        about += (q @ self.centre - self.centre @ self.centre).astype(f4)[:, None]
+        about += self.base.astype(f4)[None, :]
         # Rounding the query adds an error of its own, at most half a step in each coordinate.
-        rounding = step * np.sqrt(bits / 12) / np.sqrt(bits)
-        return offset + scale * inner, scale * self.deviations * (self.spread[None, :] + rounding / self.own[None, :])
-
-    def search(self, q: np.ndarray, k: int, pairs: int = 1 << 21) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rounding = step / f4(np.sqrt(12))
+        off = rounding * (1 / self.own).astype(f4)[None, :]
+        off += self.spread.astype(f4)[None, :]
+        off *= (self.deviations * length).astype(f4)[:, None]
+        off *= self.length.astype(f4)[None, :]
+        return about, off
+
+    def search(self, q: np.ndarray, k: int, pairs: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row of the query, key, similarity) of the k best members of each query, row by row, equal similarity by smaller key."""
         m, out = len(self.x), []
         for begin in range(0, len(q), max(1, pairs // m)):
@@ -139,12 +153,15 @@ class CodedCell:
                 about, off = self.estimate(part)
                 first = np.argpartition(-about, k - 1, axis=1)[:, :k]
                 exact = np.einsum("qkd,qd->qk", self.x[first], part)
-                chosen = about + off >= exact.min(1, keepdims=True) - 1e-9
+                chosen = about + off >= exact.min(1, keepdims=True).astype(np.float32) - np.float32(1e-5)
                 np.put_along_axis(chosen, first, True, axis=1)
             else:
                 chosen = np.ones((len(part), m), bool)
             rows, columns = np.nonzero(chosen)
-            sims = np.concatenate([np.einsum("nd,nd->n", self.x[columns[i : i + 65_536]], part[rows[i : i + 65_536]]) for i in range(0, len(rows), 65_536)])
+            if len(rows) * DENSE > chosen.size:  # then a product of matrices is cheaper than fetching the chosen
+                sims = (part @ self.x.T)[rows, columns]
+            else:
+                sims = np.einsum("nd,nd->n", self.x[columns], part[rows])
             order = np.lexsort((self.keys[columns], -sims, rows))
             rows = rows[order]
             order = order[np.arange(len(rows)) - np.searchsorted(rows, rows) < k]
