@@ -320,13 +320,13 @@ def fts_snippets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, d: str) -> search.StoredIndex:
-    """The blocks' index below the shared folder, built by the first query that asks for it and brought up to date by the others."""
+    """The blocks' index below the shared folder, built by the first query of an application that asks for it."""
     known = hashlib.sha256(f"{d}|{spark.sparkContext.applicationId}".encode()).hexdigest()[:16]
     if known not in _folders:
-        _folders[known] = f"{shared_folder(spark)}/search-{known}"
-    store = search.StoredIndex(spark, _folders[known])
-    store.add(blocks(spark, d))
-    return store
+        folder = f"{shared_folder(spark)}/search-{known}"
+        search.StoredIndex(spark, folder).add(blocks(spark, d))
+        _folders[known] = folder
+    return search.StoredIndex(spark, _folders[known])
 
 
 _folders: dict[str, str] = {}
