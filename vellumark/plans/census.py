@@ -114,6 +114,12 @@ def near_dup_exact(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
+@query(f"with {_PAIRS} select a, b, round(jaccard, 6)::double as jaccard from p where jaccard >= 0.8")
+def near_dup_strict(spark: SparkSession, d: str) -> DataFrame:
+    pairs = neardup.similar_texts(neardup.text_classes(table(spark, d, "documents")))
+    return pairs.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
+
+
 @query(f"""
     with recursive {_PAIRS}, e as (select a, b from p union select b, a from p),
     walk as (select a as u, a as v from e union select walk.u, e.b from walk join e on e.a = walk.v),
