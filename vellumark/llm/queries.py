@@ -49,6 +49,16 @@ def p4_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p4_batches(spark, d), table(spark, d, "pack_capacity"))
 
 
+def p4_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Per capacity what is in its batches, and how many batches hold too much or a part of an item that needn't be cut."""
+    b = p4_batches(spark, d)
+    limits = table(spark, d, "pack_capacity").select("pass_name", "capacity_tokens").distinct()
+    per = b.groupBy("pass_name", "batch").agg(F.sum("tokens").alias("t")).join(F.broadcast(limits), "pass_name")  # a fixed table of a few rows
+    over = per.groupBy("pass_name").agg(F.count_if(F.col("t") > F.col("capacity_tokens")).alias("too_full"))
+    whole = b.groupBy("pass_name").agg(F.count_if(F.col("piece") == 0).alias("items"), F.count(F.lit(1)).alias("pieces"), F.sum("tokens").alias("tokens"))
+    return whole.join(over, "pass_name")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.neighbour_pairs(table(spark, d, "vectors"))
 
@@ -106,6 +116,7 @@ def queries() -> dict[str, Query]:
         "p3_block_totals": p3_block_totals,
         "p4_batches": p4_batches,
         "p4_fill": p4_fill,
+        "p4_totals": p4_totals,
         "p5_found": p5_found,
         "p6_found": p6_found,
         "p6_forms": p6_forms,
@@ -143,6 +154,10 @@ SQL = {
              s as (select doc_id, sum(n) as n from b group by 1)
         select doc_id from d join s using (doc_id) where tokens_est is null or tokens_est * 2 < n or tokens_est > n * 2
     """,
+    "p4_totals": """
+        with i as (select doc_id, seq, max(tokens) as n from rec_row where tokens > 0 group by 1, 2), c as (select distinct pass_name, capacity_tokens as cap from pack_capacity)
+        select pass_name, count(*) as items, sum(ceil(n / cap))::bigint as pieces, sum(n)::bigint as tokens, 0::bigint as too_full from i, c group by pass_name
+    """,
     "p5_found": """
         with v as (select distinct vec_id, model, vec::double[] as x from vectors where vec_id is not null and len(vec) = 64 and len(list_filter(vec, lambda e: e is not null and isfinite(e))) = 64 and len(list_filter(vec, lambda e: e <> 0)) > 0),
              p as (select a.vec_id as a, b.vec_id as b, list_cosine_similarity(a.x, b.x) as s from v a join v b on a.model = b.model and a.vec_id <> b.vec_id),
