@@ -69,7 +69,11 @@ def test_command_line(spark, archive, tmp_path, capsys):
     assert run("plan") == 0 and run("intake") == 1 and run("census", "--json") == 0
     assert run("read", "--dry-run", "--json") == 0 and '"batches":1' in capsys.readouterr().out
     assert run("read", "--cap", "0") == 2 and run("read") == 0 and run("fence", "--derive") == 0 and run("query", "lantern", "--json") == 0
-    assert "[lantern]" in capsys.readouterr().out and run("query", "") == 2 and run("vectors") == 2 and run("freeze", "--stable") == 2
+    assert "[lantern]" in capsys.readouterr().out and run("query", "lantern") == 0
+    said = capsys.readouterr().out
+    assert said.startswith("1. p1/a.md #0  [p1, ") and "read as one phrase" not in said and "The [lantern] stood" in said and "0-36: The lantern stood by the ridge path." in said
+    assert run("query", "ridge-path") == 0 and "read as one phrase" in capsys.readouterr().out and run("query", "zeppelin") == 0 and capsys.readouterr().out == "no hits\n"
+    assert run("query", "") == 2 and run("vectors") == 2 and run("freeze", "--stable") == 2
     (tmp_path / "rubric.txt").write_text("one")
     assert run("propose", "--artifact", "rubric.txt") == 0 and run("freeze") == 2 and run("freeze", "--stable", "--roster", str(tmp_path / "roster.json")) == 0
 

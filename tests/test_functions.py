@@ -53,6 +53,11 @@ def test_planted_defects(spark):
     assert got[1] == got[2] == (None, None, None, None)
 
 
+def test_display_is_one_line(spark):
+    t = "a\tb\r\nc \x1b[31mred\x1b[0m \x07end"
+    assert text.shown(t) == "a b  c red end" == spark.createDataFrame([(t,)], "t string").select(text.printable(F.col("t"))).first()[0]
+
+
 def test_canonical_json():
     assert hashing.canonical_json({"b": [0.1, 1e300, -0.0, 2.5], "a": "e\u0301"}) == '{"a":"é","b":[0.1,1e+300,-0.0,2.5]}'.encode()
     for bad in ({"é": 1, unicodedata.normalize("NFD", "é"): 2}, math.nan, {1: 2}, object()):

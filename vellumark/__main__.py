@@ -9,6 +9,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame
 
 from .archive import Archive
+from .functions.text import shown
 from .operators.charter import CharterError
 from .operators.extract import Halted
 from .operators.provider import Ladder, make_provider
@@ -18,6 +19,18 @@ from .session import build_session
 from .sources.manifest import ManifestError
 
 
+def report_lines(rows: list) -> list[str]:
+    """A search's report for reading: each block with its document, topics, quotes by their place, and what is withheld."""
+    out = [] if rows else ["no hits"]
+    for k, r in enumerate(rows, 1):
+        out.append(f"{k}. {shown(r['path'])} #{r['seq']}  [{shown(r['project'])}, {r['year']}]  {r['rank']:.3f}" + ("  read as one phrase" if r["matched_as"] == "phrase" else ""))
+        out += [f"   topics: {shown(', '.join(r['topics']))}"] if r["topics"] else []
+        out += [f"   {q['span_start']}-{q['span_end']}: {shown(q['text'])}" for q in r["quotes"]]
+        out += [f"   {r['withheld']} quotes withheld: they aren't in the text"] if r["withheld"] else []
+        out.append(f"   {shown(r['snippet'] or 'the text is missing')}")
+    return out
+
+
 def main(argv: list[str] | None = None) -> int:
     """0; 1 where an intake is incomplete or a chain is broken; 2 where a request is refused."""
     p = argparse.ArgumentParser(prog="vellumark", description=__doc__)
@@ -81,6 +94,9 @@ def main(argv: list[str] | None = None) -> int:
             module, _, name = args.embedder.partition(":")
             show(archive.vectors(getattr(import_module(module), name), args.embedder))
             return 0
+        if args.verb == "query" and args.terms is not None and not args.json:
+            print("\n".join(report_lines(archive.query(args.terms, args.limit).collect())))  # `limit` rows
+            return 0
         verbs = {"read": lambda: archive.dry_run(args.projects, args.max_tokens, args.cap), "plan": archive.plan, "census": archive.contact_sheet, "discover": lambda: archive.discover(args.sample_tokens), "fence": lambda: archive.fence(args.derive, args.limit if args.first else None), "query": lambda: archive.query(args.terms, args.limit)}
         show(verbs[args.verb]())
         return 0

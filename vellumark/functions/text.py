@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -117,6 +119,12 @@ def printable(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(one_line, r"\x{1b}\[[0-9;?]*[ -/]*[@-~]", ""), r"[\x{00}-\x{08}\x{0b}-\x{1f}\x{7f}]", "")
 
 
+def shown(text: object) -> str:
+    """A value on one line for display, by the same rules as `printable`."""
+    one_line = re.sub(r"[\t\n\r]", " ", str(text))
+    return re.sub(r"[\x00-\x08\x0b-\x1f\x7f]", "", re.sub(r"\x1b\[[0-9;?]*[ -/]*[@-~]", "", one_line))
+
+
 def words(text: Column) -> Column:
     """Lower-case words of a text, in order."""
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), 1)
