@@ -153,6 +153,8 @@ NO_SURNAME = frozenset(
 )
 
 
+# What a turned name, one with an initial and one in lower case hold at least; no small letter of ASCII is a capital.
+COMMA_NAME, ONE_LETTER = re.compile(r", [^\W\d_a-z]"), re.compile(r"\b[^\W\d_a-z][. ]")
 LAST_WORD = re.compile(r"([^\W\d_]+)[.:]{0,2}$")
 LONG_WORD = re.compile(r"[^\W\d_]{4,}")
 
@@ -202,7 +204,7 @@ def _sentence_start(text: str, at: int) -> bool:
 
 def names(text: str) -> Iterator[tuple[int, int]]:
     """Spans of people's names of two or more parts, without title."""
-    for m in TURNED.finditer(text):
+    for m in TURNED.finditer(text) if COMMA_NAME.search(text) else ():
         last, first = m[1], m[2]
         cued = cued_by(NAME_CUE, text, m.start())
         if not (_known(first) or _given(first) and (cued or len(first) > 4)) or not _surname(last) or _known(last):
@@ -231,7 +233,7 @@ def names(text: str) -> Iterator[tuple[int, int]]:
         if good:
             yield m.start(), m.end()
             at = m.end()
-    for m in INITIALS.finditer(text):
+    for m in INITIALS.finditer(text) if ONE_LETTER.search(text) else ():
         surname = regex.sub(r"(?:^| |,)\p{Lu}\.?(?= |\.|$)", " ", m[0]).strip(" .,")
         if not surname or not _surname(surname):
             continue
