@@ -184,7 +184,7 @@ def nearest_neighbours(df: DataFrame, k: int = 10, dim: int = 64, key: str = "ve
     and infinite `deviations` no neighbour is missed, at the price of many more comparisons.
     """
     spark = df.sparkSession
-    ids = cut(_vectors(df, key, vec, model, dim).withColumn("copy_of", F.sha2(F.to_json("vec"), 256)))
+    ids = cut(_vectors(df, key, vec, model, dim).withColumn("copy_of", F.concat(F.hex(F.xxhash64("vec")), F.hex(F.xxhash64(F.lit(7), F.col("vec"))))))  # 128 bits
     # Of copies only the smallest k + 1 ids can be anyone's neighbours; found slice by slice, so no group is gathered.
     few = lambda c: F.slice(F.array_sort(c), 1, k + 1)
     sliced = ids.groupBy("model", "copy_of", F.pmod(F.xxhash64("id"), F.lit(256)).alias("slice")).agg(few(F.collect_list("id")).alias("few"), F.count(F.lit(1)).alias("n"), F.min_by("vec", "id").alias("vec"))
