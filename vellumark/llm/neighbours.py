@@ -22,8 +22,9 @@ from ..session import cut
 
 #: Vectors a cell holds on average while the collection is small.
 CELL = 1_024
-#: The centres are fitted on at most so many vectors of a model; every vector is indexed.
-SAMPLE = 262_144
+#: The centres are fitted on 64 vectors for each, but on LEAST_SAMPLE where there are so many and on SAMPLE at
+#: most, of a model; every vector is indexed.
+LEAST_SAMPLE, SAMPLE = 65_536, 262_144
 #: Members or queries of one task; larger cells are split into blocks.
 BLOCK = 8_192
 #: Bits of a code, bits of a query's coordinate, and the error bound in standard deviations.
@@ -197,9 +198,10 @@ def nearest_neighbours(df: DataFrame, k: int = 10, dim: int = 64, key: str = "ve
     centres: dict[str | None, np.ndarray] = {}
     for name, n in sizes.items():
         own = reps.where(F.col("model").eqNullSafe(name))
+        wanted = min(SAMPLE, max(LEAST_SAMPLE, 64 * centres_of(n)))
         # A hash of the key is as good as chance and the same every time.
-        part = own.where(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1_000_000)) < ceil(1_000_000 * min(1.0, SAMPLE / n))) if n > SAMPLE else own
-        rows = part.select("key", "vec").orderBy(F.xxhash64("key")).limit(SAMPLE).toPandas().sort_values("key")
+        part = own.where(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1_000_000)) < ceil(1_000_000 * min(1.0, wanted / n))) if n > wanted else own
+        rows = part.select("key", "vec").orderBy(F.xxhash64("key")).limit(wanted).toPandas().sort_values("key")
         x = np.stack(rows["vec"].to_numpy()).astype(np.float64)
         x /= np.abs(x).max(axis=1, keepdims=True)
         centres[name] = fit_centres((x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32), min(centres_of(n), len(x)))
