@@ -37,6 +37,7 @@ def glob_regex(pattern: str) -> str:
 def path_matches(path: Column, include: list[str], exclude: list[str] = ()) -> Column:
     """'internal', 'not_included', 'excluded' or 'admitted' of a path, in that order."""
     any_of = lambda globs: F.lit(False) if not globs else F.greatest(*[path.rlike(glob_regex(g)) for g in globs], F.lit(False))
+    # An archive's own folders.
     internal = F.lower(F.split_part(path, F.lit("/"), F.lit(1))).isin("tape", "runs", "catalog", "codex", "certificate")
     return F.when(internal, "internal").when(~any_of(include), "not_included").when(any_of(list(exclude)), "excluded").otherwise("admitted")
 
