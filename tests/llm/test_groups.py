@@ -240,3 +240,50 @@ def test_estimates_stay_within_their_bounds():
     cell = neighbours.CodedCell(np.arange(400), x, x.mean(0))
     about, off = cell.estimate(x[:100])
     assert (np.abs(about - x[:100] @ x.T) <= off).mean() > 0.99
+
+
+def test_cells_to_search_are_those_within_reach():
+    """Against double precision, row by row, with more centres than are compared with one another at once."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((150, 64)) / 8
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    centres = (rng.standard_normal((700, 64)) / 12).astype(np.float32)
+    centres[:150] = (0.9 * x).astype(np.float32)
+    count, radius, limit = rng.integers(0, 3, 700), rng.uniform(0.2, 0.9, 700), rng.uniform(0.2, 1.2, 150)
+    done = [rng.integers(0, 700, i % 4).tolist() for i in range(150)]
+    c = centres.astype(float)
+    d2 = ((x[:, None] - c[None]) ** 2).sum(2)
+    own = d2.argmin(1)
+    border = (d2 - d2.min(1)[:, None]) / (2 * np.maximum(np.linalg.norm(c[own][:, None] - c[None], axis=2), 1e-9))
+    for reach in (0.4, 1.0):
+        slack = lambda e: (border < reach * limit[:, None] + e) & (np.sqrt(d2) - radius < limit[:, None] + e) & (count > 0)  # noqa: B023, E731
+        searched = lambda i: set(done[i])
+        rows, cells = neighbours.border_cells(x, limit, done, centres, count, radius, reach)
+        few = neighbours.border_cells(x, limit, done, centres, count, radius, reach, 2)
+        for i in range(150):
+            got = set(cells[rows == i].tolist())
+            assert set(np.flatnonzero(slack(-1e-9)[i])) - searched(i) <= got <= set(np.flatnonzero(slack(1e-3)[i])) - searched(i)
+            first = few[1][few[0] == i]
+            assert len(first) == min(2, len(got)) and (not len(first) or border[i, first].max() <= sorted(border[i, list(got)])[len(first) - 1] + 1e-3)
+
+
+def test_what_is_below_the_kth_of_other_cells_is_left_out():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cell = neighbours.CodedCell(np.arange(500), x, x.mean(0))
+    floor = np.where(np.arange(100) % 3 == 0, -np.inf, np.sort(x[:100] @ x.T)[:, -4])
+    rows, keys, sims = cell.search(x[:100], 11, floor)
+    plain = cell.search(x[:100], 11)
+    for i in range(100):
+        whole = list(zip(plain[1][plain[0] == i], plain[2][plain[0] == i], strict=True))
+        assert list(zip(keys[rows == i], sims[rows == i], strict=True)) == (whole if i % 3 == 0 else whole[:4])
+
+
+def test_bins_hold_cells_near_one_another():
+    rng = np.random.default_rng(6)
+    count = np.append(rng.integers(0, 90, 200), 1_000)
+    first, bins = neighbours.bins_of(rng.standard_normal((201, 64)), count, 256)
+    assert bins[200] == 4 and (bins[:200] == 1).all() and first[200] not in first[:200]
+    sizes = np.bincount(first[:200], count[:200])
+    assert sizes.max() <= 256 and set(range(first.max() + 1)) >= set(first.tolist()) and sizes.sum() == count[:200].sum()
