@@ -135,6 +135,28 @@ def test_duplicate_classes(near_docs):
     assert all(got[b]["class_id"] == got[a]["class_id"] for (a, b), j in jaccards(near_docs).items() if j >= 0.8)
 
 
+def broadcasts(monkeypatch, made):
+    """Plans with a broadcast among those that `made` cuts and the one it returns."""
+    plans, cut = [], neardup.cut
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    monkeypatch.setattr(neardup, "cut", lambda df: cut(plan(df)))
+    plan(made())
+    return [p for p in plans if "Broadcast" in p]
+
+
+@pytest.fixture(scope="module")
+def stored_docs(spark, near_docs, tmp_path_factory):
+    """near_docs from files: only their size is known, not guessed as boundless."""
+    path = str(tmp_path_factory.mktemp("near") / "docs.parquet")
+    near_docs.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_duplicate_classes_are_not_broadcast(stored_docs, monkeypatch):
+    """The size of a row with an array is estimated at a fraction, and the driver would hold all of them."""
+    assert not broadcasts(monkeypatch, lambda: neardup.duplicate_classes(stored_docs, 0.6))
+
+
 def test_minhash_recall(near_docs):
     want = {(b, a) for (a, b), j in jaccards(near_docs).items() if j >= 0.8}
     got = {(r["doc_id"], r["other"]) for r in neardup.flagged(near_docs, ["taped_at"], least=0.6).collect()}

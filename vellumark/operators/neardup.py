@@ -31,6 +31,11 @@ FLAG_LEAST, FLAG_MOST = 0.6, 5
 BANDS = 32
 
 
+def sorted_side(df: DataFrame) -> DataFrame:
+    """df as a side of a join by sorting. Catalyst takes an array for one element and exploded rows for one a row, so it would broadcast what is many times its estimate."""
+    return df.hint("merge")
+
+
 def text_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(rep, sha, shingles): one row per distinct text that has shingles, named by the smallest of its keys."""
     d = spread(docs.where(F.col(text).isNotNull()).select(key, text)).select(F.col(key).alias("k"), F.sha2(text, 256).alias("sha"), F.col(text).alias("t"))
@@ -48,18 +53,18 @@ def similar_texts(classes: DataFrame, least: float = LEAST) -> DataFrame:
     classes = cut(classes.withColumn("n", F.size("shingles")))
     each = classes.select("rep", "n", F.explode("shingles").alias("s"))
     rarity = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    shared = each.join(rarity.where("df > 1"), "s")
+    shared = each.join(sorted_side(rarity.where("df > 1")), "s")
     # Shingles of one text alone come first in its order; they take up places of the prefix without being joined.
     common = shared.groupBy("rep").agg(F.count(F.lit(1)).alias("__shared"))
     place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "s"))  # a text's own shingles
-    ranked = shared.withColumn("r", place).join(common, "rep").withColumn("r", F.col("r") + F.col("n") - F.col("__shared"))
+    ranked = shared.withColumn("r", place).join(sorted_side(common), "rep").withColumn("r", F.col("r") + F.col("n") - F.col("__shared"))
     prefix = cut(ranked.where(F.col("r") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1).select("rep", "n", "s"))
     other = prefix.select(F.col("rep").alias("b"), F.col("n").alias("m"), "s")
     sized = (F.col("rep") < F.col("b")) & (F.least("n", "m") >= F.lit(least) * F.greatest("n", "m"))
-    pairs = prefix.join(other, "s").where(sized).select(F.col("rep").alias("a"), "b").distinct()
+    pairs = prefix.join(sorted_side(other), "s").where(sized).select(F.col("rep").alias("a"), "b").distinct()
     left, right = classes.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), classes.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    scored = pairs.join(left, "a").join(right, "b").select("a", "b", (both / (F.size("sa") + F.size("sb") - both)).alias("jaccard"))
+    scored = pairs.join(sorted_side(left), "a").join(sorted_side(right), "b").select("a", "b", (both / (F.size("sa") + F.size("sb") - both)).alias("jaccard"))
     return scored.where(F.col("jaccard") >= least)
 
 
@@ -179,11 +184,11 @@ def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = cut(pairs.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(pairs.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct())
     labels = cut(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")).withColumnRenamed("u", "node"))
     for _ in range(60):
-        around = edges.join(labels.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("root").alias("seen"))
-        lower = labels.join(around.withColumnRenamed("u", "node"), "node").select("node", F.least("root", "seen").alias("root"))
+        around = edges.join(sorted_side(labels.withColumnRenamed("node", "v")), "v").groupBy("u").agg(F.min("root").alias("seen"))
+        lower = labels.join(sorted_side(around.withColumnRenamed("u", "node")), "node").select("node", F.least("root", "seen").alias("root"))
         shortcut = lower.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        after = cut(lower.join(shortcut, "root", "left").select("node", F.least("root", F.coalesce("top", "root")).alias("root")))
-        changed = after.join(labels.withColumnRenamed("root", "was"), "node").where(F.col("root") != F.col("was")).limit(1).count()
+        after = cut(lower.join(sorted_side(shortcut), "root", "left").select("node", F.least("root", F.coalesce("top", "root")).alias("root")))
+        changed = after.join(sorted_side(labels.withColumnRenamed("root", "was")), "node").where(F.col("root") != F.col("was")).limit(1).count()
         labels = after
         if not changed:
             return labels
@@ -202,5 +207,5 @@ def duplicate_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     roots = components(pairs)
     ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
     links = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
-    named = reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").join(links, "rep", "left")
-    return keyed.join(named, "sha").select("doc_id", F.coalesce("root", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    named = reps.join(sorted_side(roots.withColumnRenamed("node", "rep")), "rep", "left").join(sorted_side(links), "rep", "left")
+    return keyed.join(sorted_side(named), "sha").select("doc_id", F.coalesce("root", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
