@@ -157,6 +157,33 @@ def test_duplicate_classes_are_not_broadcast(stored_docs, monkeypatch):
     assert not broadcasts(monkeypatch, lambda: neardup.duplicate_classes(stored_docs, 0.6))
 
 
+@pytest.fixture(scope="module")
+def edited_docs(spark, tmp_path_factory):
+    """Texts of few to many words with ever more edits and cuts, so that pairs lie on both sides of either threshold."""
+    rng, rows = random.Random(11), []
+    for i in range(60):
+        base = [f"w{rng.randrange(300)}" for _ in range(rng.choice([5, 6, 9, 15, 40, 120, 300]))]
+        for k in range(5):
+            other = base[: len(base) - rng.randrange(1 + len(base) // 3)]
+            for at in rng.sample(range(len(other)), rng.randrange(1 + len(other) // 15)):
+                other[at] = f"x{rng.randrange(50)}"
+            rows.append((5 * i + k, " ".join(base[:4] + other)))
+    path = str(tmp_path_factory.mktemp("edited") / "docs.parquet")
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def check_similar(docs, monkeypatch, least):
+    made = []
+    assert not broadcasts(monkeypatch, lambda: made.append(neardup.similar_texts(neardup.text_classes(docs), least)) or made[0])
+    want, got = {p: j for p, j in jaccards(docs).items() if j >= least}, {(r["a"], r["b"]): r["jaccard"] for r in made[0].collect()}
+    assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want) and len(want) > 30
+
+
+def test_similar_texts_at_the_threshold_of_flags(edited_docs, monkeypatch):
+    check_similar(edited_docs, monkeypatch, 0.6)
+
+
 def test_minhash_recall(near_docs):
     want = {(b, a) for (a, b), j in jaccards(near_docs).items() if j >= 0.8}
     got = {(r["doc_id"], r["other"]) for r in neardup.flagged(near_docs, ["taped_at"], least=0.6).collect()}

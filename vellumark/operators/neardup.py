@@ -5,16 +5,19 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import shingle_hashes
-from ..session import cut, spread, worker_udf
+from ..session import cut, on_workers, spread, worker_udf
 
 #: Least similarity of near duplicates where a caller asks for none.
 LEAST = 0.8
@@ -29,6 +32,8 @@ SLICES, SLICE_CHARS, SLICED_CHARS = 20, 5_000, 100_000
 PRIME, SEED, SLOTS = (1 << 61) - 1, 20_260_731, 128
 FLAG_LEAST, FLAG_MOST = 0.6, 5
 BANDS = 32
+# Buckets in which hashes are counted, a byte each in every process, and how many of them travel together.
+BUCKETS, SLICE = 1 << 22, 1 << 16
 
 
 def sorted_side(df: DataFrame) -> DataFrame:
@@ -43,26 +48,85 @@ def text_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return one.select("rep", "sha", shingle_hashes(F.col("t"), SHINGLE).alias("shingles")).where(F.col("shingles").isNotNull())
 
 
+def weights(hashes: DataFrame) -> np.ndarray:
+    """How frequent the hashes of each of BUCKETS buckets are, as one byte on a scale of logarithms, over a column of arrays of 64-bit hashes."""
+    slices = BUCKETS // SLICE
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for b in batches:
+            total += np.bincount(b.column(0).flatten().to_numpy(zero_copy_only=False) & (BUCKETS - 1), minlength=BUCKETS)
+        if total.any():
+            rows = np.minimum(total, 65_535).astype(np.uint16).reshape(slices, SLICE)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(slices, dtype=np.int32)), pa.array([zlib.compress(r.tobytes(), 1) for r in rows], pa.binary())], names=["slice", "counts"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(SLICE, np.int64)
+        for r in rows["counts"]:
+            total += np.frombuffer(zlib.decompress(r), np.uint16)
+        return pd.DataFrame({"slice": rows["slice"][:1], "weight": [np.minimum(8 * np.log2(total + 1), 255).astype(np.uint8).tobytes()]})
+
+    found = on_workers(hashes).mapInArrow(count, "slice int, counts binary").groupBy("slice").applyInPandas(add, "slice int, weight binary").collect()  # BUCKETS bytes
+    made = np.zeros((slices, SLICE), np.uint8)
+    for r in found:
+        made[r["slice"]] = np.frombuffer(r["weight"], np.uint8)
+    return made.reshape(-1)
+
+
+def prefixes(classes: DataFrame, least: float) -> DataFrame:
+    """(rep, n, s): of each text's n shingles the rarest, as many as it may lack and still be similar enough, and one more."""
+    shared = classes.sparkSession.sparkContext.broadcast(weights(classes.select("shingles")))
+    schema = T.StructType([T.StructField("rep", classes.schema["rep"].dataType), T.StructField("n", T.IntegerType()), T.StructField("s", T.LongType())])
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(1).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat, text = b.column(1).flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((flat, shared.value[flat & (BUCKETS - 1)], text))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            first = order[place < np.repeat(prefix_size(n, least), n)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text[first])), pa.array(n[text[first]].astype(np.int32)), pa.array(flat[first])], names=["rep", "n", "s"])
+
+    return on_workers(classes.select("rep", "shingles")).mapInArrow(rarest, schema)
+
+
+def prefix_size(n: Column | np.ndarray, least: float) -> Column | np.ndarray:
+    """Of n shingles, as many as may be lacking and one more."""
+    needed = n * least - 1e-9
+    return n - (F.ceil(needed) if isinstance(n, Column) else np.ceil(needed).astype(np.int64)) + 1
+
+
+def among(rep: Column, kept: np.ndarray) -> Column:
+    """Whether the bucket of a key's hash is among those kept; true of every key kept and of few others."""
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(kept)
+
+    @worker_udf(T.BooleanType())
+    def there(hashes: pd.Series) -> pd.Series:
+        return pd.Series(shared.value[hashes.to_numpy(np.int64) & (BUCKETS - 1)] > 0)
+
+    return there(F.xxhash64(rep))
+
+
 def similar_texts(classes: DataFrame, least: float = LEAST) -> DataFrame:
     """(a, b, jaccard): every pair of distinct texts whose shingles are at least that similar, a < b.
 
     Exact, by prefix filter: of each text only its rarest shingles are joined, as many as a text may lack
-    and still be similar enough. Shingles that many texts share come last and are hardly ever joined. Texts
-    whose numbers of shingles rule the similarity out aren't compared.
+    and still be similar enough, and one more. How rare they are is estimated, by buckets of their hashes; any
+    order that is one for all texts loses none. A pair is compared in full where what its prefixes share and
+    all that is left of either text could be enough.
     """
-    classes = cut(classes.withColumn("n", F.size("shingles")))
-    each = classes.select("rep", "n", F.explode("shingles").alias("s"))
-    rarity = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    shared = each.join(sorted_side(rarity.where("df > 1")), "s")
-    # Shingles of one text alone come first in its order; they take up places of the prefix without being joined.
-    common = shared.groupBy("rep").agg(F.count(F.lit(1)).alias("__shared"))
-    place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "s"))  # a text's own shingles
-    ranked = shared.withColumn("r", place).join(sorted_side(common), "rep").withColumn("r", F.col("r") + F.col("n") - F.col("__shared"))
-    prefix = cut(ranked.where(F.col("r") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1).select("rep", "n", "s"))
+    classes = cut(classes.select("rep", "shingles"))
+    prefix = prefixes(classes, least).repartition("s")
     other = prefix.select(F.col("rep").alias("b"), F.col("n").alias("m"), "s")
-    sized = (F.col("rep") < F.col("b")) & (F.least("n", "m") >= F.lit(least) * F.greatest("n", "m"))
-    pairs = prefix.join(sorted_side(other), "s").where(sized).select(F.col("rep").alias("a"), "b").distinct()
-    left, right = classes.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), classes.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
+    n, m = F.col("n"), F.col("m")
+    sized = (F.col("rep") < F.col("b")) & (F.least(n, m) >= F.lit(least) * F.greatest(n, m) - 1e-9)
+    met = prefix.join(sorted_side(other), "s").where(sized).groupBy(F.col("rep").alias("a"), "b", "n", "m").agg(F.count(F.lit(1)).alias("met"))
+    # What two texts share comes after the prefix that ends first or is in both prefixes.
+    most = F.col("met") + F.greatest(n - prefix_size(n, least), m - prefix_size(m, least))
+    pairs = cut(met.where(most >= F.lit(least / (1 + least)) * (n + m) - 1e-6).select("a", "b"))
+    kept = weights(pairs.select(F.array(F.xxhash64("a"), F.xxhash64("b"))))
+    compared = classes.where(among(F.col("rep"), kept))
+    left, right = compared.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), compared.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     scored = pairs.join(sorted_side(left), "a").join(sorted_side(right), "b").select("a", "b", (both / (F.size("sa") + F.size("sb") - both)).alias("jaccard"))
     return scored.where(F.col("jaccard") >= least)
