@@ -184,6 +184,15 @@ def test_similar_texts_at_the_threshold_of_flags(edited_docs, monkeypatch):
     check_similar(edited_docs, monkeypatch, 0.6)
 
 
+def test_similar_texts_at_the_strict_threshold(spark, edited_docs, monkeypatch):
+    check_similar(edited_docs, monkeypatch, 0.8)
+    # A shingle that two texts share is never taken for one that is alone, nor a frequent one for a rare one.
+    shingles = spark.createDataFrame([([5, 7, -3],), ([5, 9],)] + [([9],)] * 300, "s array<bigint>")
+    found = neardup.weights(shingles)
+    at = lambda h: int(found[h & (neardup.BUCKETS - 1)])
+    assert at(7) == at(-3) == neardup.ALONE < at(5) < at(9) and at(6) == 0
+
+
 def test_minhash_recall(near_docs):
     want = {(b, a) for (a, b), j in jaccards(near_docs).items() if j >= 0.8}
     got = {(r["doc_id"], r["other"]) for r in neardup.flagged(near_docs, ["taped_at"], least=0.6).collect()}

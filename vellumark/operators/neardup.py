@@ -34,6 +34,7 @@ FLAG_LEAST, FLAG_MOST = 0.6, 5
 BANDS = 32
 # Buckets in which hashes are counted, a byte each in every process, and how many of them travel together.
 BUCKETS, SLICE = 1 << 22, 1 << 16
+ALONE = 8  # the weight of a bucket that counts one
 
 
 def sorted_side(df: DataFrame) -> DataFrame:
@@ -74,7 +75,10 @@ def weights(hashes: DataFrame) -> np.ndarray:
 
 
 def prefixes(classes: DataFrame, least: float) -> DataFrame:
-    """(rep, n, s): of each text's n shingles the rarest, as many as it may lack and still be similar enough, and one more."""
+    """(rep, n, s): of each text's n shingles the rarest, as many as it may lack and still be similar enough, and one more.
+
+    Those that are alone in their bucket take up places, but no other text has them.
+    """
     shared = classes.sparkSession.sparkContext.broadcast(weights(classes.select("shingles")))
     schema = T.StructType([T.StructField("rep", classes.schema["rep"].dataType), T.StructField("n", T.IntegerType()), T.StructField("s", T.LongType())])
 
@@ -82,9 +86,10 @@ def prefixes(classes: DataFrame, least: float) -> DataFrame:
         for b in batches:
             n = b.column(1).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             flat, text = b.column(1).flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((flat, shared.value[flat & (BUCKETS - 1)], text))
+            weight = shared.value[flat & (BUCKETS - 1)]
+            order = np.lexsort((flat, weight, text))
             place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-            first = order[place < np.repeat(prefix_size(n, least), n)]
+            first = order[(place < np.repeat(prefix_size(n, least), n)) & (weight[order] > ALONE)]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text[first])), pa.array(n[text[first]].astype(np.int32)), pa.array(flat[first])], names=["rep", "n", "s"])
 
     return on_workers(classes.select("rep", "shingles")).mapInArrow(rarest, schema)
